@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillspan.llm import simhash
+from quillspan.llm import mixing, sharding, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -15,5 +15,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_simhash": op1_simhash}
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(_read(spark, sf_dir, "documents"), 16)
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, copies = mixing.mix(_read(spark, sf_dir, "documents"))
+    return copies.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+QUERIES = {"op1_simhash": op1_simhash, "op2_sharding": op2_sharding, "op5_mixing": op5_mixing}
 ORACLES: dict[str, str] = {}
