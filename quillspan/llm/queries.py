@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillspan.llm import mixing, sharding, simhash
+from quillspan.llm import decontam, mixing, sharding, simhash, token_counts, token_files
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -24,5 +25,17 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op2_sharding": op2_sharding, "op5_mixing": op5_mixing}
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_sharding, op5_mixing, op6_token_files, op8_decontamination, op10_token_counts)}
 ORACLES: dict[str, str] = {}
