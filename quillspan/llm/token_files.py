@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from quillspan.llm.common import ASCII_LOWER, materialise, utf8
+from quillspan.llm import words as W
+from quillspan.llm.common import materialise, utf8
 
 BLOCK, PERCENTILE = 1024, 90
 
@@ -120,62 +121,93 @@ class Segment:
 # --- tokens --------------------------------------------------------------------------------------------------------
 
 
+#: Letters that end a word's first piece, and marks that begin its next one: the tokenizer always cuts between them.
+_LETTER, _LATIN, _MARK = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_LATIN[[c for c in range(0x80, 0xC0) if c not in (0x97, 0xB7)]] = True  # after 0xC3: Latin letters
+_MARK[list(b".,!?#*$%&;:")] = True
+_ODD = np.uint64(0x5851F42D4C957F2D)
+
+
 class WordEncoder:
     """Ids of whole texts, by encoding every different word once with the tokenizers library.
 
     This holds for tokenizers that drop white space and never look past it, as word_bpe_49k.json. Words are lower-cased
-    (A-Z) first, as the tokenizer does itself, but for those that could hold a special token. Words not yet seen are
-    encoded many at a time, with a special token between them that the tokenizer cuts at.
+    (A-Z) first, as the tokenizer does itself, but for those that could hold a special token, and marks after a letter are
+    words of their own. Words are known by 64-bit hashes in sorted arrays, so that millions take little memory. New ones
+    are encoded many at a time, with a special token between them that the tokenizer cuts at.
     """
 
-    def __init__(self, path: str, end_id: int, most: int = 300_000):
+    def __init__(self, path: str, end_id: int, most: int = 3_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most, self.end_id = Tokenizer.from_file(path), most, end_id
         special = [t for t in self.tokenizer.get_added_tokens_decoder().items() if t[1].special]
-        self.cut_id, self.cut = special[0][0], special[0][1].content
+        self.cut_id, self.cut = special[0][0], special[0][1].content.encode()
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[bytes, int] = {b"": 0}
-        self.flat = np.array([self.end_id], np.uint32)
-        self.start, self.size = np.zeros(1, np.int64), np.ones(1, np.int64)
-
-    def learn(self, words: list[bytes]) -> None:
-        plain = [w for w in words if b"<|" not in w]
-        got = []
-        for lo in range(0, len(plain), 2000):
-            text = self.cut.join(w.decode() for w in plain[lo : lo + 2000])
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-            got += [x[1:] if i else x for i, x in enumerate(np.split(ids, np.flatnonzero(ids == self.cut_id)))]
-        odd = [w for w in words if b"<|" in w]
-        got += [np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, np.uint32) for w in odd]
-        sizes = np.array([len(x) for x in got], np.int64)
-        starts = len(self.flat) + np.concatenate([[0], np.cumsum(sizes)])[:-1]
-        self.known.update(zip([*plain, *odd], range(len(self.start), len(self.start) + len(got)), strict=True))
-        self.flat = np.concatenate([self.flat, *got])
+        self.hashes, self.index = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.flat, self.start, self.size = np.zeros(0, np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def ids(self, text: bytes) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, np.uint32)
+
+    def learn(self, hashes: np.ndarray, words: list[bytes], odd: np.ndarray) -> None:
+        """Encode new words; odd ones one by one."""
+        flat, sizes = [], np.zeros(len(words), np.int64)
+        plain = np.flatnonzero(~odd)
+        for lo in range(0, len(plain), 500):
+            own = plain[lo : lo + 500]
+            ids = self.ids(self.cut.join([words[i] for i in own]))
+            cuts = np.flatnonzero(ids == self.cut_id)
+            sizes[own] = np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
+            flat.append(ids[ids != self.cut_id])
+        for i in np.flatnonzero(odd):
+            flat.append(self.ids(words[i]))
+            sizes[i] = len(flat[-1])
+        order = np.concatenate([plain, np.flatnonzero(odd)])
+        starts = np.zeros(len(words), np.int64)
+        starts[order] = len(self.flat) + np.cumsum(sizes[order]) - sizes[order]
+        number = len(self.start) + np.arange(len(words))
+        self.flat = np.concatenate([self.flat, *(x.astype(self.flat.dtype) for x in flat)])
         self.start, self.size = np.concatenate([self.start, starts]), np.concatenate([self.size, sizes])
-
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, each followed by the end id, and how many each text has."""
-        words, n = [], np.zeros(len(texts), np.int64)
-        for i, raw in enumerate(texts):
-            own = raw.translate(ASCII_LOWER).split()
-            if b"<|" in raw:
-                own = [r if b"<|" in r else w for r, w in zip(raw.split(), own, strict=True)]
-            own.append(b"")  # stands for the end id
-            words += own
-            n[i] = len(own)
-        if len(self.known) > self.most:
+        at = np.searchsorted(self.hashes, hashes)  # hashes come sorted
+        self.hashes, self.index = np.insert(self.hashes, at, hashes), np.insert(self.index, at, number)
+
+    def encode(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (bytes and row offsets), each followed by the end id, and how many each text has."""
+        mark = _MARK[data]
+        cut = np.flatnonzero(_LETTER[data[:-1]] & mark[1:]) + 1
+        latin = np.flatnonzero((data[:-2] == 0xC3) & _LATIN[data[1:-1]] & mark[2:]) + 2
+        cut = np.sort(np.concatenate([cut, latin]))
+        data, at = np.insert(data, cut, 32), at + np.searchsorted(cut, at)
+        lower = W.LOWER[data]
+        found = W.find_words(lower, at)
+        hashes = W.Rolling(lower)(found.starts, found.ends)
+        odd = np.zeros(len(hashes), bool)
+        signs = np.flatnonzero((data[:-1] == 60) & (data[1:] == 124))  # "<|"
+        if len(signs):
+            odd[np.searchsorted(found.starts, signs, "right") - 1] = True
+            hashes[odd] = W.Rolling(data)(found.starts[odd], found.ends[odd]) ^ _ODD
+        if len(self.hashes) > self.most:
             self.clear()
-        if new := set(words).difference(self.known):
-            self.learn(sorted(new))
-        index = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        new, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        place = np.minimum(np.searchsorted(self.hashes, new), max(len(self.hashes) - 1, 0))
+        missing = np.flatnonzero(self.hashes[place] != new) if len(self.hashes) else np.arange(len(new))
+        if len(missing):
+            at_word = first[missing]
+            raw, low = data.tobytes(), lower.tobytes()
+            spans = zip(found.starts[at_word].tolist(), found.ends[at_word].tolist(), odd[at_word].tolist(), strict=True)
+            self.learn(new[missing], [(raw if o else low)[s:e] for s, e, o in spans], odd[at_word])
+        index = self.index[np.searchsorted(self.hashes, new)][back]
         size = self.size[index]
         ends = np.cumsum(size)
-        ids = self.flat[np.repeat(self.start[index] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
-        last = np.cumsum(n)
-        return ids, np.diff(np.concatenate([[0], ends[last - 1]])) if len(texts) else n
+        total, n = int(ends[-1]) if len(ends) else 0, len(at) - 1
+        out = np.full(total + n, self.end_id, np.uint32)
+        run = np.arange(total)
+        out[run + np.repeat(found.doc, size)] = self.flat[run + np.repeat(self.start[index] - ends + size, size)]
+        return out, np.diff(np.concatenate([[0], ends])[found.first]) + 1
 
 
 _ENCODERS: dict[tuple[str, int], WordEncoder] = {}
@@ -208,8 +240,9 @@ def write_segments(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: st
             names = names.fill_null(0).to_numpy(zero_copy_only=False)
             lo = 0
             while lo < len(names):
-                hi = max(lo + 1, int(np.searchsorted(at, at[lo] + (1 << 20), "right")) - 1)
-                ids, counts = coder.encode([data[at[i] : at[i + 1]].tobytes() for i in range(lo, min(hi, len(names)))])
+                hi = max(lo + 1, int(np.searchsorted(at, at[lo] + (2 << 20), "right")) - 1)
+                hi = min(hi, len(names))
+                ids, counts = coder.encode(data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo])
                 held.append((ids, names[lo:hi], valid[lo:hi], counts))
                 lo = hi
                 if sum(len(x[0]) for x in held) >= segment_tokens:
