@@ -34,7 +34,7 @@ def byte_letters() -> dict[str, int]:
 class PrefixCounter:
     """Counts of a byte-level BPE tokenizer given as a tokenizers .json file."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 700_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letters = byte_letters()
@@ -76,9 +76,9 @@ class PrefixCounter:
         """Token counts of the first 0, 1, ... bytes of one piece."""
         n = len(piece)
         count, last = [0] * (n + 1), [b""] * (n + 1)
-        tokens, fits = self.tokens, self.fits
+        tokens, fits, longest = self.tokens, self.fits, self.longest
         for j in range(1, n + 1):
-            for i in range(max(0, j - self.longest), j):
+            for i in range(max(0, j - longest), j):
                 t = piece[i:j]
                 if t in tokens:
                     ok = fits.get((last[i], t))
@@ -98,26 +98,32 @@ class PrefixCounter:
 
     def of_piece(self, piece: str) -> int:
         got = self.known.get(piece)
-        if got is None:
-            got = self.table(piece.encode())[-1]
-            if len(piece) <= 64:
-                if len(self.known) >= self.most:
-                    self.known.clear()
-                    self.fits.clear()
-                self.known[piece] = got
-        return got
+        return self.table(piece.encode())[-1] if got is None else got
+
+    def counts(self, texts: list[str], at_once: int = 200) -> list[int]:
+        """Token counts of many texts. New pieces of some texts together are looked up once, and kept if they are short."""
+        out = []
+        for lo in range(0, len(texts), at_once):
+            found, extra = [], []
+            for text in texts[lo : lo + at_once]:
+                cuts = self.special.split(text) if self.special else [text]
+                found.append(self.pattern.findall(text) if len(cuts) == 1 else [p for c in cuts for p in self.pattern.findall(c)])
+                extra.append(len(cuts) - 1)
+            if len(self.known) > self.most:
+                self.known.clear()
+            if len(self.fits) > 2 * self.most:
+                self.fits.clear()
+            new = set().union(*found).difference(self.known)
+            for p in new:
+                self.known[p] = self.table(p.encode())[-1]
+            long = [p for p in new if len(p) > 64]
+            out += [sum(map(self.known.__getitem__, f)) + n for f, n in zip(found, extra)]
+            for p in long:
+                del self.known[p]
+        return out
 
     def count(self, text: str) -> int:
-        if self.special and self.special.search(text):
-            return sum(1 if s else self.of_piece(p) for p, s in self.pieces(text))
-        found = self.pattern.findall(text)
-        known = self.known
-        try:
-            return sum(map(known.__getitem__, found))
-        except KeyError:
-            for p in set(found).difference(known):
-                self.of_piece(p)
-            return sum(self.of_piece(p) for p in found)
+        return self.counts([text])[0]
 
     def prefixes(self, text: str) -> np.ndarray:
         """Token counts of the first 0, 1, ... characters of a text, each as if the text ended there."""
@@ -174,7 +180,7 @@ def count_column(text: Column, path: str) -> Column:
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = counter(path)
         for col in batches:
-            yield pa.array([table.count(t) if t else 0 for t in col.to_pylist()], pa.int64())
+            yield pa.array(table.counts(col.fill_null("").to_pylist()), pa.int64())
 
     return of(text)
 
