@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillspan.llm.common import WORD, materialise
 
@@ -79,6 +79,11 @@ def _round(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf[["src", "size", "n"]].assign(copies=copies)
 
 
+def row_hash(id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> Column:
+    """The column h of mix()."""
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.col(id_col), F.col(source_col))
+
+
 def mix(
     docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", hot: int = 20_000
 ) -> tuple[DataFrame, DataFrame]:
@@ -93,7 +98,7 @@ def mix(
     text = F.coalesce(F.col(text_col), F.lit(""))
     meta = materialise(
         docs.select(
-            F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.xxhash64(text, F.col(id_col), F.col(source_col)).alias("h"),
+            F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), row_hash(id_col, text_col, source_col).alias("h"),
             F.when(F.col(source_col).isNull(), "").otherwise(F.concat(F.lit("="), F.col(source_col))).alias("src"),
             F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
         ),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillspan.llm import decontam, mixing, sharding, simhash, token_counts, token_files
+from quillspan.llm import decontam, html_extract, mixing, ppm, quality, secret_scan, sharding, simhash, token_counts, token_files
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -20,6 +20,14 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(_read(spark, sf_dir, "documents"), 16)
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_texts(_read(spark, sf_dir, "pages"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, copies = mixing.mix(_read(spark, sf_dir, "documents"))
     return copies.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -29,13 +37,24 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def op7_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.scores(_read(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(_read(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_sharding, op5_mixing, op6_token_files, op8_decontamination, op10_token_counts)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_simhash, op2_sharding, op3_quality_rules, op4_html, op5_mixing, op6_token_files, op7_ppm, op8_decontamination, op9_secrets, op10_token_counts)
+}
 ORACLES: dict[str, str] = {}

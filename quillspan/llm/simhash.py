@@ -187,8 +187,29 @@ def signed(x: int) -> int:
 # --- candidates and verification -----------------------------------------------------------------------------------
 
 
-def _edges_of_batch(group, own, fp, radius, small=48):
-    """Pairs of rows of a group, one of them its own value's, that differ in at most radius bits; as spanning edges."""
+def _thin(a, b, bits, sure):
+    """Spanning edges of the pairs within `sure` bits, and of the others the three closest between each two of those components.
+
+    The others stand in need of verification, so they are kept apart and more than one may stay.
+    """
+    near = bits <= sure
+    p, q = forest(a[near], b[near])
+    a, b, bits = a[~near], b[~near], bits[~near]
+    if not len(a):
+        return p, q, a, b
+    root = dict(zip(p.tolist(), q.tolist()))
+    x, y = (np.array([root.get(v, v) for v in e.tolist()], np.int64) for e in (a, b))
+    x, y = np.minimum(x, y), np.maximum(x, y)
+    order = np.lexsort((b, a, bits, y, x))
+    order = order[x[order] != y[order]]
+    a, b, x, y = a[order], b[order], x[order], y[order]
+    keep = np.ones(len(a), bool)
+    keep[3:] = (x[3:] != x[:-3]) | (y[3:] != y[:-3])
+    return p, q, a[keep], b[keep]
+
+
+def _pairs_of_batch(group, own, fp, radius, sure, small=48):
+    """Pairs of rows of a group, one of them its own value's, that differ in at most radius bits, thinned out within large groups."""
     u = fp.view(np.uint64)
     left, right = [], []
     starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
@@ -206,15 +227,16 @@ def _edges_of_batch(group, own, fp, radius, small=48):
         for lo in range(0, n, 256):
             near = (np.bitwise_count(x[lo : lo + 256, None] ^ x[None, lo:]) <= radius) & (o[lo : lo + 256, None] | o[None, lo:])
             i, j = np.nonzero(near)
-            a, b = forest(fp[s + lo + i], fp[s + lo + j])
-            left.append(a)
-            right.append(b)
+            i, j = s + lo + i, s + lo + j
+            for a, b in zip(*[iter(_thin(fp[i], fp[j], np.bitwise_count(u[i] ^ u[j]), sure))] * 2):
+                left.append(a)
+                right.append(b)
     if not left:
         return fp[:0], fp[:0]
     return np.concatenate(left), np.concatenate(right)
 
 
-def _verify(radius: int):
+def _verify(radius: int, sure: int):
     def run(batches):
         kept = None
         for rb in batches:
@@ -234,15 +256,22 @@ def _verify(radius: int):
             yield from out(np.zeros(len(kept[4]), np.int64), kept[3], kept[4])
 
     def out(group, own, fp):
-        a, b = forest(*_edges_of_batch(group, own, fp, radius))
-        if len(a):
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+        a, b = _pairs_of_batch(group, own, fp, radius, sure)
+        bits = np.bitwise_count(a.view(np.uint64) ^ b.view(np.uint64))
+        a, b, c, d = _thin(a[bits > 0], b[bits > 0], bits[bits > 0], sure)
+        if len(a) + len(c):
+            far = np.repeat([False, True], [len(a), len(c)])
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(a, c)), pa.array(np.append(b, d)), pa.array(far)], names=["a", "b", "far"])
 
     return run
 
 
-def links(fps: DataFrame, radius: int, heavy: int = 4096) -> DataFrame:
-    """Spanning edges (a, b) of the graph that joins fingerprints (column fp, distinct) within `radius` bits."""
+def links(fps: DataFrame, radius: int, sure: int | None = None, heavy: int = 4096) -> DataFrame:
+    """Spanning edges (a, b, far) of the graph that joins fingerprints (column fp, distinct) within `radius` bits.
+
+    far tells edges of more than `sure` bits (by default the radius, so that there are none).
+    """
+    sure = radius if sure is None else sure
     spark = fps.sparkSession
     n, joint = bit_statistics(fps)
     probes = []
@@ -252,7 +281,7 @@ def links(fps: DataFrame, radius: int, heavy: int = 4096) -> DataFrame:
             for flip in combinations(bits, size):
                 probes.append((i, signed(mask), signed(sum(1 << b for b in flip))))
     if not probes or n < 2:
-        return spark.createDataFrame([], "a long, b long")
+        return spark.createDataFrame([], "a long, b long, far boolean")
     lit = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(m).alias("m"), F.lit(x).alias("x")) for i, m, x in probes])
     value = F.col("fp").bitwiseAND(F.col("p.m"))
     rows = (
@@ -270,7 +299,7 @@ def links(fps: DataFrame, radius: int, heavy: int = 4096) -> DataFrame:
     )
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.select("part", "key", "cell", "own", "fp").repartition(width, "part", "key", "cell").sortWithinPartitions("part", "key", "cell")
-    return dealt.mapInArrow(_verify(radius), "a long, b long")
+    return dealt.mapInArrow(_verify(radius, sure), "a long, b long, far boolean")
 
 
 # --- operators -----------------------------------------------------------------------------------------------------
@@ -296,3 +325,52 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, id_col:
     least = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
     groups = labelled.select("fp", "label").join(least, "label").select("fp", "component_id")
     return own.join(groups, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def shingle_sets(text: Column, k: int) -> Column:
+    """Distinct shingle hashes of a text column."""
+
+    @F.arrow_udf("array<long>")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for col in batches:
+            data, at = utf8(col)
+            raw = data.tobytes().translate(ASCII_LOWER)
+            sets = [np.unique(shingle_hashes(raw[at[i] : at[i + 1]].split(), k)).view(np.int64) for i in range(len(col))]
+            yield pa.array(sets, pa.list_(pa.int64()))
+
+    return of(text)
+
+
+def representatives(docs: DataFrame, shingle: int = 5, radius: int = 10, sure: int = 4, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs, one for each group of near-duplicates: that of least id.
+
+    Fingerprints within `sure` bits are linked; those within `radius` bits are linked if the Jaccard similarity of their
+    texts' shingle sets is at least `similarity`. Rows with a null id stay only if all of their group have none; of equal
+    rows one stays; blank texts form one group; an empty table gives an empty result; all columns are kept as they are.
+    """
+    row = F.xxhash64(*docs.columns)
+    own = materialise(docs.select(row.alias("_row"), F.col(id_col).alias("id"), fingerprint_column(F.col(text_col), shingle).alias("fp")), "rows")
+    nodes = materialise(own.groupBy("fp").agg(F.min("_row").alias("_row")), "nodes")
+    edges = materialise(links(nodes, radius, sure), "links")
+    far = edges.where("far").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    wanted = far.select("a").union(far.select("b")).distinct().withColumnRenamed("a", "fp").join(nodes, "fp")
+    texts = docs.select(row.alias("_row"), F.col(text_col).alias("_text")).join(wanted, "_row").dropDuplicates(["fp"])
+    sets = materialise(texts.select("fp", shingle_sets(F.col("_text"), shingle).alias("s")), "sets")
+    a, b = sets.select(F.col("fp").alias("a"), F.col("s").alias("sa")), sets.select(F.col("fp").alias("b"), F.col("s").alias("sb"))
+    both = F.size(F.array_intersect("sa", "sb"))
+    checked = far.join(a, "a").join(b, "b").where(both >= similarity * (F.size("sa") + F.size("sb") - both)).select("a", "b")
+    labels = components(edges.where(~F.col("far")).select("a", "b").union(checked))
+    labelled = own.join(labels, own.fp == labels.node, "left").select("_row", "id", F.coalesce("label", "fp").alias("label"))
+    first = labelled.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_row")).alias("w")).select("w._row")
+    return one_each(docs, row, first, own)
+
+
+def one_each(docs: DataFrame, row: Column, chosen: DataFrame, own: DataFrame) -> DataFrame:
+    """The rows of docs whose hash is in `chosen` (column _row), equal rows once. own: the hashes of all rows."""
+    chosen = materialise(chosen, "chosen")
+    twice = materialise(own.groupBy("_row").count().where("count > 1").select("_row").join(chosen, "_row", "left_semi"), "twice")
+    kept = docs.withColumn("_row", row).join(chosen, "_row", "left_semi")
+    if twice.isEmpty():
+        return kept.select(*docs.columns)
+    once = kept.join(twice, "_row", "left_anti").unionByName(kept.join(twice, "_row", "left_semi").dropDuplicates(["_row"]))
+    return once.select(*docs.columns)
