@@ -144,6 +144,8 @@ class WordEncoder:
         self.tokenizer, self.most, self.end_id = Tokenizer.from_file(path), most, end_id
         special = [t for t in self.tokenizer.get_added_tokens_decoder().items() if t[1].special]
         self.cut_id, self.cut = special[0][0], special[0][1].content.encode()
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self.clear()
 
     def clear(self) -> None:
@@ -153,16 +155,21 @@ class WordEncoder:
     def ids(self, text: bytes) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, np.uint32)
 
-    def learn(self, hashes: np.ndarray, words: list[bytes], odd: np.ndarray) -> None:
-        """Encode new words; odd ones one by one."""
-        flat, sizes = [], np.zeros(len(words), np.int64)
-        plain = np.flatnonzero(~odd)
-        for lo in range(0, len(plain), 500):
-            own = plain[lo : lo + 500]
-            ids = self.ids(self.cut.join([words[i] for i in own]))
-            cuts = np.flatnonzero(ids == self.cut_id)
-            sizes[own] = np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
-            flat.append(ids[ids != self.cut_id])
+    def learn(self, hashes: np.ndarray, words: list[bytes], odd: np.ndarray, letters: np.ndarray) -> None:
+        """Encode new words; odd ones one by one. letters: whether a word is of Latin letters alone."""
+        flat, sizes, plain = [], np.zeros(len(words), np.int64), []
+        for cut, some in ((b" ", np.flatnonzero(letters)), (self.cut, np.flatnonzero(~letters & ~odd))):
+            plain.append(some)
+            for lo in range(0, len(some), 500):
+                own = some[lo : lo + 500]
+                ids = self.ids(cut.join([words[i] for i in own]))
+                if cut == b" ":
+                    ends = np.flatnonzero(self.last[ids])
+                    sizes[own] = np.diff(ends, prepend=-1)
+                else:
+                    sizes[own] = np.diff(np.flatnonzero(ids == self.cut_id), prepend=-1, append=len(ids)) - 1
+                flat.append(ids[ids != self.cut_id])
+        plain = np.concatenate(plain)
         for i in np.flatnonzero(odd):
             flat.append(self.ids(words[i]))
             sizes[i] = len(flat[-1])
@@ -199,7 +206,12 @@ class WordEncoder:
             at_word = first[missing]
             raw, low = data.tobytes(), lower.tobytes()
             spans = zip(found.starts[at_word].tolist(), found.ends[at_word].tolist(), odd[at_word].tolist(), strict=True)
-            self.learn(new[missing], [(raw if o else low)[s:e] for s, e, o in spans], odd[at_word])
+            letter = _LETTER[lower]
+            pair = np.flatnonzero((lower[:-1] == 0xC3) & _LATIN[lower[1:]])
+            letter[pair] = letter[pair + 1] = True
+            others = np.concatenate([[0], np.cumsum(~letter)])
+            letters = (others[found.starts[at_word]] == others[found.ends[at_word]]) & ~odd[at_word]
+            self.learn(new[missing], [(raw if o else low)[s:e] for s, e, o in spans], odd[at_word], letters)
         index = self.index[np.searchsorted(self.hashes, new)][back]
         size = self.size[index]
         ends = np.cumsum(size)
