@@ -98,34 +98,62 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sparse feature vectors: at most 4 * 2 ** BITS numbers each, whatever a text's length."""
     for rb in batches:
         data, at = utf8(rb.column(1))
-        out = []
+        index, value = [], []
         for lo, hi in pieces(at):
             rows = [[] for _ in range(lo, hi)]
             for g, (feature, place) in enumerate(features(data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo])):
                 for i in range(hi - lo):
                     own, n = np.unique(feature[place[i] : place[i + 1]], return_counts=True)
-                    rows[i].append(np.stack([own + (g << BITS), n / max(n.sum(), 1)]))
-            out += [np.concatenate(r, axis=1).astype("<f4").tobytes() for r in rows]
-        yield pa.RecordBatch.from_arrays([rb.column(0), pa.array(out, pa.binary())], names=["quality", "vector"])
-
-
-def _fit(at: np.ndarray, index: np.ndarray, value: np.ndarray, y: np.ndarray, width: int, ridge: float, rounds: int) -> tuple[np.ndarray, float]:
+                    rows[i].append((own + (g << BITS), n * (SCALE / max(n.sum(), 1))))
+            index += [np.concatenate([x for x, _ in r]).astype("<u2").tobytes() for r in rows]
+            value += [np.concatenate([x for _, x in r]).astype("<f4").tobytes() for r in rows]
+        yield pa.RecordBatch.from_arrays([rb.column(0), pa.array(index, pa.binary()), pa.array(value, pa.binary())], names=["quality", "index", "value"])
+
+
+class Sparse:
+    """Rows of feature numbers and values, read where Arrow has them; products go block by block, so temporaries stay small."""
+
+    def __init__(self, table: pa.Table, block: int = 128):
+        table = table.combine_chunks()
+        index, value = ((c.chunk(0) if c.num_chunks else pa.array([], pa.binary())).cast(pa.large_binary()) for c in (table.column("index"), table.column("value")))
+        whole = lambda c, kind: np.frombuffer(c.buffers()[2], kind) if len(c) and c.buffers()[2] is not None else np.zeros(0, kind)
+        self.index, self.value, self.block = whole(index, "<u2"), whole(value, "<f4"), block
+        self.at = np.frombuffer(index.buffers()[1], np.int64)[: len(index) + 1] // 2 if len(index) else np.zeros(1, np.int64)
+
+    def _blocks(self, rows: np.ndarray):
+        for lo in range(0, len(rows), self.block):
+            own = rows[lo : lo + self.block]
+            size = (self.at[own + 1] - self.at[own]).astype(np.int64)
+            take = np.repeat(self.at[own] - np.cumsum(size) + size, size) + np.arange(size.sum())
+            yield slice(lo, lo + len(own)), np.repeat(np.arange(len(own)), size), self.index[take], self.value[take]
+
+    def dot(self, rows: np.ndarray, w: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(rows))
+        for part, row, index, value in self._blocks(rows):
+            out[part] = np.bincount(row, value * w[index], part.stop - part.start)
+        return out
+
+    def back(self, rows: np.ndarray, r: np.ndarray, width: int) -> np.ndarray:
+        out = np.zeros(width)
+        for part, row, index, value in self._blocks(rows):
+            out += np.bincount(index, value * r[part][row], width)
+        return out
+
+
+def _fit(x: Sparse, rows: np.ndarray, y: np.ndarray, width: int, ridge: float, rounds: int) -> tuple[np.ndarray, float]:
     """Ridge logistic regression with balanced classes, by accelerated gradient steps."""
-    row = np.repeat(np.arange(len(y)), np.diff(at))
     weight = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
-    dot = lambda w, b: np.bincount(row, value * w[index], len(y)) + b
-    back = lambda r: (np.bincount(index, value * r[row], width), r.sum())
-    v, c = np.ones(width), 1.0
+    v, c, size = np.ones(width), 1.0, 1.0
     for _ in range(8):  # the largest eigenvalue bounds the step
-        v, c = back(weight * dot(v, c))
+        r = weight * (x.dot(rows, v) + c)
+        v, c = x.back(rows, r, width), r.sum()
         size = np.sqrt(v @ v + c * c)
         v, c = v / size, c / size
     step = 1 / (0.25 * size * 1.1 + ridge)
     w, b, u, d, t = np.zeros(width), 0.0, np.zeros(width), 0.0, 1.0
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(dot(u, d), -500, 500)))
-        g, gb = back(weight * (p - y))
-        w1, b1, t1 = u - step * (g + ridge * u), d - step * gb, (1 + np.sqrt(1 + 4 * t * t)) / 2
+        r = weight * (1 / (1 + np.exp(-np.clip(x.dot(rows, u) + d, -500, 500))) - y)
+        w1, b1, t1 = u - step * (x.back(rows, r, width) + ridge * u), d - step * r.sum(), (1 + np.sqrt(1 + 4 * t * t)) / 2
         u, d = w1 + (t - 1) / t1 * (w1 - w), b1 + (t - 1) / t1 * (b1 - b)
         w, b, t = w1, b1, t1
     return w, b
@@ -136,27 +164,18 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 3000, id_col: str =
     chosen = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).alias("quality"))
     chosen = chosen.orderBy(F.xxhash64("_id"), "_id", "quality").limit(sample)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "_id")  # at most `sample` small rows
-    got = rows.select(F.col("quality").cast("int").alias("quality"), "text", F.xxhash64("_id").alias("h"))
-    vectors = got.select("quality", "text").mapInArrow(_vectors, "quality int, vector binary").orderBy(F.xxhash64("vector"), "quality").limit(2 * sample).toArrow()
-    y = vectors.column("quality").to_numpy().astype(float)
+    vectors = rows.select(F.col("quality").cast("int").alias("quality"), "text").mapInArrow(_vectors, "quality int, index binary, value binary")
+    table = vectors.orderBy(F.xxhash64("index", "value"), "quality").limit(2 * sample).toArrow()
+    y = table.column("quality").to_numpy().astype(float)
     if len(set(y.tolist())) < 2:
         return None
-    each = [np.frombuffer(v, "<f4").reshape(2, -1) for v in vectors.column("vector").to_pylist()]
     held = np.arange(len(y)) % 5 == 4
     if len(set(y[~held].tolist())) < 2:
         held[:] = False
-
-    def sparse(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        own = [each[i] for i in rows]
-        both = np.concatenate(own, axis=1) if own else np.zeros((2, 0))
-        return np.concatenate([[0], np.cumsum([x.shape[1] for x in own])]), both[0].astype(np.int32), both[1] * SCALE
-
-    at, index, value = sparse(np.flatnonzero(~held))
-    w, b = _fit(at, index, value, y[~held], len(GROUPS) << BITS, ridge, rounds)
-    at, index, value = sparse(np.flatnonzero(held) if held.any() else np.arange(len(y)))
-    truth = y[held] if held.any() else y
-    z = np.bincount(np.repeat(np.arange(len(truth)), np.diff(at)), value * w[index], len(truth)) + b
-    return Model(w, b, *_platt(z, truth))
+    x = Sparse(table)
+    fit, check = np.flatnonzero(~held), np.flatnonzero(held) if held.any() else np.arange(len(y))
+    w, b = _fit(x, fit, y[fit], len(GROUPS) << BITS, ridge, rounds)
+    return Model(w, b, *_platt(x.dot(check, w) + b, y[check]))
 
 
 def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
