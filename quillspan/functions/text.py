@@ -23,6 +23,11 @@ def tokens(text: Column) -> Column:
     return F.coalesce(F.ceil(F.ceil(utf16_length(text) / 4) * F.lit(1.1)), F.lit(0)).cast("long")
 
 
+def strip(text: Column) -> Column:
+    """Without white space at either end; trim() alone takes spaces only."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def chunk_count(n: Column, target: int = MAX_CHUNK) -> Column:
     return F.ceil(n / target).cast("long")
 
@@ -171,13 +176,13 @@ def is_fresh(then: Column, now: Column, days: float = 7) -> Column:
 
 def clean_html_text(text: Column) -> Column:
     """Site lines dropped, blanks and blank lines collapsed. Trimming comes before collapsing."""
-    text = F.trim(F.regexp_replace(text, r"(?im)(\[Home\]|Copyright|Statutes Home).*$", ""))
+    text = strip(F.regexp_replace(text, r"(?im)(\[Home\]|Copyright|Statutes Home).*$", ""))
     return F.regexp_replace(F.regexp_replace(text, r"[ \t]+", " "), r"\n{3,}", "\n\n")
 
 
 def clean_markdown(text: Column) -> Column:
     text = F.regexp_replace(text, "\r\n", "\n")
-    return F.trim(F.regexp_replace(F.regexp_replace(text, r"[ \t]+", " "), r"\n{3,}", "\n\n"))
+    return strip(F.regexp_replace(F.regexp_replace(text, r"[ \t]+", " "), r"\n{3,}", "\n\n"))
 
 
 def percentage(part: Column, whole: Column, digits: int) -> Column:

@@ -71,12 +71,12 @@ def cited(answers: DataFrame, chunks: DataFrame, key: str) -> DataFrame:
 
 
 def section(text: Column, level: str) -> Column:
-    return F.trim(F.regexp_extract(text, rf"(?is)###\s*{level}[^\n]*\n(.*?)(?=###|\z)", 1))
+    return T.strip(F.regexp_extract(text, rf"(?is)###\s*{level}[^\n]*\n(.*?)(?=###|\z)", 1))
 
 
 def section_name(text: Column, level: str) -> Column:
     head = F.regexp_extract(text, rf"(?i)###\s*{level}[^\n]*", 0)
-    name = F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(head, "###", ""), f"(?i){level}", ""), "(?i)requirements?", ""))
+    name = T.strip(F.regexp_replace(F.regexp_replace(F.regexp_replace(head, "###", ""), f"(?i){level}", ""), "(?i)requirements?", ""))
     return F.when(name != "", name).otherwise(level.capitalize())
 
 

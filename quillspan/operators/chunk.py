@@ -26,13 +26,13 @@ def subsections(text: Column, anchored: bool = True, marker: str | None = None,
     ids = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     bodies = F.slice(F.split(F.regexp_replace(text, pattern, _CUT), _CUT), 2, 1 << 20)
     both = F.arrays_zip(ids.alias("id"), bodies.alias("text"))
-    trimmed = F.transform(both, lambda s: F.struct(s["id"].alias("id"), F.regexp_replace(s["text"], r"^\s+|\s+$", "").alias("text")))
+    trimmed = F.transform(both, lambda s: F.struct(s["id"].alias("id"), T.strip(s["text"]).alias("text")))
     return F.filter(trimmed, lambda s: F.length(s["text"]) > least)
 
 
 def paragraphs(text: Column, pattern: str = r"\n\n+|\n(?=\s{2,})", keep_blank: bool = False) -> Column:
     parts = F.split(text, pattern)
-    return parts if keep_blank else F.filter(parts, lambda p: F.length(F.trim(p)) > 0)
+    return parts if keep_blank else F.filter(parts, lambda p: p.rlike(r"\S"))
 
 
 def pack(sizes: Column, limit: int = T.MAX_CHUNK, overlap: float = T.OVERLAP_SHARE) -> Column:

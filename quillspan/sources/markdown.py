@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from quillspan.functions.text import strip
+
 CHAPTER = r"(?i)Chapter\s+([\d.]+)"
 SECTION = r"(?i)(?:Sec(?:tion)?\.?\s*)?([\d.-]+)[.:\s-]+\s*(.+)"
 PART = r"(?i)(?:Article|Part)\s+([\w.]+)"
@@ -55,7 +57,7 @@ def subsections(text: Column) -> Column:
     """Inline markers, or without any those at line starts: array<struct<id, text>>."""
     def found(pattern: str) -> Column:
         ids, bodies = (F.regexp_extract_all(text, F.lit(pattern), F.lit(g)) for g in (1, 2))
-        return F.transform(F.arrays_zip(ids.alias("id"), bodies.alias("text")), lambda s: F.struct(F.concat(F.lit("("), s["id"], F.lit(")")).alias("id"), F.trim(s["text"]).alias("text")))
+        return F.transform(F.arrays_zip(ids.alias("id"), bodies.alias("text")), lambda s: F.struct(F.concat(F.lit("("), s["id"], F.lit(")")).alias("id"), strip(s["text"]).alias("text")))
 
     first = found(INLINE)
     return F.when(F.size(first) > 0, first).otherwise(found(LINE))
