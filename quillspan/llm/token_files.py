@@ -138,7 +138,7 @@ class WordEncoder:
     are encoded many at a time, with a special token between them that the tokenizer cuts at.
     """
 
-    def __init__(self, path: str, end_id: int, most: int = 3_000_000):
+    def __init__(self, path: str, end_id: int, most: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most, self.end_id = Tokenizer.from_file(path), most, end_id
@@ -149,8 +149,8 @@ class WordEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.hashes, self.index = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.flat, self.start, self.size = np.zeros(0, np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.hashes, self.index = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.flat, self.start, self.size = np.zeros(0, np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32), np.zeros(0, np.uint32), np.zeros(0, np.uint32)
 
     def ids(self, text: bytes) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, np.uint32)
@@ -176,9 +176,9 @@ class WordEncoder:
         order = np.concatenate([plain, np.flatnonzero(odd)])
         starts = np.zeros(len(words), np.int64)
         starts[order] = len(self.flat) + np.cumsum(sizes[order]) - sizes[order]
-        number = len(self.start) + np.arange(len(words))
+        number = (len(self.start) + np.arange(len(words))).astype(np.int32)
         self.flat = np.concatenate([self.flat, *(x.astype(self.flat.dtype) for x in flat)])
-        self.start, self.size = np.concatenate([self.start, starts]), np.concatenate([self.size, sizes])
+        self.start, self.size = np.concatenate([self.start, starts.astype(np.uint32)]), np.concatenate([self.size, sizes.astype(np.uint32)])
         at = np.searchsorted(self.hashes, hashes)  # hashes come sorted
         self.hashes, self.index = np.insert(self.hashes, at, hashes), np.insert(self.index, at, number)
 
@@ -213,7 +213,7 @@ class WordEncoder:
             letters = (others[found.starts[at_word]] == others[found.ends[at_word]]) & ~odd[at_word]
             self.learn(new[missing], [(raw if o else low)[s:e] for s, e, o in spans], odd[at_word], letters)
         index = self.index[np.searchsorted(self.hashes, new)][back]
-        size = self.size[index]
+        size = self.size[index].astype(np.int64)
         ends = np.cumsum(size)
         total, n = int(ends[-1]) if len(ends) else 0, len(at) - 1
         out = np.full(total + n, self.end_id, np.uint32)
@@ -252,7 +252,7 @@ def write_segments(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: st
             names = names.fill_null(0).to_numpy(zero_copy_only=False)
             lo = 0
             while lo < len(names):
-                hi = max(lo + 1, int(np.searchsorted(at, at[lo] + (2 << 20), "right")) - 1)
+                hi = max(lo + 1, int(np.searchsorted(at, at[lo] + (1 << 20), "right")) - 1)
                 hi = min(hi, len(names))
                 ids, counts = coder.encode(data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo])
                 held.append((ids, names[lo:hi], valid[lo:hi], counts))
