@@ -187,25 +187,56 @@ def signed(x: int) -> int:
 # --- candidates and verification -----------------------------------------------------------------------------------
 
 
-def _thin(a, b, bits, sure):
-    """Spanning edges of the pairs within `sure` bits, and of the others the three closest between each two of those components.
-
-    The others stand in need of verification, so they are kept apart and more than one may stay.
+def _nearest(x: np.ndarray, y: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Places of edges (x, y) that make a spanning forest of least bits."""
+    nodes, ends = np.unique(np.concatenate([x, y]), return_inverse=True)
+    x, y, label, out = ends[: len(x)], ends[len(x) :], np.arange(len(nodes)), []
+    for level in np.unique(bits):
+        left = np.flatnonzero(bits == level)
+        while True:
+            p, q = label[x[left]], label[y[left]]
+            uneven = p != q
+            left, p, q = left[uneven], p[uneven], q[uneven]
+            if not len(left):
+                break
+            # Each component takes one edge to one of a lower number, so no circle can close.
+            high, first = np.unique(np.maximum(p, q), return_index=True)
+            out.append(left[first])
+            parent = np.arange(len(nodes))
+            parent[high] = np.minimum(p, q)[first]
+            while (parent[parent] != parent).any():
+                parent = parent[parent]
+            label = parent[label]
+    return np.concatenate(out) if out else np.zeros(0, np.int64)
+
+
+def _thin(a, b, bits, sure, forests=2):
+    """Spanning edges of the pairs within `sure` bits, and of the others, between those components, `forests` spanning forests.
+
+    The others stand in need of verification, so they are real pairs, the closest first, and more than one may join two
+    parts; their number still grows only with the number of nodes.
     """
     near = bits <= sure
     p, q = forest(a[near], b[near])
     a, b, bits = a[~near], b[~near], bits[~near]
     if not len(a):
         return p, q, a, b
-    root = dict(zip(p.tolist(), q.tolist()))
-    x, y = (np.array([root.get(v, v) for v in e.tolist()], np.int64) for e in (a, b))
-    x, y = np.minimum(x, y), np.maximum(x, y)
-    order = np.lexsort((b, a, bits, y, x))
-    order = order[x[order] != y[order]]
-    a, b, x, y = a[order], b[order], x[order], y[order]
-    keep = np.ones(len(a), bool)
-    keep[3:] = (x[3:] != x[:-3]) | (y[3:] != y[:-3])
-    return p, q, a[keep], b[keep]
+    place = np.searchsorted(p, np.concatenate([a, b])) if len(p) else None
+    ends = np.concatenate([a, b])
+    if place is not None:
+        place = np.minimum(place, len(p) - 1)
+        ends = np.where(p[place] == ends, q[place], ends)
+    x, y = ends[: len(a)], ends[len(a) :]
+    open_ = np.flatnonzero(x != y)
+    kept = []
+    for _ in range(forests):
+        if not len(open_):
+            break
+        own = _nearest(x[open_], y[open_], bits[open_])
+        kept.append(open_[own])
+        open_ = np.delete(open_, own)
+    kept = np.concatenate(kept) if kept else open_
+    return p, q, a[kept], b[kept]
 
 
 def _pairs_of_batch(group, own, fp, radius, sure, small=48):
@@ -219,13 +250,15 @@ def _pairs_of_batch(group, own, fp, radius, sure, small=48):
         i = np.flatnonzero((group[:-d] == group[d:]) & ok[:-d])
         if not len(i):
             break
-        i = i[(own[i] | own[i + d]) & (np.bitwise_count(u[i] ^ u[i + d]) <= radius)]
+        apart = np.bitwise_count(u[i] ^ u[i + d])
+        i = i[(own[i] | own[i + d]) & (apart <= radius) & (apart > 0)]
         left.append(fp[i])
         right.append(fp[i + d])
     for s, n in zip(starts[sizes > small], sizes[sizes > small], strict=True):
         x, o = u[s : s + n], own[s : s + n]
         for lo in range(0, n, 256):
-            near = (np.bitwise_count(x[lo : lo + 256, None] ^ x[None, lo:]) <= radius) & (o[lo : lo + 256, None] | o[None, lo:])
+            apart = np.bitwise_count(x[lo : lo + 256, None] ^ x[None, lo:])
+            near = (apart <= radius) & (apart > 0) & (o[lo : lo + 256, None] | o[None, lo:])
             i, j = np.nonzero(near)
             i, j = s + lo + i, s + lo + j
             for a, b in zip(*[iter(_thin(fp[i], fp[j], np.bitwise_count(u[i] ^ u[j]), sure))] * 2):
@@ -236,9 +269,25 @@ def _pairs_of_batch(group, own, fp, radius, sure, small=48):
     return np.concatenate(left), np.concatenate(right)
 
 
-def _verify(radius: int, sure: int):
+def _verify(radius: int, sure: int, most: int = 200_000):
     def run(batches):
         kept = None
+        near, far = [], []
+
+        def add(group, own, fp):
+            a, b = _pairs_of_batch(group, own, fp, radius, sure)
+            near.append(a)
+            far.append(b)
+            if sum(map(len, near)) > most:
+                thin()
+
+        def thin():
+            a, b = np.concatenate(near), np.concatenate(far)
+            p, q, c, d = _thin(a, b, np.bitwise_count(a.view(np.uint64) ^ b.view(np.uint64)), sure)
+            near[:], far[:] = [c], [d]
+            stars.append((p, q))
+
+        stars = []
         for rb in batches:
             cols = [rb.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
             if kept is not None:
@@ -251,17 +300,18 @@ def _verify(radius: int, sure: int):
             last = int(np.searchsorted(group, group[-1]))
             kept = [c[last:] for c in cols]  # the last group may go on in the next batch
             if last:
-                yield from out(group[:last], own[:last], fp[:last])
+                add(group[:last], own[:last], fp[:last])
+            if len(stars) > 16:
+                stars[:] = [forest(*(np.concatenate(x) for x in zip(*stars)))]
         if kept is not None and len(kept[4]):
-            yield from out(np.zeros(len(kept[4]), np.int64), kept[3], kept[4])
-
-    def out(group, own, fp):
-        a, b = _pairs_of_batch(group, own, fp, radius, sure)
-        bits = np.bitwise_count(a.view(np.uint64) ^ b.view(np.uint64))
-        a, b, c, d = _thin(a[bits > 0], b[bits > 0], bits[bits > 0], sure)
-        if len(a) + len(c):
-            far = np.repeat([False, True], [len(a), len(c)])
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(a, c)), pa.array(np.append(b, d)), pa.array(far)], names=["a", "b", "far"])
+            add(np.zeros(len(kept[4]), np.int64), kept[3], kept[4])
+        if near:
+            thin()
+        if stars:
+            p, q = forest(*(np.concatenate(x) for x in zip(*stars)))
+            a, b = np.concatenate([p, *near]), np.concatenate([q, *far])
+            is_far = np.arange(len(a)) >= len(p)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(is_far)], names=["a", "b", "far"])
 
     return run
 
@@ -291,14 +341,14 @@ def links(fps: DataFrame, radius: int, sure: int | None = None, heavy: int = 409
     )
     same = Window.partitionBy("part", "key")
     rows = rows.withColumns({"n": F.count(F.lit(1)).over(same), "owners": F.sum(F.col("own").cast("int")).over(same)}).where("n > 1 and owners > 0")
+    rows = materialise(rows.select("part", "key", "own", "fp", "n"), "candidates")
+    light = rows.where(F.col("n") <= heavy).select("part", "key", F.lit(0).cast("long").alias("cell"), "own", "fp")
     # A heavy value's rows are cut into blocks; cell x * blocks + y holds blocks x <= y.
     blocks = F.ceil(F.col("n") / heavy).cast("long")
-    rows = rows.withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("fp"), blocks)}).select(
-        "part", "key", "own", "fp",
-        F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda y: F.least(y, F.col("block")) * F.col("blocks") + F.greatest(y, F.col("block")))).alias("cell"),
-    )
+    cells = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda y: F.least(y, F.col("block")) * F.col("blocks") + F.greatest(y, F.col("block")))
+    hot = rows.where(F.col("n") > heavy).withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("fp"), blocks)}).select("part", "key", F.explode(cells).alias("cell"), "own", "fp")
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.select("part", "key", "cell", "own", "fp").repartition(width, "part", "key", "cell").sortWithinPartitions("part", "key", "cell")
+    dealt = light.union(hot).repartition(width, "part", "key", "cell").sortWithinPartitions("part", "key", "cell")
     return dealt.mapInArrow(_verify(radius, sure), "a long, b long, far boolean")
 
 
