@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -77,6 +79,8 @@ def pieces(at: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
         lo = min(hi, n)
 
 
-def longs(spark: SparkSession, df: DataFrame) -> int:
-    """A number of shuffle partitions for small rows: what the session is set to."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def give_back_memory() -> None:
+    """Let the C library map every array of a megabyte or more by itself, so that a Python worker, which lives on between
+    tasks, gives it back to the system when it is freed. Without this the threshold grows and the worker keeps its peak."""
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such setting
+        ctypes.CDLL(None).mallopt(-3, 1 << 20)

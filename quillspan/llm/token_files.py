@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from quillspan.llm import words as W
-from quillspan.llm.common import materialise, utf8
+from quillspan.llm.common import give_back_memory, materialise, utf8
 
 BLOCK, PERCENTILE = 1024, 90
 
@@ -225,13 +225,14 @@ class WordEncoder:
 _ENCODERS: dict[tuple[str, int], WordEncoder] = {}
 
 
-def write_segments(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None, segment_tokens: int = 1 << 20) -> DataFrame:
+def write_segments(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None, segment_tokens: int = 1 << 18) -> DataFrame:
     """Encode every text, append end_id, and write the ids as segments in ascending id order; returns the table that was written."""
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).repartitionByRange(parts, F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back_memory()
         coder = _ENCODERS.setdefault((tokenizer_path, end_id), None) or WordEncoder(tokenizer_path, end_id)
         _ENCODERS[tokenizer_path, end_id] = coder  # kept for the worker's next task
         part, seq, first, held = TaskContext.get().partitionId(), 0, 0, []
@@ -252,7 +253,7 @@ def write_segments(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: st
             names = names.fill_null(0).to_numpy(zero_copy_only=False)
             lo = 0
             while lo < len(names):
-                hi = max(lo + 1, int(np.searchsorted(at, at[lo] + (1 << 20), "right")) - 1)
+                hi = max(lo + 1, int(np.searchsorted(at, at[lo] + (1 << 19), "right")) - 1)
                 hi = min(hi, len(names))
                 ids, counts = coder.encode(data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo])
                 held.append((ids, names[lo:hi], valid[lo:hi], counts))
@@ -271,8 +272,10 @@ def read_documents(segments: DataFrame) -> DataFrame:
     before = np.concatenate([[0], np.cumsum([sums.get(p, 0) for p in range(max(sums, default=0) + 1)])])[:-1].astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back_memory()
         for rb in batches:
-            for row in rb.to_pylist():
+            for i in range(len(rb)):
+                row = rb.slice(i, 1).to_pylist()[0]
                 s = Segment(row["body"])
                 ends = np.cumsum(s.counts)
                 starts = ends - s.counts
