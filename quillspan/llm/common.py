@@ -79,6 +79,18 @@ def pieces(at: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
         lo = min(hi, n)
 
 
+@contextlib.contextmanager
+def rows_a_batch(spark: SparkSession, n: int) -> Iterator[None]:
+    """At most n rows in each Arrow batch of what runs inside; buffers of long texts stay small on both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def give_back_memory() -> None:
     """Let the C library map every array of a megabyte or more by itself, so that a Python worker, which lives on between
     tasks, gives it back to the system when it is freed. Without this the threshold grows and the worker keeps its peak."""

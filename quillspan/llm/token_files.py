@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from quillspan.llm import words as W
-from quillspan.llm.common import give_back_memory, materialise, utf8
+from quillspan.llm.common import give_back_memory, materialise, rows_a_batch, utf8
 
 BLOCK, PERCENTILE = 1024, 90
 
@@ -263,7 +263,8 @@ def write_segments(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: st
         if held:
             yield segment()
 
-    return materialise(ordered.mapInArrow(run, "part int, seq int, first long, tokens long, body binary"), "segments")
+    with rows_a_batch(spark, 400):  # the table is written before this returns
+        return materialise(ordered.mapInArrow(run, "part int, seq int, first long, tokens long, body binary"), "segments")
 
 
 def read_documents(segments: DataFrame) -> DataFrame:
