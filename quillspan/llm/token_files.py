@@ -253,7 +253,7 @@ def write_segments(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: st
             names = names.fill_null(0).to_numpy(zero_copy_only=False)
             lo = 0
             while lo < len(names):
-                hi = max(lo + 1, int(np.searchsorted(at, at[lo] + (1 << 19), "right")) - 1)
+                hi = max(lo + 1, int(np.searchsorted(at, at[lo] + (3 << 19), "right")) - 1)
                 hi = min(hi, len(names))
                 ids, counts = coder.encode(data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo])
                 held.append((ids, names[lo:hi], valid[lo:hi], counts))
