@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import contextlib
-import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -89,10 +88,3 @@ def rows_a_batch(spark: SparkSession, n: int) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(key, old)
-
-
-def give_back_memory() -> None:
-    """Let the C library map every array of a megabyte or more by itself, so that a Python worker, which lives on between
-    tasks, gives it back to the system when it is freed. Without this the threshold grows and the worker keeps its peak."""
-    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such setting
-        ctypes.CDLL(None).mallopt(-3, 1 << 20)

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from quillspan.llm import words as W
-from quillspan.llm.common import give_back_memory, materialise, rows_a_batch, utf8
+from quillspan.llm.common import materialise, rows_a_batch, utf8
 
 BLOCK, PERCENTILE = 1024, 90
 
@@ -232,7 +232,6 @@ def write_segments(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: st
     ordered = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).repartitionByRange(parts, F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give_back_memory()
         coder = _ENCODERS.setdefault((tokenizer_path, end_id), None) or WordEncoder(tokenizer_path, end_id)
         _ENCODERS[tokenizer_path, end_id] = coder  # kept for the worker's next task
         part, seq, first, held = TaskContext.get().partitionId(), 0, 0, []
@@ -273,7 +272,6 @@ def read_documents(segments: DataFrame) -> DataFrame:
     before = np.concatenate([[0], np.cumsum([sums.get(p, 0) for p in range(max(sums, default=0) + 1)])])[:-1].astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give_back_memory()
         for rb in batches:
             for i in range(len(rb)):
                 row = rb.slice(i, 1).to_pylist()[0]
