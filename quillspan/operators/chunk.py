@@ -7,7 +7,7 @@ sections. Families differ in the paragraph pattern and in how the overlap is cou
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillspan.functions import text as T
 
@@ -111,3 +111,49 @@ def stats(chunks: DataFrame, *by: str) -> DataFrame:
         F.count(F.lit(1)).alias("total_chunks"), F.sum(n).alias("total_tokens"), F.avg(n).alias("avg_tokens"), F.min(n).alias("min_tokens"), F.max(n).alias("max_tokens"),
         F.count_if((F.col("total_chunks") > 1) & (F.col("chunk_index") == 0)).alias("split_sections"),
     )
+
+
+#: Families of sections: the chunk id's head, the registry column that names the source, the columns of its id.
+FAMILIES = {
+    "cfr": ("title", ("title", "part", "section")),
+    "tx-statute": ("code", ("code", "chapter", "section")),
+    "tx-tac": ("title", ("title", "chapter", "section")),
+    "county": ("county", ("county", "chapter", "section")),
+    "municipal": ("city_id", ("city_id", "chapter", "section")),
+}
+
+
+def family_chunks(sections: DataFrame, family: str, year: int, limit: int = T.MAX_CHUNK) -> DataFrame:
+    """Chunks of one family's sections with chunk_id, source_id, citation and, but for counties, hierarchy.
+
+    sections has the family's id columns as texts, text, and what its citation names: cfr chapter; tx-statute code_name
+    and cited_as; tx-tac title_name; county code_name; municipal city. Federal paragraphs may begin at indented lines,
+    and its citations end in the subsection; the other families keep blank paragraphs, match markers anywhere and put a
+    blank before the subsection. Municipal chunks count over the city, the others over their section.
+    """
+    source, ids = FAMILIES[family]
+    federal = family == "cfr"
+    options = {} if federal else {"pattern": r"\n\n+", "keep_blank": True, "anchored": False}
+    rows = chunk(sections, limit=limit, **options)
+    c, sub = F.col, F.coalesce(F.concat(F.lit("" if federal else " "), "subsection"), F.lit(""))
+    section = F.concat(c("section"), sub)
+    if federal:
+        cite, path = T.federal_citation(c("title"), c("section"), sub), T.federal_breadcrumb(c("title"), c("chapter"), c("part"), section)
+    elif family == "tx-statute":
+        cite, path = F.concat(T.statute_citation(c("cited_as"), c("section"), year), sub), T.state_breadcrumb("statute", c("code_name"), c("chapter"), section)
+    elif family == "tx-tac":
+        cite, path = F.concat(T.rule_citation(c("title"), c("section"), year), sub), T.state_breadcrumb("tac", c("title_name"), c("chapter"), section)
+    elif family == "county":
+        cite, path = F.concat(T.county_citation(c("county"), c("code_name"), c("section"), year), sub), None
+    else:
+        cite, path = F.concat(T.city_citation(c("city"), c("section"), year), sub), T.state_breadcrumb("municipal", c("city"), c("chapter"), section)
+    added = {"chunk_id": T.chunk_id(family, *(c(i) for i in ids), c("chunk_index")), "source_id": T.source_id(family, c(source)), "citation": cite, "tokens": T.tokens(c("chunk_text"))}
+    if path is not None:
+        added["hierarchy"] = path
+    out = rows.withColumns(added)
+    if family == "municipal":
+        city = Window.partitionBy("city_id")  # a city's chunks, not a corpus's
+        out = out.withColumns({
+            "total_chunks": F.count(F.lit(1)).over(city).cast("int"), "chunk_index": (F.row_number().over(city.orderBy("chapter", "section", "chunk_index")) - 1).cast("int"),
+        })
+    return out

@@ -70,3 +70,36 @@ def history(conversations: DataFrame, messages: DataFrame, key: str, most: int =
 
 def new_conversation_title(question: Column) -> Column:
     return excerpt(question, 50)
+
+
+def matching(rows: DataFrame, **wanted: object) -> DataFrame:
+    """Rows that equal every given value; None asks for nothing."""
+    for name, value in wanted.items():
+        if value is not None:
+            rows = rows.where(F.col(name) == F.lit(value))
+    return rows
+
+
+def saved_query(question: str, answer: str, now, conversation: str | None, fresh_id: str, user: str = "system") -> tuple[list[dict], list[dict]]:
+    """(conversation rows, message rows) that keep a question and its answer.
+
+    A new conversation is titled by the question's first 50 characters; an old one only gets its updated_at. Citations
+    stay in the answer's text and are not stored beside it.
+    """
+    key = conversation or fresh_id
+    title = None if conversation else question if len(question) <= 50 else question[:50] + "..."
+    thread = {"conversation_id": key, "user_id": None if conversation else user, "title": title, "created_at": None if conversation else now, "updated_at": now}
+    said = [("user", question), ("assistant", answer)]
+    return [thread], [{"conversation_id": key, "turn": i, "role": r, "text": t, "status": "complete", "created_at": now, "updated_at": now} for i, (r, t) in enumerate(said)]
+
+
+def patched(table: DataFrame, patch: DataFrame, key: str) -> DataFrame:
+    """Keyed patch: a column that the patch holds a value for wins, nulls keep the old one; new keys are added."""
+    rest = [c for c in table.columns if c != key]
+    return table.alias("o").join(patch.alias("n"), key, "full_outer").select(key, *[F.coalesce(F.col(f"n.{c}"), F.col(f"o.{c}")).alias(c) if c in patch.columns else F.col(f"o.{c}").alias(c) for c in rest])
+
+
+def covering_batches(rows: DataFrame, vectors: DataFrame, key: str, order: list[str], size: int = 100) -> tuple[DataFrame, DataFrame]:
+    """(upsert batches with their vectors, rows without any): batch k holds rows [k * size, (k + 1) * size)."""
+    numbered = batches(rows, order, size)
+    return numbered.join(vectors, key), numbered.join(vectors.select(key).distinct(), key, "left_anti")

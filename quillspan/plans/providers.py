@@ -10,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from quillspan.functions.text import tokens
+
 EMBED_BATCH, UPSERT_BATCH, MAX_TOKENS = 64, 100, 8191
 
 
@@ -75,3 +77,14 @@ def embed(rows: DataFrame, embedder: Embedder, text: str = "text") -> DataFrame:
             yield pa.array([v.tolist() for p in parts for v in p], pa.list_(pa.float32()))
 
     return rows.withColumn("embedding", of(F.col(text)))
+
+
+def embedding_stats(rows: int) -> dict[str, int]:
+    """Provider and upsert batches that a number of rows takes."""
+    return {"rows": rows, "embed_batches": -(-rows // EMBED_BATCH), "upsert_batches": -(-rows // UPSERT_BATCH)}
+
+
+def embeddable(rows: DataFrame, text: str = "text", most: int = MAX_TOKENS) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected): texts above a provider's token limit leave with a reason before any call is made."""
+    n = tokens(F.col(text))
+    return rows.where(n <= most), rows.where(n > most).withColumn("reason", F.format_string("%d tokens are above the limit of %d", n, F.lit(most)))

@@ -103,3 +103,12 @@ def chapter_sections(html: Column, code: str, chapter: str) -> Column:
 def rule_chapters(html: Column) -> Column:
     both = F.array_union(discovered(html, r"[?&]ch=(\d+)"), discovered(html, r"Chapter\s+(\d+)"))
     return F.array_sort(both, lambda a, b: a.cast("int") - b.cast("int"))
+
+
+def chapter_rules(html: Column, chapter: str) -> Column:
+    """Rule numbers of a chapter from links and from section signs in the text, in number order."""
+    own = re.escape(chapter)
+    found = [discovered(html, p, "float") for p in (r"[?&]rl=([\d.]+)", rf"§\s*({own}\.[\d.]+)", rf"(?i)Section\s+({own}\.[\d.]+)")]
+    both = F.array_union(F.array_union(found[0], found[1]), found[2])
+    number = lambda x: x.try_cast("double")
+    return F.array_sort(both, lambda a, b: F.when(number(a) < number(b), -1).when(number(a) > number(b), 1).otherwise(0))

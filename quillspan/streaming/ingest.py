@@ -28,11 +28,16 @@ def ingest(sections: DataFrame, out: str, checkpoint: str, key: str = "doc_id",
     return sections.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def absent(e: Exception) -> bool:
+    """Whether a read failed only because nothing has been written yet."""
+    return "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e)
+
+
 def _known(spark: SparkSession, out: str, key: str) -> DataFrame | None:
     try:
         rows = spark.read.parquet(out)
     except Exception as e:
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+        if absent(e):
             return None
         raise
     return last_write(rows.select(key, "digest", "batch"), [key], ["batch"])
