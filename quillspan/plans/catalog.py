@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from quillspan.functions import text as T
 from quillspan.operators import answer as A, chunk as C, coverage as V, quality as Q, retrieval as R, store as S
+from quillspan.plans import pipelines, providers as P, registry
+from quillspan.sources import files, html as H, markdown as M
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -424,11 +426,9 @@ def subsection_markers(spark, sf_dir):
 @query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
 g AS (SELECT *, max(CASE WHEN i % 4 = 1 THEN i END) OVER (PARTITION BY doc_id ORDER BY i) AS h FROM l) SELECT doc_id, CAST(h AS INTEGER) AS section, count(*) AS lines, CAST(sum(length(line)) AS BIGINT) AS n_chars FROM g GROUP BY doc_id, h""")
 def markdown_sections(spark, sf_dir):
-    from quillspan.sources.markdown import carry_headings
-
     lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line"))
     lines = lines.withColumn("i", F.col("i") + 1).withColumn("heading", F.when(F.col("i") % 4 == 1, F.col("i")))
-    return carry_headings(lines, ["doc_id"], "i", "heading").groupBy("doc_id", F.col("heading").alias("section")).agg(F.count(F.lit(1)).alias("lines"), F.sum(F.length("line")).cast("long").alias("n_chars"))
+    return M.carry_headings(lines, ["doc_id"], "i", "heading").groupBy("doc_id", F.col("heading").alias("section")).agg(F.count(F.lit(1)).alias("lines"), F.sum(F.length("line")).cast("long").alias("n_chars"))
 
 
 # --- answers -------------------------------------------------------------------------------------------------------
@@ -567,3 +567,92 @@ def upsert_batch_join(spark, sf_dir):
 def batch_rollup(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     return e.groupBy("user_id").agg(F.count(F.lit(1)).alias("runs"), F.round(F.sum("value"), 4).alias("value"), F.bool_and(F.col("event_type") != "error").alias("success"), F.count_if(F.col("event_type") == "error").alias("failed"))
+
+
+# --- families, lookups and lists -----------------------------------------------------------------------------------
+
+
+@query(f"""WITH {_SECTIONS}, n AS (SELECT s.*, p_name FROM s JOIN part USING (p_partkey)) SELECT 'tx-statute-HS-' || part || '-' || section || '-0' AS chunk_id, 'tx-statute-HS' AS source_id, 'Tex. Health & Safety Code Ann. § ' || section || ' (West 2026)' AS citation, 0 AS chunk_index, 1 AS total_chunks FROM n
+UNION ALL SELECT 'county-fort-bend-' || part || '-' || section || '-0', 'county-fort-bend', 'Fort Bend County, Tex., Code of Ordinances sect. ' || section || ' (2026)', 0, 1 FROM n
+UNION ALL SELECT 'cfr-' || title || '-' || part || '-' || section || '-0', 'cfr-title-' || title, CASE WHEN section <> 'abc' THEN title || ' C.F.R. § ' || section END, 0, 1 FROM n""")
+def family_chunks(spark, sf_dir):
+    s = sections(spark, sf_dir).join(table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("text")), "p_partkey")
+    part = F.col("part").cast("string")
+    code = s.select(F.lit("HS").alias("code"), F.lit("Health & Safety Code").alias("code_name"), F.lit("Health & Safety Code").alias("cited_as"), part.alias("chapter"), "section", "text")
+    county = s.select(F.lit("Fort Bend").alias("county"), F.lit("Code of Ordinances").alias("code_name"), part.alias("chapter"), "section", "text")
+    federal = s.select(F.col("title").cast("string").alias("title"), F.lit("I").alias("chapter"), part.alias("part"), "section", "text")
+    each = [C.family_chunks(d, f, 2026).select("chunk_id", "source_id", "citation", "chunk_index", "total_chunks") for d, f in ((code, "tx-statute"), (county, "county"), (federal, "cfr"))]
+    return each[0].unionByName(each[1]).unionByName(each[2])
+
+
+@query(_STATS[: _STATS.rindex("SELECT source_type")] + " SELECT doc_id, 'chunk of ' || tokens || ' tokens is above the limit of 1500' AS reason FROM w WHERE tokens > 1500")
+def chunk_rejects(spark, sf_dir):
+    d = documents(spark, sf_dir).select("doc_id", "source_type", "text")
+    return C.oversize(C.chunk(d, pattern=PARAGRAPH))[1].select("doc_id", "reason")
+
+
+@query(f"WITH {_DOCS} SELECT doc_id, tokens || ' tokens are above the limit of 8191' AS reason FROM d WHERE tokens > 8191")
+def embedding_rejects(spark, sf_dir):
+    return P.embeddable(table(spark, sf_dir, "documents"))[1].select("doc_id", "reason")
+
+
+@query(r"""SELECT page_id, array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(html, 'href="[^"]*?(\d+)"', 1), lambda x: CAST(x AS INTEGER)))), ',') AS numbers FROM pages""")
+def discovered_numbers(spark, sf_dir):
+    found = H.discovered(F.col("html"), r'href="[^"]*?(\d+)"')
+    return table(spark, sf_dir, "pages").select("page_id", F.array_join(F.transform(found, lambda x: x.cast("int").cast("string")), ",").alias("numbers"))
+
+
+@query(f"""WITH {_SECTIONS} SELECT p_partkey, array_to_string(list_filter([CASE WHEN length(p_name) < 10 THEN 'short text' END, CASE WHEN p_brand = 'Brand#11' THEN 'missing heading' END], lambda x: x IS NOT NULL), ',') AS issues,
+length(p_name) >= 10 AS is_valid FROM s JOIN part USING (p_partkey)""")
+def section_issues(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("text"), F.when(F.col("p_brand") != "Brand#11", F.col("p_brand")).alias("heading"))
+    rows = M.issues(sections(spark, sf_dir).join(p, "p_partkey"))
+    return rows.select("p_partkey", F.array_join("issues", ",").alias("issues"), "is_valid")
+
+
+@query("SELECT user_id AS title, count(DISTINCT event_id) AS parts, round((epoch_ms(TIMESTAMP '2024-01-31') - epoch_ms(max(ts))) / 3600000, 1) AS age_hours, epoch_ms(TIMESTAMP '2024-01-31') - epoch_ms(max(ts)) >= 2 * 86400000 AS stale FROM events GROUP BY 1")
+def cache_status(spark, sf_dir):
+    held = table(spark, sf_dir, "events").select(F.col("user_id").alias("title"), F.col("event_id").alias("part"), F.col("ts").cast("timestamp").alias("stored_at"))
+    return pipelines.cache_status(held, F.lit("2024-01-31").cast("timestamp"), 2)
+
+
+@query("SELECT c_mktsegment AS platform, count(*) AS sources FROM customer WHERE c_acctbal > 0 GROUP BY 1")
+def platform_stats(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("platform"), (F.col("c_acctbal") > 0).alias("enabled"))
+    return registry.platform_stats(c, enabled_only=True)
+
+
+@query("SELECT source, count(*) AS files, CAST(sum(strlen(text)) AS BIGINT) AS bytes FROM documents GROUP BY source")
+def storage_stats(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("source", F.octet_length("text").cast("long").alias("size"))
+    return files.storage_stats(d, "source")
+
+
+@query("SELECT n_nationkey, n_name FROM nation WHERE lower(n_name) = lower('France') OR n_nationkey = 7")
+def registry_lookup(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return registry.lookup(n, "n_name", "france", ignore_case=True).union(registry.lookup(n, "n_nationkey", 7)).distinct()
+
+
+@query("SELECT conv_id, turn FROM conversations WHERE role = 'user' AND turn = 2")
+def filtered_list(spark, sf_dir):
+    return S.matching(table(spark, sf_dir, "conversations"), role="user", turn=2, conv_id=None).select("conv_id", "turn")
+
+
+@query("SELECT coalesce(c_custkey, s_suppkey) AS key, coalesce(CASE WHEN s_suppkey % 2 = 0 THEN s_name END, c_name) AS name, coalesce(s_nationkey, c_nationkey) AS nation FROM customer FULL JOIN supplier ON c_custkey = s_suppkey")
+def patched_rows(spark, sf_dir):
+    old = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"))
+    new = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("key"), F.when(F.col("s_suppkey") % 2 == 0, F.col("s_name")).alias("name"), F.col("s_nationkey").alias("nation"))
+    return S.patched(old, new, "key")
+
+
+@query(f"WITH {_DOCS} SELECT jurisdiction, count(*) AS vectors FROM d GROUP BY 1")
+def indexed_jurisdictions(spark, sf_dir):
+    return V.indexed(documents(spark, sf_dir))
+
+
+@query("SELECT 'supplier' AS family, s_suppkey AS key, NULL AS segment FROM supplier UNION ALL SELECT 'customer', c_custkey, c_mktsegment FROM customer")
+def source_union(spark, sf_dir):
+    s = table(spark, sf_dir, "supplier").select(F.lit("supplier").alias("family"), F.col("s_suppkey").alias("key"))
+    c = table(spark, sf_dir, "customer").select(F.lit("customer").alias("family"), F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("segment"))
+    return s.unionByName(c, allowMissingColumns=True)

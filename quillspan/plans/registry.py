@@ -114,6 +114,6 @@ def platform_stats(registry: DataFrame, enabled_only: bool = False) -> DataFrame
     return rows.groupBy("platform").agg(F.count(F.lit(1)).alias("sources"))
 
 
-def lookup(registry: DataFrame, key: str, value: str, ignore_case: bool = False) -> DataFrame:
+def lookup(registry: DataFrame, key: str, value: object, ignore_case: bool = False) -> DataFrame:
     """Rows whose key is value; names are compared without regard to case."""
-    return registry.where(F.lower(key) == value.lower()) if ignore_case else registry.where(F.col(key) == value)
+    return registry.where(F.lower(key) == str(value).lower()) if ignore_case else registry.where(F.col(key) == value)
