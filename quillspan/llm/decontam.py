@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, functions as F
 from quillspan.llm import words as W
 from quillspan.llm.common import pieces, utf8
 
+#: Windows times items that are compared at once.
+CELLS = 1 << 22
 _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 
@@ -63,7 +65,8 @@ class Items:
         blocks = self.prints.view(np.uint8).reshape(-1, 8)
         values = np.arange(256, dtype=np.uint8)
         reach = radius // 8
-        self.near = [np.bitwise_count(values[:, None] ^ blocks[None, :, b]) <= reach for b in range(8)]
+        self.of_size = {int(n): np.flatnonzero(self.size == n) for n in np.unique(self.size)}
+        self.near = [{n: np.bitwise_count(values[:, None] ^ blocks[None, own, b]) <= reach for n, own in self.of_size.items()} for b in range(8)]
 
     def weights(self, shingles: np.ndarray) -> np.ndarray:
         return np.array([self.weight.get(s, 1.0) for s in shingles.tolist()])
@@ -89,17 +92,19 @@ class Items:
                 continue
             cut = np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1)
             prints = np.concatenate([self.fingerprints(shingles[c[0] : c[-1] + run], run) for c in cut])
-            found = np.zeros((len(starts), len(self.ids)), bool)
-            for b, column in enumerate(prints.view(np.uint8).reshape(-1, 8).T):
-                found |= self.near[b][column]
-            found &= self.size == size
-            for w, i in zip(*np.nonzero(found)):
-                apart = int(np.bitwise_count(prints[w] ^ self.prints[i]))
-                if apart > self.radius:
-                    continue
-                score = self.similarity(shingles[starts[w] : starts[w] + run], i)
-                if score >= threshold and score > best.get(i, (0,))[0]:
-                    best[int(i)] = score, apart, int(starts[w])
+            same = self.of_size[size]
+            for lo in range(0, len(starts), max(1, CELLS // len(same))):
+                found = np.zeros((len(starts[lo : lo + max(1, CELLS // len(same))]), len(same)), bool)
+                for b, column in enumerate(prints[lo : lo + len(found)].view(np.uint8).reshape(-1, 8).T):
+                    found |= self.near[b][size][column]
+                for w, j in zip(*np.nonzero(found)):
+                    w, i = lo + w, int(same[j])
+                    apart = int(np.bitwise_count(prints[w] ^ self.prints[i]))
+                    if apart > self.radius:
+                        continue
+                    score = self.similarity(shingles[starts[w] : starts[w] + run], i)
+                    if score >= threshold and score > best.get(i, (0,))[0]:
+                        best[i] = score, apart, int(starts[w])
         for i, (score, apart, start) in best.items():
             yield i, score, apart, start
 
@@ -121,7 +126,8 @@ def contaminated(
 
     Returns doc_id, item_id, similarity, bits (that the fingerprints differ in), first_word and n_words of the window.
     The items are read in blocks of `block` rows; each block is sent to the executors and searched over all documents, so
-    the items in memory are bounded whatever the benchmark's size. Items without a word, null texts and texts without a
+    the items in memory are bounded whatever the benchmark's size. Shingles are weighed by the items of their block, so a
+    benchmark of more than `block` items is searched as several benchmarks would be. Items without a word, null texts and texts without a
     word match nothing; items shorter than a shingle are one shingle. Rows with a null id keep it; repeated documents or
     items give repeated rows; an empty table gives an empty result; other columns are not read.
     """
