@@ -6,9 +6,10 @@ times, of N with q different ones, has chance n / (N + q); else q / (N + q) is t
 of the longer one are excluded; after the last come the symbols never seen, all alike. A text's score is the base-10
 logarithm of the chance of its bytes (A-Z lower-cased) and an end symbol, from a start context.
 
-Sequences rarer than `least` of all training symbols are left out and their mass is given to the escape, so that a context length has at most 1 / least of
-them: that bounds what is sent to the executors, at every size of the corpus. The same share bounds the table of
-frequent words of the unigram base score; all rarer words are joined with their counts, none is left out.
+The model is whole: no sequence is left out, however rare. A symbol's chance depends on its ORDER bytes of context alone, so
+each sequence of ORDER + 1 bytes is scored once. The most frequent ones, at most 1 / least, are sent to the executors; a
+document's others are joined with their scores. Sequences that no training document has are scored by joins with the
+tables of all context lengths. The unigram base score's words are treated alike: words rarer than `least` are joined.
 """
 
 from __future__ import annotations
@@ -61,68 +62,6 @@ class Table:
         return out
 
 
-class Trie:
-    """Contexts of 0 to ORDER bytes; levels[k] holds keys (context and symbol, the symbol lowest), the symbol's count, and
-    the count of all symbols and number of different ones that the context has. Those may include symbols that were left
-    out as rare: the mass of these goes to the escape."""
-
-    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]):
-        self.levels = []
-        below = None
-        for keys, counts, seen, kinds in levels:
-            order = np.argsort(keys.view(np.uint64))
-            keys, counts, seen, kinds = keys[order].view(np.uint64), *(x[order].astype(np.float64) for x in (counts, seen, kinds))
-            contexts, first = np.unique(keys >> np.uint64(8), return_index=True)
-            own = np.repeat(np.arange(len(contexts)), np.diff(np.append(first, len(keys))))
-            seen, kinds, held = seen[first], kinds[first], np.bincount(own, minlength=len(contexts))
-            rare = seen - np.bincount(own, counts, len(contexts))
-            level = {"grams": Table(keys), "contexts": Table(contexts), "count": counts, "of": own, "whole": seen + kinds, "leave": kinds + rare}
-            level["escape"] = self._log(level["leave"], level["whole"])
-            if below is not None:  # the shorter context without this one's symbols
-                k = len(self.levels)
-                shorter = below["contexts"].find(contexts & np.uint64((1 << 8 * (k - 1)) - 1)) if k > 1 else np.zeros(len(contexts), np.int64)
-                mask = np.uint64((1 << 8 * k) - 1)
-                taken = np.bincount(own, below["count"][below["grams"].find(keys & mask)], len(contexts))
-                level["rest"] = below["whole"][shorter] - taken - held
-                leave = below["leave"][shorter] - held
-                level["rest_escape"] = np.where(leave > 0, self._log(leave, level["rest"]), 0.0)
-            self.levels.append(level)
-            below = level
-        root = self.levels[0]
-        self.unseen = -np.log10(max(SYMBOLS - len(root["count"]), 1))
-
-    @staticmethod
-    def _log(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.log10(np.maximum(a, 1e-300)) - np.log10(np.maximum(b, 1e-300))
-
-    def score(self, keys: np.ndarray) -> np.ndarray:
-        """Base-10 logarithm of the chance of each symbol; keys: ORDER bytes of context and the symbol."""
-        out = np.zeros(len(keys))
-        left = np.arange(len(keys))
-        rest = np.full(len(keys), np.nan)  # what the chosen level's counts sum to when a longer context excludes symbols
-        rest_escape = np.full(len(keys), np.nan)
-        for k in range(len(self.levels) - 1, -1, -1):
-            level = self.levels[k]
-            key = keys[left] & np.uint64((1 << 8 * (k + 1)) - 1)
-            gram = level["grams"].find(key)
-            hit = gram >= 0
-            if hit.any():
-                g, i = gram[hit], left[hit]
-                whole = np.where(np.isnan(rest[i]), level["whole"][level["of"][g]], rest[i])
-                out[i] += np.log10(level["count"][g]) - np.log10(whole)
-            left, key = left[~hit], key[~hit]
-            if not len(left):
-                return out
-            context = level["contexts"].find(key >> np.uint64(8))
-            here = np.flatnonzero(context >= 0)
-            c, i = context[here], left[here]
-            out[i] += np.where(np.isnan(rest_escape[i]), level["escape"][c], rest_escape[i])
-            if k:
-                rest[i], rest_escape[i] = level["rest"][c], level["rest_escape"][c]
-        out[left] += self.unseen
-        return out
-
-
 def byte_keys(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Context and symbol of every byte and of the end of each row, and the row offsets into them."""
     n = len(at) - 1
@@ -191,6 +130,68 @@ def held_out_column(id_col: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 10 == 0
 
 
+def _suffixes(first: int = 0):
+    """Array of context lengths k with the masks of k bytes and a symbol, and of k bytes."""
+    return F.array(*[F.struct(F.lit(k).alias("k"), F.lit((1 << 8 * (k + 1)) - 1).alias("mask"), F.lit((1 << 8 * k) - 1).alias("of")) for k in range(first, ORDER + 1)])
+
+
+def unseen_scores(keys: DataFrame, grams: DataFrame) -> DataFrame:
+    """key and score of keys (distinct) that grams (key, n), the training counts of ORDER + 1 bytes, has not.
+
+    Contexts of up to 2 bytes are at most 257 * 257, as are sequences of up to 2 bytes: these are broadcast, because many
+    keys share one. Longer ones are joined.
+    """
+    levels = (
+        grams.select("n", "key", F.explode(_suffixes()).alias("s"))
+        .groupBy(F.col("s.k").alias("k"), F.col("key").bitwiseAND(F.col("s.mask")).alias("gram")).agg(F.sum("n").alias("n"))
+    )
+    levels = materialise(levels, "levels")
+    met = materialise(keys.select("key", F.explode(_suffixes()).alias("s")).select("key", F.col("s.k").alias("k"), F.col("key").bitwiseAND(F.col("s.mask")).alias("gram"), F.shiftright("key", 8).bitwiseAND(F.col("s.of")).alias("context")), "met")
+    own = levels.withColumn("context", F.shiftright("gram", 8)).join(met.select("k", "context").distinct(), ["k", "context"])
+    # Of each symbol of a context, the count in the context shorter by a byte: what exclusion takes from that one.
+    own = own.withColumns({"shorter": F.col("k") - 1, "suffix": F.col("gram").bitwiseAND(F.element_at(F.array(*[F.lit((1 << 8 * max(k, 1)) - 1) for k in range(ORDER + 1)]), F.col("k") + 1))})
+    up = levels.select(F.col("k").alias("shorter"), F.col("gram").alias("suffix"), F.col("n").alias("above"))
+    contexts = own.join(up, ["shorter", "suffix"], "left").groupBy("k", "context").agg(F.sum("n").alias("seen"), F.count(F.lit(1)).alias("kinds"), F.sum("above").alias("taken"))
+    contexts = materialise(contexts, "contexts")
+
+    def join(rows: DataFrame, table: DataFrame, on: list[str], low: int) -> DataFrame:
+        few = rows.where(F.col("k") <= low).join(F.broadcast(table.where(F.col("k") <= low)), on, "left")
+        return few.unionByName(rows.where(F.col("k") > low).join(table.where(F.col("k") > low), on, "left"))
+
+    found = join(join(met, levels, ["k", "gram"], 1), contexts, ["k", "context"], 2)
+    at = lambda name, k: F.max(F.when(F.col("k") == k, F.col(name))).alias(f"{name}{k}")
+    wide = found.groupBy("key").agg(*[at(x, k) for x in ("n", "seen", "kinds", "taken") for k in range(ORDER + 1)])
+    out = -F.log10(F.greatest(F.lit(SYMBOLS) - F.coalesce("kinds0", F.lit(0)), F.lit(1)).cast("double"))
+    for k in range(ORDER + 1):
+        whole, leave = F.col(f"seen{k}") + F.col(f"kinds{k}"), F.col(f"kinds{k}")
+        if k < ORDER:  # without the symbols of the longer context, if that one is known
+            longer = F.col(f"seen{k + 1}").isNotNull()
+            whole = F.when(longer, whole - F.col(f"taken{k + 1}") - F.col(f"kinds{k + 1}")).otherwise(whole)
+            leave = F.when(longer, leave - F.col(f"kinds{k + 1}")).otherwise(leave)
+        chance = lambda x, whole=whole: F.log10(x.cast("double")) - F.log10(whole.cast("double"))
+        out = F.when(F.col(f"seen{k}").isNull(), out).when(F.col(f"n{k}").isNotNull(), chance(F.col(f"n{k}"))).when(leave > 0, chance(leave) + out).otherwise(out)
+    return wide.select("key", out.alias("score"))
+
+
+def _least_count(grams: DataFrame, least: float, symbols: int) -> int:
+    """The least count of sequences that are broadcast: at most 1 / least have it, no more than cover 98 % of the symbols.
+
+    The others are joined, so this decides where a score is looked up and not what it is.
+    """
+    if least <= 0:
+        return 0
+    chosen = int(np.ceil(least * symbols))  # there are never more of these than 1 / least
+    held = grams.groupBy(F.least("n", F.lit(100_000)).alias("c")).agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n")).collect()
+    total = covered = 0
+    for c, rows, n in sorted(map(tuple, held), reverse=True):
+        total += rows
+        if total > 1 / least or covered > 0.98 * symbols:
+            break
+        covered += n
+        chosen = min(chosen, c)
+    return chosen
+
+
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 5e-7) -> DataFrame:
     """Unigram base score and PPM score of every document.
 
@@ -207,29 +208,36 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
     n_words, n_kinds = totals.get(WORD, (0, 0))
     n, v = n_words + ends, n_kinds + (ends > 0)
     symbols = totals.get(GRAM, (0, 0))[0]
-    suffixes = F.array(*[F.struct(F.lit(k).alias("k"), F.lit((1 << 8 * (k + 1)) - 1).alias("mask")) for k in range(ORDER + 1)])
-    levels = (
-        counts.where(F.col("kind") == GRAM).select("key", "n", F.explode(suffixes).alias("s"))
-        .groupBy(F.col("s.k").alias("k"), F.col("key").bitwiseAND(F.col("s.mask")).alias("key")).agg(F.sum("n").alias("n"))
-    )
-    context = Window.partitionBy("k", F.shiftright("key", 8))  # at most 257 rows each
-    levels = levels.withColumns({"seen": F.sum("n").over(context), "kinds": F.count(F.lit(1)).over(context)}).where(F.col("n") >= least * symbols).toArrow()  # at most 1 / least rows a level
-    numbers = [levels.column(x).to_numpy() for x in ("key", "n", "seen", "kinds")]
-    level = levels.column("k").to_numpy()
+    context = Window.partitionBy(F.shiftright("key", 8))  # at most 257 rows each
+    seen = F.sum("n").over(context) + F.count(F.lit(1)).over(context)
+    grams = materialise(counts.where(F.col("kind") == GRAM).select("key", "n", (F.log10(F.col("n").cast("double")) - F.log10(seen.cast("double"))).alias("s")), "grams")
+    frequent_from = _least_count(grams, least, symbols)
+    top = grams.where(F.col("n") >= frequent_from).select("key", "s").toArrow()  # at most 1 / least rows
+    top = top.column("key").to_numpy().view(np.uint64), top.column("s").to_numpy()
     words = counts.where((F.col("kind") == WORD) & (F.col("n") >= least * n_words)).select("key", "n").toArrow()  # at most 1 / least rows
     frequent = words.column("key").to_numpy().view(np.uint64), words.column("n").to_numpy()
-    model = spark.sparkContext.broadcast(([[x[level == i] for x in numbers] for i in range(ORDER + 1)], frequent, ends))
+    model = spark.sparkContext.broadcast((top, frequent, ends))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels, (known, n_known), ends = model.value
-        trie, table, uid = Trie(levels), Table(known), TaskContext.get().partitionId() << 40
+        (top, chance), (known, n_known), ends = model.value
+        grams, table, uid = Table(top), Table(known), TaskContext.get().partitionId() << 40
         value = np.log10(n_known + 0.1)
         for rb in batches:
             data, at = utf8(rb.column(1))
             for lo, hi in pieces(at):
                 lower, own = W.LOWER[data[at[lo] : at[hi]]], at[lo : hi + 1] - at[lo]
                 keys, place = byte_keys(lower, own)
-                score = np.diff(np.concatenate([[0.0], np.cumsum(trie.score(keys))])[place])
+                g = grams.find(keys)
+                hit, miss = np.flatnonzero(g >= 0), np.flatnonzero(g < 0)
+                symbol = np.zeros(len(keys))
+                symbol[hit] = chance[g[hit]]
+                score = np.diff(np.concatenate([[0.0], np.cumsum(symbol)])[place])
+                miss, doc = keys[miss], np.searchsorted(place[1:], miss, "right")
+                order = np.lexsort((miss, doc))
+                miss, doc = miss[order], doc[order]
+                new = np.flatnonzero(np.concatenate([[True], (miss[1:] != miss[:-1]) | (doc[1:] != doc[:-1])])) if len(miss) else miss[:0].astype(np.int64)
+                times = np.diff(np.append(new, len(miss)))
+                far = pa.array(np.searchsorted(doc[new], np.arange(hi - lo + 1)).astype(np.int32))
                 found = W.find_words(lower, own)
                 h = W.Rolling(lower)(found.starts, found.ends)
                 w = table.find(h)
@@ -240,18 +248,23 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
                     pa.array(np.arange(uid, uid + hi - lo)), rb.column(0).slice(lo, hi - lo), rb.column(2).slice(lo, hi - lo), pa.array(np.diff(found.first) + 1),
                     pa.array(np.bincount(found.doc[hot], minlength=hi - lo) + (ends > 0)), pa.array(base), pa.array(score),
                     pa.ListArray.from_arrays(pa.array(cold), pa.array(h[~hot].view(np.int64))),
+                    pa.ListArray.from_arrays(far, pa.array(miss[new].view(np.int64))), pa.ListArray.from_arrays(far, pa.array(times)),
                 ]
                 uid += hi - lo
-                yield pa.RecordBatch.from_arrays(cols, names=["uid", "doc_id", "held_out", "n_tokens", "hot", "base", "score", "cold"])
+                yield pa.RecordBatch.from_arrays(cols, names=["uid", "doc_id", "held_out", "n_tokens", "hot", "base", "score", "cold", "miss", "times"])
 
-    first = own.select("doc_id", "text", "held_out").mapInArrow(run, "uid long, doc_id long, held_out boolean, n_tokens long, hot long, base double, score double, cold array<long>")
+    first = own.select("doc_id", "text", "held_out").mapInArrow(run, "uid long, doc_id long, held_out boolean, n_tokens long, hot long, base double, score double, cold array<long>, miss array<long>, times array<long>")
     first = materialise(first, "scored")
     rare = counts.where((F.col("kind") == WORD) & (F.col("n") < least * n_words)).select("key", F.col("n").alias("c"))
     met = first.select("uid", F.explode("cold").alias("key")).join(rare, "key", "left")
     sums = met.groupBy("uid").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.1))).alias("more"), F.count("c").alias("rare"))
-    out = first.drop("cold").join(sums, "uid", "left")
+    missed = first.select("uid", "held_out", F.inline(F.arrays_zip(F.col("miss").alias("key"), F.col("times").alias("times"))))
+    unseen = materialise(missed.where("held_out").select("key").distinct().join(grams, "key", "left_anti"), "unseen")
+    rare_grams = grams.where(F.col("n") < frequent_from).select("key", "s").union(unseen_scores(unseen, grams))
+    rest = missed.join(rare_grams, "key").groupBy("uid").agg(F.sum(F.col("times") * F.col("s")).alias("rest"))
+    out = first.drop("cold", "miss", "times").join(sums, "uid", "left").join(rest, "uid", "left")
     nothing = F.lit(0)
     return out.select(
         "doc_id", "held_out", "n_tokens", (F.col("hot") + F.coalesce("rare", nothing)).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * float(np.log10(n + 0.1 * (v + 1)))).alias("base_score"), "score",
+        (F.col("base") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * float(np.log10(n + 0.1 * (v + 1)))).alias("base_score"), (F.col("score") + F.coalesce("rest", F.lit(0.0))).alias("score"),
     )

@@ -100,6 +100,16 @@ def test_scores_match_brute_force(spark):
     assert sorted([(r[0] if r[0] is not None else -1, *r[1:6]) for r in pruned], key=key) == sorted([w[:6] for w in want], key=key)
 
 
+def test_scores_keep_rare_sequences(spark):
+    rows = [(r[0], r[1]) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").where("doc_id < 40").collect()]
+    rows += [(9000 + i, t) for i, t in enumerate(ODD)] + [(None, "null id the \u0416\u0416\u0416")]
+    train = [lower(t) for d, t in rows if zlib.crc32(b"" if d is None else str(d).encode()) % 10]
+    want = dict(zip([d for d, _ in rows], brute_ppm(train, [lower(t) for _, t in rows], ppm.ORDER)))
+    for least in (1e-4, 0.5):
+        got = {r["doc_id"]: r["score"] for r in ppm.scores(spark.createDataFrame(rows, "doc_id long, text string"), least=least).collect()}
+        assert got == {d: pytest.approx(s, rel=1e-9) for d, s in want.items()}
+
+
 def test_scores_of_nothing(spark):
     assert ppm.scores(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     one = ppm.scores(spark.createDataFrame([(None, "ab")], "doc_id long, text string")).collect()
