@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from quillspan.llm.common import ASCII_LOWER, SEED, materialise, utf8
+from quillspan.llm.common import ASCII_LOWER, SEED, discard, materialise, utf8
 from quillspan.llm.components import components, forest
 
 #: Eight 0/1 bytes for each byte value, lowest bit first.
@@ -391,25 +391,103 @@ def shingle_sets(text: Column, k: int) -> Column:
     return of(text)
 
 
-def representatives(docs: DataFrame, shingle: int = 5, radius: int = 10, sure: int = 4, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sketches(text: Column, k: int, similarity: float, common) -> Column:
+    """Fingerprint, hash and size of a text's set of shingle hashes, and the set's prefix.
+
+    Sets are ordered by hash, those in the broadcast `common` (sorted) last. Two sets of at least the given Jaccard similarity share a hash
+    within both prefixes: all but the last ceil(similarity * size) - 1 hashes.
+    """
+
+    @F.arrow_udf("struct<fp: long, t: long, size: int, prefix: array<long>>")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        late_ones = common.value
+        for col in batches:
+            data, at = utf8(col)
+            raw = data.tobytes().translate(ASCII_LOWER)
+            fps, keys, sizes, prefixes = [], [], [], []
+            for i in range(len(col)):
+                h = shingle_hashes(raw[at[i] : at[i + 1]].split(), k)
+                fps.append(majority(h, np.array([len(h)], np.int64)))
+                own = np.unique(h)
+                keys.append(xxhash.xxh64_intdigest(own.tobytes(), SEED))
+                sizes.append(len(own))
+                if len(late_ones) and len(own):
+                    late = late_ones[np.minimum(np.searchsorted(late_ones, own), len(late_ones) - 1)] == own
+                    own = np.concatenate([own[~late], own[late]])
+                prefixes.append(own[: len(own) - int(np.ceil(similarity * len(own) - 1e-6)) + 1].view(np.int64))
+            fp = np.concatenate(fps).view(np.int64) if fps else np.zeros(0, np.int64)
+            yield pa.StructArray.from_arrays(
+                [pa.array(fp), pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))], names=["fp", "t", "size", "prefix"]
+            )
+
+    return of(text)
+
+
+def common_shingles(docs: DataFrame, shingle: int, text_col: str, sample: int = 10_000, least: int = 4) -> np.ndarray:
+    """Sorted hashes of shingles that `least` or more different texts of a sample have; they only set the order of prefixes."""
+    n = docs.count()
+    text = F.col(text_col)
+    some = docs.where(F.pmod(F.xxhash64(text), F.lit(max(1, n // sample))) == 0).select(text.alias("x")).distinct()
+    found = some.select(F.explode(shingle_sets(F.col("x"), shingle)).alias("h")).groupBy("h").count().where(F.col("count") >= least)
+    return np.sort(found.select("h").toArrow().column("h").to_numpy().view(np.uint64))
+
+
+def similar(own: DataFrame, texts: DataFrame, edges: DataFrame, shingle: int, similarity: float, rounds: int = 2) -> DataFrame:
+    """Edges (a, b) between fingerprints, such that with `edges` they join all texts of at least the given similarity.
+
+    own: fp, t, size, prefix and _row of each text; texts: _row and _text. Pairs that share a hash of their prefixes are all
+    checked exactly, but for those that are joined already. So that groups of many like texts don't check every pair, the
+    first rounds check only neighbours among the texts of a hash; the last one takes every pair that is still apart.
+    """
+    items = materialise(own.groupBy("t").agg(F.min(F.struct("fp", "_row", "size", "prefix")).alias("i")).select("t", "i.*"), "items")
+    same = materialise(own.join(items.select("t", F.col("fp").alias("b")), "t").where("fp != b").select(F.col("fp").alias("a"), "b").distinct(), "same")
+    rows = items.select("t", "fp", "size", F.posexplode("prefix").alias("at", "h"))
+    rows = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("n > 1").drop("n")
+    rows = materialise(rows, "prefixes")
+    edges = edges.select("a", "b").union(same)
+    found = [same]
+    for step in range(rounds + 1):
+        labels = materialise(components(edges).select(F.col("node").alias("fp"), "label"), "labels")
+        own_part = rows.join(labels, "fp", "left").withColumn("part", F.coalesce("label", "fp")).select("h", "t", "size", "at", "part")
+        if step < rounds:
+            by = Window.partitionBy("h").orderBy(*(["size", "t"] if step else ["part", "t"]))
+            pairs = own_part.select("h", F.col("t").alias("x"), F.lead("t").over(by).alias("y"), "size", F.lead("size").over(by).alias("size2"), "at", F.lead("at").over(by).alias("at2"), "part", F.lead("part").over(by).alias("part2")).where("y is not null")
+        else:
+            other = own_part.select("h", F.col("t").alias("y"), F.col("size").alias("size2"), F.col("at").alias("at2"), F.col("part").alias("part2"))
+            pairs = own_part.withColumnRenamed("t", "x").join(other, "h").where("x < y")
+        most = F.least(F.col("size") - F.col("at"), F.col("size2") - F.col("at2"))  # that both can share from here on
+        pairs = pairs.where(F.col("part") != F.col("part2")).where(most >= similarity / (1 + similarity) * (F.col("size") + F.col("size2")) - 1e-6)
+        pairs = materialise(pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "pairs")
+        wanted = pairs.select(F.col("x").alias("t")).union(pairs.select("y")).distinct().join(items.select("t", "fp", "_row"), "t")
+        held = texts.join(wanted, "_row").dropDuplicates(["t"])
+        sets = materialise(held.select("t", "fp", shingle_sets(F.col("_text"), shingle).alias("s")), "sets")
+        x, y = (sets.select(F.col("t").alias(i), F.col("fp").alias(fp), F.col("s").alias("s" + i)) for i, fp in (("x", "a"), ("y", "b")))
+        both = F.size(F.array_intersect("sx", "sy"))
+        checked = pairs.join(x, "x").join(y, "y").where(both >= similarity * (F.size("sx") + F.size("sy") - both)).where("a != b").select("a", "b")
+        found.append(materialise(checked.distinct(), "checked"))
+        for done in (sets, pairs, labels):
+            discard(done)
+        edges = edges.union(found[-1])
+    out = found[0]
+    for more in found[1:]:
+        out = out.union(more)
+    return out
+
+
+def representatives(docs: DataFrame, shingle: int = 5, sure: int = 4, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, one for each group of near-duplicates: that of least id.
 
-    Fingerprints within `sure` bits are linked; those within `radius` bits are linked if the Jaccard similarity of their
-    texts' shingle sets is at least `similarity`. Rows with a null id stay only if all of their group have none; of equal
+    Fingerprints within `sure` bits are linked, and texts whose shingle sets' Jaccard similarity is at least `similarity`,
+    however far their fingerprints are apart. Rows with a null id stay only if all of their group have none; of equal
     rows one stays; blank texts form one group; an empty table gives an empty result; all columns are kept as they are.
     """
     row = F.xxhash64(*docs.columns)
-    own = materialise(docs.select(row.alias("_row"), F.col(id_col).alias("id"), fingerprint_column(F.col(text_col), shingle).alias("fp")), "rows")
-    nodes = materialise(own.groupBy("fp").agg(F.min("_row").alias("_row")), "nodes")
-    edges = materialise(links(nodes, radius, sure), "links")
-    far = edges.where("far").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    wanted = far.select("a").union(far.select("b")).distinct().withColumnRenamed("a", "fp").join(nodes, "fp")
-    texts = docs.select(row.alias("_row"), F.col(text_col).alias("_text")).join(wanted, "_row").dropDuplicates(["fp"])
-    sets = materialise(texts.select("fp", shingle_sets(F.col("_text"), shingle).alias("s")), "sets")
-    a, b = sets.select(F.col("fp").alias("a"), F.col("s").alias("sa")), sets.select(F.col("fp").alias("b"), F.col("s").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    checked = far.join(a, "a").join(b, "b").where(both >= similarity * (F.size("sa") + F.size("sb") - both)).select("a", "b")
-    labels = components(edges.where(~F.col("far")).select("a", "b").union(checked))
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, shingle, text_col))
+    own = docs.select(row.alias("_row"), F.col(id_col).alias("id"), sketches(F.col(text_col), shingle, similarity, common).alias("s"))
+    own = materialise(own.select("_row", "id", "s.*"), "rows")
+    near = materialise(links(materialise(own.select("fp").distinct(), "nodes"), sure).select("a", "b"), "links")
+    like = similar(own, docs.select(row.alias("_row"), F.col(text_col).alias("_text")), near, shingle, similarity)
+    labels = components(near.union(like))
     labelled = own.join(labels, own.fp == labels.node, "left").select("_row", "id", F.coalesce("label", "fp").alias("label"))
     first = labelled.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_row")).alias("w")).select("w._row")
     return one_each(docs, row, first, own)
