@@ -187,59 +187,7 @@ def signed(x: int) -> int:
 # --- candidates and verification -----------------------------------------------------------------------------------
 
 
-def _nearest(x: np.ndarray, y: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Places of edges (x, y) that make a spanning forest of least bits."""
-    nodes, ends = np.unique(np.concatenate([x, y]), return_inverse=True)
-    x, y, label, out = ends[: len(x)], ends[len(x) :], np.arange(len(nodes)), []
-    for level in np.unique(bits):
-        left = np.flatnonzero(bits == level)
-        while True:
-            p, q = label[x[left]], label[y[left]]
-            uneven = p != q
-            left, p, q = left[uneven], p[uneven], q[uneven]
-            if not len(left):
-                break
-            # Each component takes one edge to one of a lower number, so no circle can close.
-            high, first = np.unique(np.maximum(p, q), return_index=True)
-            out.append(left[first])
-            parent = np.arange(len(nodes))
-            parent[high] = np.minimum(p, q)[first]
-            while (parent[parent] != parent).any():
-                parent = parent[parent]
-            label = parent[label]
-    return np.concatenate(out) if out else np.zeros(0, np.int64)
-
-
-def _thin(a, b, bits, sure, forests=2):
-    """Spanning edges of the pairs within `sure` bits, and of the others, between those components, `forests` spanning forests.
-
-    The others stand in need of verification, so they are real pairs, the closest first, and more than one may join two
-    parts; their number still grows only with the number of nodes.
-    """
-    near = bits <= sure
-    p, q = forest(a[near], b[near])
-    a, b, bits = a[~near], b[~near], bits[~near]
-    if not len(a):
-        return p, q, a, b
-    place = np.searchsorted(p, np.concatenate([a, b])) if len(p) else None
-    ends = np.concatenate([a, b])
-    if place is not None:
-        place = np.minimum(place, len(p) - 1)
-        ends = np.where(p[place] == ends, q[place], ends)
-    x, y = ends[: len(a)], ends[len(a) :]
-    open_ = np.flatnonzero(x != y)
-    kept = []
-    for _ in range(forests):
-        if not len(open_):
-            break
-        own = _nearest(x[open_], y[open_], bits[open_])
-        kept.append(open_[own])
-        open_ = np.delete(open_, own)
-    kept = np.concatenate(kept) if kept else open_
-    return p, q, a[kept], b[kept]
-
-
-def _pairs_of_batch(group, own, fp, radius, sure, small=48):
+def _pairs_of_batch(group, own, fp, radius, small=48):
     """Pairs of rows of a group, one of them its own value's, that differ in at most radius bits, thinned out within large groups."""
     u = fp.view(np.uint64)
     left, right = [], []
@@ -261,31 +209,30 @@ def _pairs_of_batch(group, own, fp, radius, sure, small=48):
             near = (apart <= radius) & (apart > 0) & (o[lo : lo + 256, None] | o[None, lo:])
             i, j = np.nonzero(near)
             i, j = s + lo + i, s + lo + j
-            for a, b in zip(*[iter(_thin(fp[i], fp[j], np.bitwise_count(u[i] ^ u[j]), sure))] * 2):
-                left.append(a)
-                right.append(b)
+            a, b = forest(fp[i], fp[j])
+            left.append(a)
+            right.append(b)
     if not left:
         return fp[:0], fp[:0]
     return np.concatenate(left), np.concatenate(right)
 
 
-def _verify(radius: int, sure: int, most: int = 200_000):
+def _verify(radius: int, most: int = 200_000):
     def run(batches):
         kept = None
         near, far = [], []
 
         def add(group, own, fp):
-            a, b = _pairs_of_batch(group, own, fp, radius, sure)
+            a, b = _pairs_of_batch(group, own, fp, radius)
             near.append(a)
             far.append(b)
             if sum(map(len, near)) > most:
                 thin()
 
         def thin():
-            a, b = np.concatenate(near), np.concatenate(far)
-            p, q, c, d = _thin(a, b, np.bitwise_count(a.view(np.uint64) ^ b.view(np.uint64)), sure)
-            near[:], far[:] = [c], [d]
-            stars.append((p, q))
+            stars.append(forest(np.concatenate(near), np.concatenate(far)))
+            near.clear()
+            far.clear()
 
         stars = []
         for rb in batches:
@@ -309,19 +256,13 @@ def _verify(radius: int, sure: int, most: int = 200_000):
             thin()
         if stars:
             p, q = forest(*(np.concatenate(x) for x in zip(*stars)))
-            a, b = np.concatenate([p, *near]), np.concatenate([q, *far])
-            is_far = np.arange(len(a)) >= len(p)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(is_far)], names=["a", "b", "far"])
+            yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(q)], names=["a", "b"])
 
     return run
 
 
-def links(fps: DataFrame, radius: int, sure: int | None = None, heavy: int = 4096) -> DataFrame:
-    """Spanning edges (a, b, far) of the graph that joins fingerprints (column fp, distinct) within `radius` bits.
-
-    far tells edges of more than `sure` bits (by default the radius, so that there are none).
-    """
-    sure = radius if sure is None else sure
+def links(fps: DataFrame, radius: int, heavy: int = 4096) -> DataFrame:
+    """Spanning edges (a, b) of the graph that joins fingerprints (column fp, distinct) within `radius` bits."""
     spark = fps.sparkSession
     n, joint = bit_statistics(fps)
     probes = []
@@ -331,7 +272,7 @@ def links(fps: DataFrame, radius: int, sure: int | None = None, heavy: int = 409
             for flip in combinations(bits, size):
                 probes.append((i, signed(mask), signed(sum(1 << b for b in flip))))
     if not probes or n < 2:
-        return spark.createDataFrame([], "a long, b long, far boolean")
+        return spark.createDataFrame([], "a long, b long")
     lit = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(m).alias("m"), F.lit(x).alias("x")) for i, m, x in probes])
     value = F.col("fp").bitwiseAND(F.col("p.m"))
     rows = (
@@ -349,7 +290,7 @@ def links(fps: DataFrame, radius: int, sure: int | None = None, heavy: int = 409
     hot = rows.where(F.col("n") > heavy).withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("fp"), blocks)}).select("part", "key", F.explode(cells).alias("cell"), "own", "fp")
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = light.union(hot).repartition(width, "part", "key", "cell").sortWithinPartitions("part", "key", "cell")
-    return dealt.mapInArrow(_verify(radius, sure), "a long, b long, far boolean")
+    return dealt.mapInArrow(_verify(radius), "a long, b long")
 
 
 # --- operators -----------------------------------------------------------------------------------------------------
@@ -485,7 +426,7 @@ def representatives(docs: DataFrame, shingle: int = 5, sure: int = 4, similarity
     common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, shingle, text_col))
     own = docs.select(row.alias("_row"), F.col(id_col).alias("id"), sketches(F.col(text_col), shingle, similarity, common).alias("s"))
     own = materialise(own.select("_row", "id", "s.*"), "rows")
-    near = materialise(links(materialise(own.select("fp").distinct(), "nodes"), sure).select("a", "b"), "links")
+    near = materialise(links(materialise(own.select("fp").distinct(), "nodes"), sure), "links")
     like = similar(own, docs.select(row.alias("_row"), F.col(text_col).alias("_text")), near, shingle, similarity)
     labels = components(near.union(like))
     labelled = own.join(labels, own.fp == labels.node, "left").select("_row", "id", F.coalesce("label", "fp").alias("label"))

@@ -45,3 +45,14 @@ def test_pairs_beyond_ten_bits(spark):
     want, alike = brute(texts)
     assert max(alike) > 10
     assert kept(spark, texts) == want
+
+
+def test_pairs_among_templates(spark):
+    rnd, texts = random.Random(5), []
+    common = [f"t{i}" for i in range(230)]
+    for i in range(150):
+        own = common + [f"w{rnd.randrange(10**6)}" for _ in range(40)]
+        texts += [" ".join(own), " ".join(changed(rnd, own, 5))]
+    want, _ = brute(texts)
+    assert 1 < len(want) < len(texts)
+    assert kept(spark, texts) == want
