@@ -39,6 +39,13 @@ def test_template_text_without_article(spark):
     assert got == {i: f"Body {i} text {i}" for i in range(5)}
 
 
+def test_long_common_openings(spark):
+    page = "<body><div><p>" + "Standing introduction. " * 20 + "Then body {0}.</p></div><div>Same note</div></body>"
+    rows = [(i, "http://h/", page.format(i)) for i in range(5)]
+    got = {r["page_id"]: r["text"] for r in H.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: "Standing introduction. " * 20 + f"Then body {i}." for i in range(5)}
+
+
 def test_collapse_and_merge():
     flat, place = H.collapse(["ul", "li", "#", "/li", "li", "#", "/li", "/ul"])
     assert flat == ("ul", "(", "li", "#", "/li", ")+", "/ul") and place == [0, 2, 3, 4, 2, 3, 4, 6]
