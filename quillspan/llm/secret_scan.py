@@ -95,25 +95,47 @@ def train(findings: DataFrame, trees: int = 24, depth: int = 7, seed: int = 11)
     return PipelineModel([assembler, forest.fit(assembler.transform(features(findings)).select("features", "label"))])
 
 
-def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """doc_id, value, start (1-based, in code points), before and path of each different candidate of every text."""
+def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", pattern: str = CANDIDATE, group: int = 0) -> DataFrame:
+    """doc_id, value, start (1-based, in code points), before and path of every occurrence of a candidate in every text.
+
+    group: the pattern's group that is the value; it stands at the match's end. A column `row` of docs is kept.
+    """
     path = F.col(path_col) if path_col else F.lit(None).cast("string")
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), path.alias("path"))
-    found = base.withColumn("all", F.array_distinct(F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)))).where(F.size("all") > 0)
+    kept = ["row"] if "row" in docs.columns else []
+    base = docs.select(*kept, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), path.alias("path"))
+    found = base.withColumn("all", F.regexp_extract_all("text", F.lit(pattern), F.lit(group))).where(F.size("all") > 0)
+    # Texts between the matches, and what of a match stands before its value, add up to the places.
+    whole = F.regexp_extract_all("text", F.lit(pattern), F.lit(0)) if group else F.col("all")
+    sizes = F.zip_with(F.split("text", pattern, -1), whole, lambda gap, m: F.struct(F.length(gap).alias("gap"), F.length(m).alias("size")))
+    found = found.withColumn("sizes", F.slice(sizes, 1, F.size("all")))
+    none = F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("ends"))
+    step = lambda acc, e: F.struct((acc["at"] + e["gap"] + e["size"]).alias("at"), F.concat(acc["ends"], F.array(acc["at"] + e["gap"] + e["size"])).alias("ends"))
+    found = found.withColumn("ends", F.aggregate("sizes", none, step, lambda acc: acc["ends"]))
     # What stands before each is cut out while the text is at hand, so that rows stay small.
-    each = F.transform("all", lambda v: F.struct(v.alias("value"), F.instr(F.col("text"), v).alias("start")))
+    each = F.zip_with("all", "ends", lambda v, end: F.struct(v.alias("value"), (end - F.length(v)).alias("start")))
     each = F.transform(each, lambda e: F.struct(e["value"].alias("value"), e["start"].alias("start"), F.substring(F.col("text"), F.greatest(e["start"] - 60, F.lit(1)), F.least(e["start"] - 1, F.lit(60))).alias("before")))
-    return found.select("doc_id", "path", each.alias("each")).select("doc_id", "path", F.inline("each")).select("doc_id", "value", "start", "before", "path")
+    return found.select(*kept, "doc_id", "path", F.inline(each)).select(*kept, "doc_id", "value", "start", "before", "path")
+
+
+def candidates(docs: DataFrame, **columns) -> DataFrame:
+    """The first occurrence of each different candidate of every text."""
+    found = occurrences(docs.withColumn("row", F.monotonically_increasing_id()), **columns)
+    first = found.groupBy("row", "value").agg(F.min_by(F.struct("doc_id", "start", "before", "path"), "start").alias("e"))
+    return first.select("e.doc_id", "value", "e.start", "e.before", "e.path")
 
 
 def secrets(docs: DataFrame, findings: DataFrame | None = None, threshold: float = 0.5, **columns) -> DataFrame:
-    """Secrets of every document: doc_id, start, n_chars, rule, secret_sha256 and probability, one row for each different value.
+    """Secrets of every document: doc_id, start, n_chars, rule, secret_sha256 and probability, one row for each different value:
+    its first occurrence that passes, with the highest probability of all its occurrences.
 
     Null and empty texts have none; a null id or path is kept as it is; repeated documents give repeated rows; an empty table
     gives an empty result; other columns are not read. Ties at the threshold are secrets.
     """
     model = train(findings if findings is not None else labelled_findings(docs.sparkSession))
-    scored = model.transform(features(candidates(docs, **columns))).withColumn("probability", vector_to_array("probability")[1])
-    return scored.where(F.col("probability") >= threshold).select(
+    rows = docs.withColumn("row", F.monotonically_increasing_id())
+    found = occurrences(rows, **columns)
+    scored = model.transform(features(found)).withColumn("probability", vector_to_array("probability")[1]).where(F.col("probability") >= threshold)
+    best = scored.groupBy("row", "value").agg(F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("probability").alias("probability"))
+    return best.select(
         "doc_id", F.col("start").cast("long").alias("start"), F.length("value").cast("long").alias("n_chars"), rule(F.col("value")).alias("rule"), F.sha2("value", 256).alias("secret_sha256"), "probability"
     )

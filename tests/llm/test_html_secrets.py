@@ -69,3 +69,10 @@ def test_secrets(spark):
     assert sorted((r["doc_id"], r["value"], r["start"]) for r in secret_scan.candidates(spark.read.parquet(f"{SF}/documents.parquet")).collect()) == want
     found = {r["doc_id"] for r in secret_scan.secrets(spark.read.parquet(f"{SF}/documents.parquet")).collect()}
     assert found == {d for d, t in texts.items() if re.search(r'token = "[0-9a-f]{40}"', t)}
+
+
+def test_every_occurrence_is_scored(spark):
+    hexa = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"
+    rows = [(1, f'commit {hexa} fixes it, see the old notes of the release for more about it. \u0416 api_key = "{hexa}" end', "s"), (2, f"commit {hexa} and commit {hexa} again", "s")]
+    got = secret_scan.secrets(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert [(r["doc_id"], r["start"]) for r in got] == [(1, rows[0][1].rindex(hexa) + 1)]
