@@ -1,6 +1,7 @@
 """Secret scan in DataFrame expressions: candidates by pattern, false positives removed by a random forest.
 
-Candidates are runs of key-like characters with a digit, or that begin like a known credential. Each is described by its
+Candidates are runs of key-like characters with a digit, or that begin like a known credential, and all values assigned
+to secret words. Each is described by its
 length, its changes between character classes, the share that dictionary words cover, whether it or its document's path
 looks like a path or a test, and by words and signs before it. A random forest (Spark's own, in the JVM) trained from labelled
 findings gives the chance that it is a secret. No Python runs on the executors.
@@ -29,7 +30,9 @@ KNOWN = {
 SECRET_WORDS = "token|secret|passw(?:or)?d|passwd|pwd|api[_-]?key|apikey|access[_-]?key|auth|bearer|credential|private[_-]?key"
 HARMLESS_WORDS = "example|sample|dummy|test|fake|placeholder|sha1|sha256|md5|checksum|digest|commit|revision|uuid|guid|version|card|invoice|order|phone|isbn|build"
 DICTIONARY = "access account admin api app auth base build client code config data default demo dev example file hash help home http https image index info key local main name none null order page pass path prod public sample secret server service site source string test text this time token type user value version web with world your".split()
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?:(?=[A-Za-z+/_=-]{0,64}[0-9])[A-Za-z0-9+/_=-]{16,512}+|(?:AKIA|ASIA)[A-Z]{16}|xox[abeprs]-[A-Za-z-]{10,})"
+CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?:(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{16,}+|(?:AKIA|ASIA)[A-Z]{16}|xox[abeprs]-[A-Za-z-]{10,})"
+#: Any value that a secret word is assigned, whatever its length and characters.
+ASSIGNED = rf"(?i)(?:{SECRET_WORDS})[A-Za-z0-9_-]*[\"'`]?[ \t]*(?::=|=>|=|:)[ \t]*[\"'`]?([^\s\"'`,;]+)"
 FEATURES = "length digits uppers lowers signs changes distinct coverage path test_path assigned quoted secret_word harmless_word known hex_only digits_only".split()
 
 
@@ -133,7 +136,7 @@ def secrets(docs: DataFrame, findings: DataFrame | None = None, threshold: float
     """
     model = train(findings if findings is not None else labelled_findings(docs.sparkSession))
     rows = docs.withColumn("row", F.monotonically_increasing_id())
-    found = occurrences(rows, **columns)
+    found = occurrences(rows, **columns).union(occurrences(rows, pattern=ASSIGNED, group=1, **columns)).distinct()
     scored = model.transform(features(found)).withColumn("probability", vector_to_array("probability")[1]).where(F.col("probability") >= threshold)
     best = scored.groupBy("row", "value").agg(F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("probability").alias("probability"))
     return best.select(

@@ -76,3 +76,13 @@ def test_every_occurrence_is_scored(spark):
     rows = [(1, f'commit {hexa} fixes it, see the old notes of the release for more about it. \u0416 api_key = "{hexa}" end', "s"), (2, f"commit {hexa} and commit {hexa} again", "s")]
     got = secret_scan.secrets(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
     assert [(r["doc_id"], r["start"]) for r in got] == [(1, rows[0][1].rindex(hexa) + 1)]
+
+
+def test_candidates_of_any_length(spark):
+    long = "aB3" * 300
+    rows = [(1, f'api_key = "{long}" end', "s"), (2, "x password: hunter2 and pwd=correct\u0416horse!", "s"), (3, "f" * 100 + "9", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert {(r["doc_id"], r["value"], r["start"]) for r in secret_scan.candidates(docs).collect()} == {(1, long, 12), (3, "f" * 100 + "9", 1)}
+    assigned = secret_scan.occurrences(docs, pattern=secret_scan.ASSIGNED, group=1).collect()
+    assert {(r["doc_id"], r["value"], r["start"]) for r in assigned} == {(1, long, 12), (2, "hunter2", 13), (2, "correct\u0416horse!", 29)}
+    assert {r["n_chars"] for r in secret_scan.secrets(docs.where("doc_id = 1")).collect()} <= {900}
