@@ -7,9 +7,9 @@ of the longer one are excluded; after the last come the symbols never seen, all
 logarithm of the chance of its bytes (A-Z lower-cased) and an end symbol, from a start context.
 
 The model is whole: no sequence is left out, however rare. A symbol's chance depends on its ORDER bytes of context alone, so
-each sequence of ORDER + 1 bytes is scored once. The most frequent ones, at most 1 / least, are sent to the executors; a
+each sequence of ORDER + 1 bytes is scored once. The most frequent ones, a bounded number, are sent to the executors; a
 document's others are joined with their scores. Sequences that no training document has are scored by joins with the
-tables of all context lengths. The unigram base score's words are treated alike: words rarer than `least` are joined.
+tables of all context lengths. The unigram base score's words are treated alike: the rarer ones are joined.
 """
 
 from __future__ import annotations
@@ -173,28 +173,29 @@ def unseen_scores(keys: DataFrame, grams: DataFrame) -> DataFrame:
     return wide.select("key", out.alias("score"))
 
 
-def _least_count(grams: DataFrame, least: float, symbols: int) -> int:
-    """The least count of sequences that are broadcast: at most 1 / least have it, no more than cover 98 % of the symbols.
+def _least_count(table: DataFrame, most: int) -> int:
+    """A count that at most `most` rows of the table reach: those are broadcast, the others are joined.
 
-    The others are joined, so this decides where a score is looked up and not what it is.
+    This decides where a value is looked up and not what it is. Counts are summed over sixteenths of powers of two, so
+    about a thousand numbers reach the driver however many counts there are.
     """
-    if least <= 0:
-        return 0
-    chosen = int(np.ceil(least * symbols))  # there are never more of these than 1 / least
-    held = grams.groupBy(F.least("n", F.lit(100_000)).alias("c")).agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n")).collect()
-    total = covered = 0
-    for c, rows, n in sorted(map(tuple, held), reverse=True):
-        total += rows
-        if total > 1 / least or covered > 0.98 * symbols:
+    step = F.floor(F.log2(F.col("n").cast("double")) * 16)
+    held = table.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("rows"), F.min("n").alias("least")).collect()
+    total, chosen = 0, None
+    for row in sorted(held, reverse=True):
+        total += row["rows"]
+        if total > most:
             break
-        covered += n
-        chosen = min(chosen, c)
+        chosen = row["least"]
+    if chosen is None:
+        return max((r["least"] for r in held), default=0) * 2 + 1
     return chosen
 
 
-def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 5e-7) -> DataFrame:
+def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = 1_000_000) -> DataFrame:
     """Unigram base score and PPM score of every document.
 
+    most: how many of the most frequent sequences, and of the most frequent words, are broadcast; it changes no result.
     Returns doc_id, held_out, n_tokens (words and an end), n_known, train_tokens, base_score and score. Null texts are
     empty: an end and nothing else. Repeated rows are counted and scored each; with no training documents every count is
     0 and all symbols are alike; an empty table gives an empty result; other columns are not read.
@@ -207,14 +208,16 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
     ends = totals.get(ENDS, (0, 0))[0]
     n_words, n_kinds = totals.get(WORD, (0, 0))
     n, v = n_words + ends, n_kinds + (ends > 0)
-    symbols = totals.get(GRAM, (0, 0))[0]
     context = Window.partitionBy(F.shiftright("key", 8))  # at most 257 rows each
     seen = F.sum("n").over(context) + F.count(F.lit(1)).over(context)
     grams = materialise(counts.where(F.col("kind") == GRAM).select("key", "n", (F.log10(F.col("n").cast("double")) - F.log10(seen.cast("double"))).alias("s")), "grams")
-    frequent_from = _least_count(grams, least, symbols)
-    top = grams.where(F.col("n") >= frequent_from).select("key", "s").toArrow()  # at most 1 / least rows
+    frequent_from = _least_count(grams, most)
+    top = grams.where(F.col("n") >= frequent_from).select("key", "s").toArrow()  # at most `most` rows
     top = top.column("key").to_numpy().view(np.uint64), top.column("s").to_numpy()
-    words = counts.where((F.col("kind") == WORD) & (F.col("n") >= least * n_words)).select("key", "n").toArrow()  # at most 1 / least rows
+    words = counts.where(F.col("kind") == WORD).select("key", "n")
+    word_from = _least_count(words, most)
+    rare = words.where(F.col("n") < word_from).withColumnRenamed("n", "c")
+    words = words.where(F.col("n") >= word_from).toArrow()  # at most `most` rows
     frequent = words.column("key").to_numpy().view(np.uint64), words.column("n").to_numpy()
     model = spark.sparkContext.broadcast((top, frequent, ends))
 
@@ -255,7 +258,6 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
 
     first = own.select("doc_id", "text", "held_out").mapInArrow(run, "uid long, doc_id long, held_out boolean, n_tokens long, hot long, base double, score double, cold array<long>, miss array<long>, times array<long>")
     first = materialise(first, "scored")
-    rare = counts.where((F.col("kind") == WORD) & (F.col("n") < least * n_words)).select("key", F.col("n").alias("c"))
     met = first.select("uid", F.explode("cold").alias("key")).join(rare, "key", "left")
     sums = met.groupBy("uid").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.1))).alias("more"), F.count("c").alias("rare"))
     missed = first.select("uid", "held_out", F.inline(F.arrays_zip(F.col("miss").alias("key"), F.col("times").alias("times"))))

@@ -93,10 +93,10 @@ def test_scores_match_brute_force(spark):
         w = lower(t).split()
         base = sum(math.log10((x + 0.1) / (n + 0.1 * (v + 1))) for x in [c[x] for x in w] + [len(train)])
         want.append((d if d is not None else -1, h, len(w) + 1, sum(c[x] > 0 for x in w) + 1, n, pytest.approx(base, rel=1e-9), pytest.approx(s, rel=1e-9)))
-    got = ppm.scores(spark.createDataFrame(rows, "doc_id long, text string"), least=0).collect()
+    got = ppm.scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     key = lambda r: (r[0], r[2], r[3])
     assert sorted([(r[0] if r[0] is not None else -1, *r[1:]) for r in got], key=key) == sorted(want, key=key)
-    pruned = ppm.scores(spark.createDataFrame(rows, "doc_id long, text string"), least=1e-3).collect()
+    pruned = ppm.scores(spark.createDataFrame(rows, "doc_id long, text string"), most=1000).collect()
     assert sorted([(r[0] if r[0] is not None else -1, *r[1:6]) for r in pruned], key=key) == sorted([w[:6] for w in want], key=key)
 
 
@@ -105,8 +105,8 @@ def test_scores_keep_rare_sequences(spark):
     rows += [(9000 + i, t) for i, t in enumerate(ODD)] + [(None, "null id the \u0416\u0416\u0416")]
     train = [lower(t) for d, t in rows if zlib.crc32(b"" if d is None else str(d).encode()) % 10]
     want = dict(zip([d for d, _ in rows], brute_ppm(train, [lower(t) for _, t in rows], ppm.ORDER)))
-    for least in (1e-4, 0.5):
-        got = {r["doc_id"]: r["score"] for r in ppm.scores(spark.createDataFrame(rows, "doc_id long, text string"), least=least).collect()}
+    for most in (10_000, 2, 0):
+        got = {r["doc_id"]: r["score"] for r in ppm.scores(spark.createDataFrame(rows, "doc_id long, text string"), most=most).collect()}
         assert got == {d: pytest.approx(s, rel=1e-9) for d, s in want.items()}
 
 
