@@ -15,11 +15,12 @@ tables of all context lengths. The unigram base score's words are treated alike:
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillspan.llm import words as W
 from quillspan.llm.common import materialise, pieces, utf8
@@ -161,15 +162,17 @@ def unseen_scores(keys: DataFrame, grams: DataFrame) -> DataFrame:
     found = join(join(met, levels, ["k", "gram"], 1), contexts, ["k", "context"], 2)
     at = lambda name, k: F.max(F.when(F.col("k") == k, F.col(name))).alias(f"{name}{k}")
     wide = found.groupBy("key").agg(*[at(x, k) for x in ("n", "seen", "kinds", "taken") for k in range(ORDER + 1)])
-    out = -F.log10(F.greatest(F.lit(SYMBOLS) - F.coalesce("kinds0", F.lit(0)), F.lit(1)).cast("double"))
+    # One summand for each context length: the chance of the symbol at the longest that knows it, of escape at longer ones.
+    parts = [F.when(F.col("n0").isNull(), -F.log10(F.greatest(F.lit(SYMBOLS) - F.coalesce("kinds0", F.lit(0)), F.lit(1)).cast("double"))).otherwise(0.0)]
     for k in range(ORDER + 1):
-        whole, leave = F.col(f"seen{k}") + F.col(f"kinds{k}"), F.col(f"kinds{k}")
+        whole, leave, over = F.col(f"seen{k}") + F.col(f"kinds{k}"), F.col(f"kinds{k}"), F.col(f"seen{k}").isNull()
         if k < ORDER:  # without the symbols of the longer context, if that one is known
-            longer = F.col(f"seen{k + 1}").isNotNull()
-            whole = F.when(longer, whole - F.col(f"taken{k + 1}") - F.col(f"kinds{k + 1}")).otherwise(whole)
-            leave = F.when(longer, leave - F.col(f"kinds{k + 1}")).otherwise(leave)
-        chance = lambda x, whole=whole: F.log10(x.cast("double")) - F.log10(whole.cast("double"))
-        out = F.when(F.col(f"seen{k}").isNull(), out).when(F.col(f"n{k}").isNotNull(), chance(F.col(f"n{k}"))).when(leave > 0, chance(leave) + out).otherwise(out)
+            whole = whole - F.coalesce(F.col(f"taken{k + 1}") + F.col(f"kinds{k + 1}"), F.lit(0))
+            leave = leave - F.coalesce(f"kinds{k + 1}", F.lit(0))
+            over = over | F.col(f"n{k + 1}").isNotNull()
+        met = F.coalesce(f"n{k}", leave)
+        parts.append(F.when(over | (met <= 0), 0.0).otherwise(F.log10(met.cast("double")) - F.log10(whole.cast("double"))))
+    out = reduce(Column.__add__, parts)
     return wide.select("key", out.alias("score"))
 
 
