@@ -10,7 +10,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 #: XXH64 seed of Spark's xxhash64() and of every shingle hash here.
 SEED = 42
@@ -56,6 +57,19 @@ def discard(df: DataFrame) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where.getParent(), True)
 
 
+def row_key(df: DataFrame) -> tuple[Column, Column]:
+    """Two 64-bit hashes over all columns: equal for equal rows, and for others but for a chance of about 2 ** -128 a pair.
+
+    Nulls are told apart by their place; nested values are hashed as JSON with their nulls.
+    """
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        nested = isinstance(f.dataType, (ArrayType, MapType, StructType))
+        parts += [c.isNull(), F.to_json(F.struct(c), {"ignoreNullFields": "false"}) if nested else c]
+    return F.xxhash64(F.lit(1), *parts), F.xxhash64(F.lit(2), *parts)
+
+
 def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of a string column; null counts as empty."""
     if isinstance(col, pa.ChunkedArray):

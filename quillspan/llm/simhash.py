@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from quillspan.llm.common import ASCII_LOWER, SEED, discard, materialise, utf8
+from quillspan.llm.common import ASCII_LOWER, SEED, discard, materialise, row_key, utf8
 from quillspan.llm.components import components, forest
 
 #: Eight 0/1 bytes for each byte value, lowest bit first.
@@ -144,7 +144,7 @@ def within(n: int, joint: np.ndarray, bits: list[int], most: int) -> list[float]
     rho = min(max((var / max(w * q * (1 - q), 1e-12) - 1) / max(w - 1, 1), 1e-4), 0.99)
     a, b = q * (1 / rho - 1), (1 - q) * (1 / rho - 1)
     beta = lambda x, y: lgamma(x) + lgamma(y) - lgamma(x + y)
-    pmf = [comb(w, k) * exp(beta(k + a, w - k + b) - beta(a, b)) for k in range(most + 1)]
+    pmf = [comb(w, k) * exp(beta(k + a, w - k + b) - beta(a, b)) for k in range(min(most, w) + 1)]
     return [min(1.0, max(float(sum(pmf[: k + 1])), 2.0**-w)) for k in range(most + 1)]
 
 
@@ -280,9 +280,9 @@ def links(fps: DataFrame, radius: int, heavy: int = 4096) -> DataFrame:
         .select(F.col("p.i").alias("part"), value.bitwiseXOR(F.col("p.x")).alias("key"), (F.col("p.x") == 0).alias("own"), "fp", value.alias("v"))
         .where("key >= v")
     )
-    same = Window.partitionBy("part", "key")
-    rows = rows.withColumns({"n": F.count(F.lit(1)).over(same), "owners": F.sum(F.col("own").cast("int")).over(same)}).where("n > 1 and owners > 0")
-    rows = materialise(rows.select("part", "key", "own", "fp", "n"), "candidates")
+    # Counts are summed before the shuffle, so that no task holds all rows of a heavy value.
+    shared = rows.groupBy("part", "key").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("owned")).where("n > 1 and owned").drop("owned")
+    rows = materialise(rows.join(shared, ["part", "key"]).select("part", "key", "own", "fp", "n"), "candidates")
     light = rows.where(F.col("n") <= heavy).select("part", "key", F.lit(0).cast("long").alias("cell"), "own", "fp")
     # A heavy value's rows are cut into blocks; cell x * blocks + y holds blocks x <= y.
     blocks = F.ceil(F.col("n") / heavy).cast("long")
@@ -332,87 +332,166 @@ def shingle_sets(text: Column, k: int) -> Column:
     return of(text)
 
 
+def parity_bits(hashes: np.ndarray) -> np.ndarray:
+    """A bitmap of a set of hashes: bit i is the parity of how many are i modulo its size.
+
+    Its size is the least power of two, 64 at least, that isn't under the set's. The bits in which the bitmaps of two
+    sets differ are at most as many as the hashes that only one of them has.
+    """
+    size = 1 << max(6, int(len(hashes) - 1).bit_length())
+    odd = np.bincount((hashes & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little")
+
+
+def may_be_similar(x: bytes, y: bytes, m: int, n: int, similarity: float) -> bool:
+    """False only if sets of m and n hashes with these bitmaps have a Jaccard similarity below the given one."""
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) > len(b):  # a larger table is folded onto the smaller one's size
+        a = np.bitwise_xor.reduce(a.reshape(-1, len(b)), axis=0)
+    return int(np.bitwise_count(a ^ b).sum()) <= (1 - similarity) / (1 + similarity) * (m + n) + 1e-6
+
+
 def sketches(text: Column, k: int, similarity: float, common) -> Column:
-    """Fingerprint, hash and size of a text's set of shingle hashes, and the set's prefix.
+    """What the search needs of a text: fingerprint fp, and of its set of shingle hashes a hash t, the size, the parity
+    bits and the prefix, whose first `rare` hashes aren't in the broadcast `common` (sorted).
 
-    Sets are ordered by hash, those in the broadcast `common` (sorted) last. Two sets of at least the given Jaccard similarity share a hash
+    Sets are ordered by hash, those in `common` last. Two sets of at least the given Jaccard similarity share a hash
     within both prefixes: all but the last ceil(similarity * size) - 1 hashes.
     """
 
-    @F.arrow_udf("struct<fp: long, t: long, size: int, prefix: array<long>>")
+    @F.arrow_udf("struct<fp: long, t: long, size: int, bits: binary, rare: int, prefix: array<long>>")
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         late_ones = common.value
         for col in batches:
             data, at = utf8(col)
             raw = data.tobytes().translate(ASCII_LOWER)
-            fps, keys, sizes, prefixes = [], [], [], []
+            fps, keys, sizes, bits, early, prefixes = [], [], [], [], [], []
             for i in range(len(col)):
                 h = shingle_hashes(raw[at[i] : at[i + 1]].split(), k)
                 fps.append(majority(h, np.array([len(h)], np.int64)))
                 own = np.unique(h)
                 keys.append(xxhash.xxh64_intdigest(own.tobytes(), SEED))
                 sizes.append(len(own))
-                if len(late_ones) and len(own):
+                bits.append(parity_bits(own).tobytes())
+                n = len(own)
+                if len(late_ones) and n:
                     late = late_ones[np.minimum(np.searchsorted(late_ones, own), len(late_ones) - 1)] == own
+                    n -= int(late.sum())
                     own = np.concatenate([own[~late], own[late]])
+                early.append(n)
                 prefixes.append(own[: len(own) - int(np.ceil(similarity * len(own) - 1e-6)) + 1].view(np.int64))
             fp = np.concatenate(fps).view(np.int64) if fps else np.zeros(0, np.int64)
-            yield pa.StructArray.from_arrays(
-                [pa.array(fp), pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))], names=["fp", "t", "size", "prefix"]
-            )
+            cols = [pa.array(fp), pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(bits, pa.binary()), pa.array(early, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))]
+            yield pa.StructArray.from_arrays(cols, names=["fp", "t", "size", "bits", "rare", "prefix"])
 
     return of(text)
 
 
-def common_shingles(docs: DataFrame, shingle: int, text_col: str, sample: int = 10_000, least: int = 4) -> np.ndarray:
-    """Sorted hashes of shingles that `least` or more different texts of a sample have; they only set the order of prefixes."""
+def common_shingles(docs: DataFrame, shingle: int, text_col: str, sample: int = 10_000, least: int = 4, most: int = 500_000) -> np.ndarray:
+    """Sorted hashes of the shingles, at most `most`, that `least` or more different texts of a sample of about `sample` have.
+
+    They only set the order of prefixes, and so the cost of the search; what it finds is the same for any order.
+    """
     n = docs.count()
     text = F.col(text_col)
     some = docs.where(F.pmod(F.xxhash64(text), F.lit(max(1, n // sample))) == 0).select(text.alias("x")).distinct()
     found = some.select(F.explode(shingle_sets(F.col("x"), shingle)).alias("h")).groupBy("h").count().where(F.col("count") >= least)
+    found = found.orderBy(F.desc("count"), "h").limit(most)
     return np.sort(found.select("h").toArrow().column("h").to_numpy().view(np.uint64))
 
 
-def similar(own: DataFrame, texts: DataFrame, edges: DataFrame, shingle: int, similarity: float, rounds: int = 2) -> DataFrame:
+def prefix_index(own: DataFrame) -> DataFrame:
+    """h, t, size, at and n: for each hash that prefixes of several sets have, those sets, the place in them and their number.
+
+    Hashes that a sample showed to be common are counted before the shuffle, so no task gets all rows of one; any other
+    is in few of the sets and its rows are counted where they meet.
+    """
+    sets = own.groupBy("t").agg(F.any_value(F.struct("size", "rare", "prefix")).alias("i"))
+    rows = sets.select("t", "i.size", "i.rare", F.posexplode("i.prefix").alias("at", "h"))
+    seldom = rows.where("at < rare").select("h", "t", "size", "at").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("n > 1")
+    often = rows.where("at >= rare").select("h", "t", "size", "at")
+    counts = often.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return materialise(seldom.unionByName(often.join(counts, "h")), "prefixes")
+
+
+def verified(pairs: DataFrame, items: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Of pairs (x, y) of sets, the fingerprints (a, b) of those whose Jaccard similarity is at least the given one.
+
+    Parity bits rule out nearly all others without their texts; the sets of the rest are made and compared.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            cols = [rb.column(c).to_pylist() for c in ("bx", "by", "m", "n")]
+            keep = [may_be_similar(*row, similarity) for row in zip(*cols, strict=True)]
+            yield rb.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
+
+    one, two = (items.select(F.col("t").alias(i), F.col("bits").alias("b" + i), F.col("size").alias(size)) for i, size in (("x", "m"), ("y", "n")))
+    pairs = materialise(pairs.join(one, "x").join(two, "y").select("x", "y", "bx", "by", "m", "n").mapInArrow(run, "x long, y long"), "survivors")
+    wanted = pairs.select(F.col("x").alias("t")).union(pairs.select("y")).distinct().join(items.select("t", "fp", "k1", "k2"), "t")
+    held = texts.join(wanted, ["k1", "k2"]).dropDuplicates(["t"])
+    sets = materialise(held.select("t", "fp", shingle_sets(F.col("text"), shingle).alias("s")), "sets")
+    x, y = (sets.select(F.col("t").alias(i), F.col("fp").alias(fp), F.col("s").alias("s" + i)) for i, fp in (("x", "a"), ("y", "b")))
+    both = F.size(F.array_intersect("sx", "sy"))
+    found = pairs.join(x, "x").join(y, "y").where(both >= similarity * (F.size("sx") + F.size("sy") - both) - 1e-9)
+    found = materialise(found.where("a != b").select("a", "b").distinct(), "verified")
+    for done in (sets, pairs):
+        discard(done)
+    return found
+
+
+def similar(own: DataFrame, texts: DataFrame, edges: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """Edges (a, b) between fingerprints, such that with `edges` they join all texts of at least the given similarity.
 
-    own: fp, t, size, prefix and _row of each text; texts: _row and _text. Pairs that share a hash of their prefixes are all
-    checked exactly, but for those that are joined already. So that groups of many like texts don't check every pair, the
-    first rounds check only neighbours among the texts of a hash; the last one takes every pair that is still apart.
+    own: k1, k2, fp and the rest of sketches() for each row; texts: k1, k2 and text. Sets that share a hash of their
+    prefixes are all compared, but for those that links join already. So that a group of many like texts doesn't
+    compare each pair, a first round compares, for each hash, one text of each part of the graph with the part's that
+    has most in common with others, and with the next in size; the second takes every pair that is still apart.
     """
-    items = materialise(own.groupBy("t").agg(F.min(F.struct("fp", "_row", "size", "prefix")).alias("i")).select("t", "i.*"), "items")
-    same = materialise(own.join(items.select("t", F.col("fp").alias("b")), "t").where("fp != b").select(F.col("fp").alias("a"), "b").distinct(), "same")
-    rows = items.select("t", "fp", "size", F.posexplode("prefix").alias("at", "h"))
-    rows = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("n > 1").drop("n")
-    rows = materialise(rows, "prefixes")
+    meta = materialise(own.drop("prefix", "rare"), "meta")
+    items = materialise(meta.groupBy("t").agg(F.min(F.struct("fp", "k1", "k2", "size", "bits")).alias("i")).select("t", "i.*"), "items")
+    same = materialise(meta.join(items.select("t", F.col("fp").alias("b")), "t").where("fp != b").select(F.col("fp").alias("a"), "b").distinct(), "same")
+    discard(meta)
+    rows = prefix_index(own)
     edges = edges.select("a", "b").union(same)
-    found = [same]
-    for step in range(rounds + 1):
-        labels = materialise(components(edges).select(F.col("node").alias("fp"), "label"), "labels")
-        own_part = rows.join(labels, "fp", "left").withColumn("part", F.coalesce("label", "fp")).select("h", "t", "size", "at", "part")
-        if step < rounds:
-            by = Window.partitionBy("h").orderBy(*(["size", "t"] if step else ["part", "t"]))
-            pairs = own_part.select("h", F.col("t").alias("x"), F.lead("t").over(by).alias("y"), "size", F.lead("size").over(by).alias("size2"), "at", F.lead("at").over(by).alias("at2"), "part", F.lead("part").over(by).alias("part2")).where("y is not null")
-        else:
-            other = own_part.select("h", F.col("t").alias("y"), F.col("size").alias("size2"), F.col("at").alias("at2"), F.col("part").alias("part2"))
-            pairs = own_part.withColumnRenamed("t", "x").join(other, "h").where("x < y")
-        most = F.least(F.col("size") - F.col("at"), F.col("size2") - F.col("at2"))  # that both can share from here on
-        pairs = pairs.where(F.col("part") != F.col("part2")).where(most >= similarity / (1 + similarity) * (F.col("size") + F.col("size2")) - 1e-6)
-        pairs = materialise(pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "pairs")
-        wanted = pairs.select(F.col("x").alias("t")).union(pairs.select("y")).distinct().join(items.select("t", "fp", "_row"), "t")
-        held = texts.join(wanted, "_row").dropDuplicates(["t"])
-        sets = materialise(held.select("t", "fp", shingle_sets(F.col("_text"), shingle).alias("s")), "sets")
-        x, y = (sets.select(F.col("t").alias(i), F.col("fp").alias(fp), F.col("s").alias("s" + i)) for i, fp in (("x", "a"), ("y", "b")))
-        both = F.size(F.array_intersect("sx", "sy"))
-        checked = pairs.join(x, "x").join(y, "y").where(both >= similarity * (F.size("sx") + F.size("sy") - both)).where("a != b").select("a", "b")
-        found.append(materialise(checked.distinct(), "checked"))
-        for done in (sets, pairs, labels):
-            discard(done)
-        edges = edges.union(found[-1])
-    out = found[0]
-    for more in found[1:]:
-        out = out.union(more)
-    return out
+
+    def parted() -> DataFrame:
+        labels = components(edges).select(F.col("node").alias("fp"), "label")
+        part = items.select("t", "fp").join(labels, "fp", "left").select("t", F.coalesce("label", "fp").alias("part"))
+        return rows.join(part, "t")
+
+    def reach(at: str, other_at: str, size: str, other_size: str) -> Column:  # what both can share from here on is enough
+        most = F.least(F.col(size) - F.col(at), F.col(other_size) - F.col(other_at))
+        return most >= similarity / (1 + similarity) * (F.col(size) + F.col(other_size)) - 1e-6
+
+    pair = [F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")]
+    weight = rows.groupBy("t").agg(F.sum("n").alias("w"))
+    spots = materialise(parted().join(weight, "t").groupBy("h", "part").agg(F.max(F.struct("w", "t", "size", "at")).alias("m"), F.max("n").alias("n")).select("h", "part", "n", "m.*"), "spots")
+    centre = spots.groupBy("h").agg(F.max(F.struct("w", "t", "size", "at")).alias("c"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    centre = centre.select("h", F.col("c.t").alias("y"), F.col("c.size").alias("size2"), F.col("c.at").alias("at2"))
+    stars = spots.withColumnRenamed("t", "x").join(centre, "h").where(reach("at", "at2", "size", "size2")).where("x != y").select(*pair)
+    # Neighbours in size; rows of a hash that many sets have are dealt out, each to one of as many lists as keeps them short.
+    lists = F.pmod(F.xxhash64("t", "h"), F.ceil(F.col("n") / 4096).cast("long"))
+    by = Window.partitionBy("h", lists).orderBy("size", "t")
+    nexts = spots.select("h", F.col("t").alias("x"), "size", "at", F.lead("t").over(by).alias("y"), F.lead("size").over(by).alias("size2"), F.lead("at").over(by).alias("at2"))
+    nexts = nexts.where("y is not null").where(reach("at", "at2", "size", "size2")).select(*pair)
+    first = materialise(stars.union(nexts).distinct(), "pairs")
+    found = verified(first, items, texts, shingle, similarity)
+    discard(spots)
+
+    edges = edges.union(found)
+    now = materialise(parted(), "parts")
+    apart = now.groupBy("h").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("h")
+    now = now.join(apart, "h")
+    other = now.select("h", F.col("t").alias("y"), F.col("size").alias("size2"), F.col("at").alias("at2"), F.col("part").alias("part2"))
+    rest = now.withColumnRenamed("t", "x").join(other, "h").where("part < part2").where(reach("at", "at2", "size", "size2")).select(*pair).distinct()
+    rest = materialise(rest.join(first, ["x", "y"], "left_anti"), "pairs")
+    last = verified(rest, items, texts, shingle, similarity)
+    for done in (now, first, rest, rows, items):
+        discard(done)
+    return same.union(found).union(last)
 
 
 def representatives(docs: DataFrame, shingle: int = 5, sure: int = 4, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -420,26 +499,25 @@ def representatives(docs: DataFrame, shingle: int = 5, sure: int = 4, similarity
 
     Fingerprints within `sure` bits are linked, and texts whose shingle sets' Jaccard similarity is at least `similarity`,
     however far their fingerprints are apart. Rows with a null id stay only if all of their group have none; of equal
-    rows one stays; blank texts form one group; an empty table gives an empty result; all columns are kept as they are.
+    rows one stays; blank texts form one group; an empty table gives an empty result; all columns are kept as they are,
+    whatever their names.
     """
-    row = F.xxhash64(*docs.columns)
+    k1, k2 = row_key(docs)
     common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, shingle, text_col))
-    own = docs.select(row.alias("_row"), F.col(id_col).alias("id"), sketches(F.col(text_col), shingle, similarity, common).alias("s"))
-    own = materialise(own.select("_row", "id", "s.*"), "rows")
+    own = docs.select(k1.alias("k1"), k2.alias("k2"), F.col(id_col).alias("id"), sketches(F.col(text_col), shingle, similarity, common).alias("s"))
+    own = materialise(own.select("k1", "k2", "id", "s.*"), "rows")
     near = materialise(links(materialise(own.select("fp").distinct(), "nodes"), sure), "links")
-    like = similar(own, docs.select(row.alias("_row"), F.col(text_col).alias("_text")), near, shingle, similarity)
+    like = similar(own.drop("id"), docs.select(k1.alias("k1"), k2.alias("k2"), F.col(text_col).alias("text")), near, shingle, similarity)
     labels = components(near.union(like))
-    labelled = own.join(labels, own.fp == labels.node, "left").select("_row", "id", F.coalesce("label", "fp").alias("label"))
-    first = labelled.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_row")).alias("w")).select("w._row")
-    return one_each(docs, row, first, own)
-
-
-def one_each(docs: DataFrame, row: Column, chosen: DataFrame, own: DataFrame) -> DataFrame:
-    """The rows of docs whose hash is in `chosen` (column _row), equal rows once. own: the hashes of all rows."""
-    chosen = materialise(chosen, "chosen")
-    twice = materialise(own.groupBy("_row").count().where("count > 1").select("_row").join(chosen, "_row", "left_semi"), "twice")
-    kept = docs.withColumn("_row", row).join(chosen, "_row", "left_semi")
-    if twice.isEmpty():
-        return kept.select(*docs.columns)
-    once = kept.join(twice, "_row", "left_anti").unionByName(kept.join(twice, "_row", "left_semi").dropDuplicates(["_row"]))
-    return once.select(*docs.columns)
+    labelled = own.join(labels, own.fp == labels.node, "left").select("k1", "k2", "id", F.coalesce("label", "fp").alias("label"))
+    first = labelled.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k1", "k2")).alias("w"), F.count(F.lit(1)).alias("n")).select("w.k1", "w.k2", "n")
+    first = materialise(first, "chosen")
+    # Equal rows have one key: of a chosen row that occurs several times one is kept.
+    copies = materialise(own.groupBy("k1", "k2").count().where("count > 1").join(first, ["k1", "k2"], "left_semi").select("k1", "k2"), "copies")
+    keyed = docs.select(F.struct(*docs.columns).alias("r"), k1.alias("k1"), k2.alias("k2"))
+    kept = keyed.join(first, ["k1", "k2"], "left_semi")
+    if not copies.isEmpty():
+        once = kept.join(copies, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
+        kept = kept.join(copies, ["k1", "k2"], "left_anti").unionByName(once)
+    discard(own)
+    return kept.select("r.*")

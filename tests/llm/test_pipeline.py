@@ -44,7 +44,7 @@ def test_stages_match_brute_force(spark):
     for i in range(len(rows)):
         for j in range(i):
             bits = (prints[i] ^ prints[j]).bit_count()
-            if bits <= 4 or bits <= 10 and len(shingles[i] & shingles[j]) >= 0.8 * len(shingles[i] | shingles[j]):
+            if bits <= 4 or len(shingles[i] & shingles[j]) >= 0.8 * len(shingles[i] | shingles[j]):
                 parent[max(root(i), root(j))] = min(root(i), root(j))
     assert {r["doc_id"] for r in one.collect()} == {rows[i][0] for i in range(len(rows)) if root(i) == i}
     assert one.columns == cols
