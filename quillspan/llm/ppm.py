@@ -35,8 +35,8 @@ class Table:
     """A hash table from 64-bit keys to their place in `keys`; lookups are done for whole arrays."""
 
     def __init__(self, keys: np.ndarray):
-        self.keys = keys.astype(np.uint64)
-        bits = max(4, int(np.ceil(np.log2(max(len(keys), 1)))) + 2)
+        self.keys = np.asarray(keys, np.uint64)
+        bits = max(4, int(np.ceil(np.log2(max(len(keys), 1)))) + 1)
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
         self.slots = np.full(1 << bits, -1, np.int32)
         left, at = np.arange(len(keys), dtype=np.int32), self._home(self.keys)
@@ -100,7 +100,7 @@ def _merged(held: list) -> tuple[np.ndarray, np.ndarray]:
 WORD, GRAM, ENDS = 0, 1, 2
 
 
-def _count(batches: Iterator[pa.RecordBatch], most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     words, grams, docs = [], [], 0
 
     def out(kind: int, held: list) -> Iterator[pa.RecordBatch]:
@@ -195,7 +195,7 @@ def _least_count(table: DataFrame, most: int) -> int:
     return chosen
 
 
-def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = 1_000_000) -> DataFrame:
+def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = 500_000) -> DataFrame:
     """Unigram base score and PPM score of every document.
 
     most: how many of the most frequent sequences, and of the most frequent words, are broadcast; it changes no result.
