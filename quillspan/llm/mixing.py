@@ -10,13 +10,14 @@ before it, so that a source's words end within about the smallest size of the ta
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from quillspan.llm.common import WORD, materialise
+from quillspan.llm.common import WORD, materialise, row_key
 
 CAP = 2.0
 
@@ -43,7 +44,11 @@ def _rate(dual, scaled):
 
 
 def solve(hist: DataFrame, goal: dict[str, tuple[float, float]], rounds: int = 60, tolerance: float = 1e-9) -> dict[str, float]:
-    """Dual variables by source. hist: src, size, n. goal: (target, scale) by source; the driver holds a row a source."""
+    """Dual variables by source. hist: src, size, n. goal: (target, scale) by source; the driver holds a row a source.
+
+    A source that isn't within the tolerance after all rounds keeps its last value, and the log says so: rounding still
+    carries its error from size to size, so its copies follow its rates and not its target.
+    """
     spark = hist.sparkSession
     state = {s: [0.0, -np.inf, np.inf] for s, (t, scale) in goal.items() if t > 0}
     done: dict[str, float] = {}
@@ -65,6 +70,8 @@ def solve(hist: DataFrame, goal: dict[str, tuple[float, float]], rounds: int = 6
             if not v[1] < step < v[2]:  # leave the bracket's outside to bisection, or double while it is open
                 step = (v[1] + v[2]) / 2 if np.isfinite(v[1] + v[2]) else (2 * v[0] or 1.0) if gap < 0 and v[0] >= 0 else (2 * v[0] or -1.0) if gap > 0 and v[0] <= 0 else 0.0
             v[0] = float(step)
+    if state:
+        logging.getLogger(__name__).warning("%d sources are not within %g of their targets after %d rounds", len(state), tolerance, rounds)
     return done | {s: v[0] for s, v in state.items()}
 
 
@@ -79,26 +86,21 @@ def _round(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf[["src", "size", "n"]].assign(copies=copies)
 
 
-def row_hash(id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> Column:
-    """The column h of mix()."""
-    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.col(id_col), F.col(source_col))
-
-
 def mix(
     docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", hot: int = 20_000
 ) -> tuple[DataFrame, DataFrame]:
     """How often each document enters the mix.
 
     Sources are taken in code point order, null last, and weigh weights[0], weights[1], ... over again. Returns (sizes,
-    copies): doc_id, text hash, source, size of every document, and the same with source_size, target, rate and copies. Null texts and
-    texts without a word have size 0 and one copy. Rows that are equal in id, text and source are interchangeable; an empty
+    copies): doc_id, k1 and k2 (the row_key() of the whole row), source and size of every document, and the same with source_size, target, rate and copies. Null texts and
+    texts without a word have size 0 and one copy. Only rows that are equal in all columns are interchangeable; an empty
     table gives an empty result. hot: documents of one source and size that one task ranks; more are cut by hash.
     """
     spark = docs.sparkSession
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    text, (k1, k2) = F.coalesce(F.col(text_col), F.lit("")), row_key(docs)
     meta = materialise(
         docs.select(
-            F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), row_hash(id_col, text_col, source_col).alias("h"),
+            F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), k1.alias("k1"), k2.alias("k2"),
             F.when(F.col(source_col).isNull(), "").otherwise(F.concat(F.lit("="), F.col(source_col))).alias("src"),
             F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
         ),
@@ -117,15 +119,15 @@ def mix(
     wanted = rated.groupBy("src").applyInPandas(_round_group, "src string, size long, n long, rate double, copies long, source_size long, target double")
     wanted = materialise(wanted, "copies")
     # Of n documents of one source and size, copies mod n get one more than the others: those first by hash.
-    dealt = meta.join(wanted, ["src", "size"]).withColumn("part", F.pmod("h", F.ceil(F.col("n") / hot).cast("long")))
-    rank = F.row_number().over(Window.partitionBy("src", "size", "part").orderBy("h", "doc_id"))
+    dealt = meta.join(wanted, ["src", "size"]).withColumn("part", F.pmod("k1", F.ceil(F.col("n") / hot).cast("long")))
+    rank = F.row_number().over(Window.partitionBy("src", "size", "part").orderBy("k1", "k2"))
     before = wanted.where(F.col("n") > hot).select("src", "size", "n")
-    held = meta.join(before, ["src", "size"]).groupBy("src", "size", F.pmod("h", F.ceil(F.col("n") / hot).cast("long")).alias("part")).agg(F.count(F.lit(1)).alias("held"))
+    held = meta.join(before, ["src", "size"]).groupBy("src", "size", F.pmod("k1", F.ceil(F.col("n") / hot).cast("long")).alias("part")).agg(F.count(F.lit(1)).alias("held"))
     upto = F.sum("held").over(Window.partitionBy("src", "size").orderBy("part")) - F.col("held")
     offsets = held.select("src", "size", "part", upto.alias("before"))
     placed = dealt.withColumn("rank", rank).join(offsets, ["src", "size", "part"], "left")
     more = (F.coalesce("before", F.lit(0)) + F.col("rank") <= F.expr("copies % n")).cast("long")
-    return meta, placed.select("doc_id", "h", "source", "size", "source_size", "target", "rate", (F.expr("copies div n") + more).alias("copies"))
+    return meta, placed.select("doc_id", "k1", "k2", "source", "size", "source_size", "target", "rate", (F.expr("copies div n") + more).alias("copies"))
 
 
 def _round_group(pdf: pd.DataFrame) -> pd.DataFrame:
