@@ -9,13 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillspan.llm import decontam, mixing, quality, sharding, simhash
-from quillspan.llm.common import materialise
+from quillspan.llm.common import materialise, row_key
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the classifier."""
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.judge(docs, model).where("quality_rules.kept").select(*docs.columns)
+    whole = docs.select(F.struct(*docs.columns).alias("r"), "text")
+    return quality.judge(whole, model).where("quality_rules.kept").select("r.*")
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,22 +26,22 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage like a benchmark item."""
-    row = F.xxhash64(*docs.columns)
-    keyed = docs.select(row.alias("_row"), "text")
-    found = decontam.contaminated(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_row")
-    bad = materialise(found.select(F.col("doc_id").alias("_row")).distinct(), "contaminated")
-    return docs.withColumn("_row", row).join(bad, "_row", "left_anti").select(*docs.columns)
+    key = F.concat_ws(":", *row_key(docs)).alias("row")
+    found = decontam.contaminated(docs.select(key, "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="row")
+    bad = materialise(found.select(F.col("doc_id").alias("row")).distinct(), "contaminated")
+    return docs.select(F.struct(*docs.columns).alias("r"), key).join(bad, "row", "left_anti").select("r.*")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    row = mixing.row_hash()
+    k1, k2 = row_key(docs)
+    key = ["k1", "k2"]
     _, copies = mixing.mix(docs)
-    times = materialise(copies.groupBy(F.col("h").alias("_row")).agg(F.sum("copies").alias("_times"), F.count(F.lit(1)).alias("_rows")).where("_times > 0"), "times")
-    found = docs.withColumn("_row", row).join(times, "_row")
-    if not times.where("_rows > 1").isEmpty():  # equal rows share their copies
-        found = found.where("_rows = 1").unionByName(found.where("_rows > 1").dropDuplicates(["_row"]))
-    return found.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))).select(*docs.columns)
+    times = materialise(copies.groupBy(*key).agg(F.sum("copies").alias("times"), F.count(F.lit(1)).alias("rows")).where("times > 0"), "times")
+    found = docs.select(F.struct(*docs.columns).alias("r"), k1.alias("k1"), k2.alias("k2")).join(times, key)
+    if not times.where("rows > 1").isEmpty():  # rows that are equal in all columns share their copies
+        found = found.where("rows = 1").unionByName(found.where("rows > 1").dropDuplicates(key))
+    return found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("r.*")
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
