@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillspan.llm import words as W
-from quillspan.llm.common import materialise, pieces, utf8
+from quillspan.llm.common import materialise, pieces, rows_a_batch, utf8
 
 ORDER = 5
 #: Bytes that UTF-8 never has: before and after a text.
@@ -113,7 +113,7 @@ def _count(batches: Iterator[pa.RecordBatch], most: int = 1_000_000) -> Iterator
     for rb in batches:
         data, at = utf8(rb.column(0))
         docs += len(at) - 1
-        for lo, hi in pieces(at, 4 << 20):
+        for lo, hi in pieces(at):
             lower, own = W.LOWER[data[at[lo] : at[hi]]], at[lo : hi + 1] - at[lo]
             found = W.find_words(lower, own)
             _add(words, W.Rolling(lower)(found.starts, found.ends))
@@ -206,7 +206,8 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most
     spark = docs.sparkSession
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held_out_column(id_col).alias("held_out"))
     counts = own.where(~F.col("held_out")).select("text").mapInArrow(_count, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
-    counts = materialise(counts, "counts")
+    with rows_a_batch(spark, 2000):
+        counts = materialise(counts, "counts")
     totals = {r["kind"]: (r["n"], r["v"]) for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
     ends = totals.get(ENDS, (0, 0))[0]
     n_words, n_kinds = totals.get(WORD, (0, 0))
@@ -260,7 +261,8 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most
                 yield pa.RecordBatch.from_arrays(cols, names=["uid", "doc_id", "held_out", "n_tokens", "hot", "base", "score", "cold", "miss", "times"])
 
     first = own.select("doc_id", "text", "held_out").mapInArrow(run, "uid long, doc_id long, held_out boolean, n_tokens long, hot long, base double, score double, cold array<long>, miss array<long>, times array<long>")
-    first = materialise(first, "scored")
+    with rows_a_batch(spark, 2000):
+        first = materialise(first, "scored")
     met = first.select("uid", F.explode("cold").alias("key")).join(rare, "key", "left")
     sums = met.groupBy("uid").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.1))).alias("more"), F.count("c").alias("rare"))
     missed = first.select("uid", "held_out", F.inline(F.arrays_zip(F.col("miss").alias("key"), F.col("times").alias("times"))))
