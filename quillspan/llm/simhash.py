@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from quillspan.llm.common import ASCII_LOWER, SEED, discard, materialise, row_key, utf8
+from quillspan.llm.common import ASCII_LOWER, SEED, discard, materialise, row_key, rows_a_batch, utf8
 from quillspan.llm.components import components, forest
 
 #: Eight 0/1 bytes for each byte value, lowest bit first.
@@ -389,14 +389,15 @@ def sketches(text: Column, k: int, similarity: float, common) -> Column:
     return of(text)
 
 
-def common_shingles(docs: DataFrame, shingle: int, text_col: str, sample: int = 10_000, least: int = 4, most: int = 500_000) -> np.ndarray:
-    """Sorted hashes of the shingles, at most `most`, that `least` or more different texts of a sample of about `sample` have.
+def common_shingles(docs: DataFrame, shingle: int, text_col: str, share: int = 8, least: int = 4, most: int = 500_000) -> np.ndarray:
+    """Sorted hashes of the shingles that `least` or more different texts of one in `share` have, the `most` frequent of them.
 
-    They only set the order of prefixes, and so the cost of the search; what it finds is the same for any order.
+    They only set the order of prefixes, and so the cost of the search; what it finds is the same for any order. The
+    sample is a share of all texts, so a hash that isn't among them is in about least * share texts at most, whatever
+    the table's size.
     """
-    n = docs.count()
     text = F.col(text_col)
-    some = docs.where(F.pmod(F.xxhash64(text), F.lit(max(1, n // sample))) == 0).select(text.alias("x")).distinct()
+    some = docs.where(F.pmod(F.xxhash64(text), F.lit(share)) == 0).select(text.alias("x")).distinct()
     found = some.select(F.explode(shingle_sets(F.col("x"), shingle)).alias("h")).groupBy("h").count().where(F.col("count") >= least)
     found = found.orderBy(F.desc("count"), "h").limit(most)
     return np.sort(found.select("h").toArrow().column("h").to_numpy().view(np.uint64))
@@ -432,7 +433,8 @@ def verified(pairs: DataFrame, items: DataFrame, texts: DataFrame, shingle: int,
     pairs = materialise(pairs.join(one, "x").join(two, "y").select("x", "y", "bx", "by", "m", "n").mapInArrow(run, "x long, y long"), "survivors")
     wanted = pairs.select(F.col("x").alias("t")).union(pairs.select("y")).distinct().join(items.select("t", "fp", "k1", "k2"), "t")
     held = texts.join(wanted, ["k1", "k2"]).dropDuplicates(["t"])
-    sets = materialise(held.select("t", "fp", shingle_sets(F.col("text"), shingle).alias("s")), "sets")
+    with rows_a_batch(texts.sparkSession, 1000):
+        sets = materialise(held.select("t", "fp", shingle_sets(F.col("text"), shingle).alias("s")), "sets")
     x, y = (sets.select(F.col("t").alias(i), F.col("fp").alias(fp), F.col("s").alias("s" + i)) for i, fp in (("x", "a"), ("y", "b")))
     both = F.size(F.array_intersect("sx", "sy"))
     found = pairs.join(x, "x").join(y, "y").where(both >= similarity * (F.size("sx") + F.size("sy") - both) - 1e-9)
@@ -503,9 +505,11 @@ def representatives(docs: DataFrame, shingle: int = 5, sure: int = 4, similarity
     whatever their names.
     """
     k1, k2 = row_key(docs)
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, shingle, text_col))
+    with rows_a_batch(docs.sparkSession, 1000):
+        common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, shingle, text_col))
     own = docs.select(k1.alias("k1"), k2.alias("k2"), F.col(id_col).alias("id"), sketches(F.col(text_col), shingle, similarity, common).alias("s"))
-    own = materialise(own.select("k1", "k2", "id", "s.*"), "rows")
+    with rows_a_batch(docs.sparkSession, 2000):
+        own = materialise(own.select("k1", "k2", "id", "s.*"), "rows")
     near = materialise(links(materialise(own.select("fp").distinct(), "nodes"), sure), "links")
     like = similar(own.drop("id"), docs.select(k1.alias("k1"), k2.alias("k2"), F.col(text_col).alias("text")), near, shingle, similarity)
     labels = components(near.union(like))
