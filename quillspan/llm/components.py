@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from quillspan.llm.common import discard, materialise
@@ -44,15 +47,26 @@ def _small_star(e: DataFrame) -> DataFrame:
     return moved.union(least.select("a", F.col("m").alias("b"))).where("a <> b")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def _forest_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held = [(rb.column(0).to_numpy(zero_copy_only=False), rb.column(1).to_numpy(zero_copy_only=False)) for rb in batches]
+    if held:
+        node, label = forest(*(np.concatenate(x) for x in zip(*held)))
+        roots = np.unique(label)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([node, roots])), pa.array(np.concatenate([label, roots]))], names=["node", "label"])
+
+
+def components(edges: DataFrame, small: int = 1 << 20) -> DataFrame:
     """Label every node of `edges` (columns a, b: long, not null) with the least node that it reaches.
 
-    Alternates large-star and small-star steps until nothing changes; the number of rounds grows with the logarithm of
+    A graph of up to `small` edges, counted first, is one task's work (16 MB). A larger one
+    alternates large-star and small-star steps until nothing changes; the number of rounds grows with the logarithm of
     the longest path. Every round is a written table, no edge reaches the driver, and the joins keep one side unique per
     node, so a hub's rows can be split over tasks. Empty input gives an empty result; loops are ignored.
     Returns node, label, the roots included.
     """
     now = materialise(edges.select("a", "b").where("a <> b").distinct(), "edges")
+    if now.count() <= small:
+        return materialise(now.coalesce(1).mapInArrow(_forest_of_task, "node long, label long"), "labels")
     seen = None
     while True:
         after = materialise(_small_star(_large_star(now).distinct()).distinct(), "stars")

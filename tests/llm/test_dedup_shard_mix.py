@@ -61,7 +61,9 @@ def test_dense_links(spark):
     fps = {base ^ sum(1 << b for b in rnd.sample(range(64), rnd.randint(0, 6))) for _ in range(400)} | {rnd.getrandbits(64) for _ in range(400)}
     fps = sorted(simhash.signed(f) for f in fps)
     df = spark.createDataFrame([(f,) for f in fps], "fp long")
-    got = dict(components.components(simhash.links(df, 4, heavy=60)).collect())
+    edges = simhash.links(df, 4, heavy=60)
+    got = dict(components.components(edges).collect())
+    assert got == dict(components.components(edges, small=0).collect())
     want = brute_groups(fps, [f & (1 << 64) - 1 for f in fps], 4)
     assert [got.get(f, f) for f in fps] == want
 
