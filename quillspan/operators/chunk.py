@@ -11,19 +11,21 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillspan.functions import text as T
 
-#: Subsection markers at the start of a line, and anywhere.
+#: Subsection markers at the start of a line, anywhere, and of rules.
 LINE_MARKER = r"(?i)(?:^|\n)\s*(\([a-z0-9]+\)(?:\([a-z0-9]+\))*)\s+"
 ANY_MARKER = r"(?i)\([a-z0-9]+\)(?:\([a-z0-9]+\))?(?:\([a-z0-9]+\))?"
-RULE_MARKER = r"\([a-z]\)(?:\(\d+\)(?:\([A-Z]\))?)?"
+RULE_MARKER = r"\([a-z]\)(?:\(\d+\))?(?:\([A-Z]\))?"
 _CUT = "\x1e"
 
 
 def subsections(text: Column, anchored: bool = True, marker: str | None = None, least: int = 0) -> Column:
     """array<struct<id, text>> of the bodies between markers; text before the first marker is dropped, as are bodies of
-    `least` characters or fewer."""
+    `least` characters or fewer. A rule's capital letter is part of its id only behind a number."""
     pattern = marker or (LINE_MARKER if anchored else ANY_MARKER)
     group = 1 if anchored else 0
     ids = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    if marker == RULE_MARKER:
+        ids = F.transform(ids, lambda x: F.regexp_replace(x, r"^(\([a-z]\))\([A-Z]\)$", "$1"))
     bodies = F.slice(F.split(F.regexp_replace(text, pattern, _CUT), _CUT), 2, 1 << 20)
     both = F.arrays_zip(ids.alias("id"), bodies.alias("text"))
     trimmed = F.transform(both, lambda s: F.struct(s["id"].alias("id"), T.strip(s["text"]).alias("text")))
@@ -65,10 +67,55 @@ def pack(sizes: Column, limit: int = T.MAX_CHUNK, overlap: float = T.OVERLAP_SHA
     return F.element_at(F.transform(F.array(sums), cut), 1)
 
 
-def split_with_overlap(text: Column, limit: int = T.MAX_CHUNK, overlap: float = T.OVERLAP_SHARE, pattern: str = r"\n\n+|\n(?=\s{2,})", keep_blank: bool = False) -> Column:
-    """array<struct<first, last, text>> of packed paragraphs, joined by blank lines."""
+def pack_joined(p: Column, limit: int = T.MAX_CHUNK, overlap: float = T.OVERLAP_SHARE) -> Column:
+    """array<struct<first, last, head>>: runs of paragraphs, where a run's overlap is one paragraph of its own.
+
+    The overlap is the last whole paragraphs of the run before, without empty ones, that together have at most
+    floor(limit * overlap) tokens; that run's own overlap counts as its first paragraph. Joined by blank lines they are
+    counted anew, as one text. head: the overlap before the run's first paragraph, empty if there is none.
+    """
+    back = int(limit * overlap)
+    sums = F.aggregate(F.transform(p, T.tokens), F.array(F.lit(0).cast("long")), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+    kind = "array<struct<first:int,last:int,head:string>>"
+
+    def cut(sums: Column) -> Column:
+        before = lambda i: F.element_at(sums, i.cast("int"))
+        run = lambda s, last: F.array(F.struct(s["start"].alias("first"), last.cast("int").alias("last"), s["head"].alias("head")))
+        state = F.struct(F.array().cast(kind).alias("runs"), F.lit(1).alias("start"), F.lit("").alias("head"), F.lit(0).cast("long").alias("held"))
+
+        def shared(s: Column, i: Column) -> Column:
+            fits = F.filter(F.sequence(s["start"], F.greatest(i - 1, s["start"])), lambda j: before(i) - before(j) <= back)
+            at = F.when(F.size(fits) > 0, F.element_at(fits, 1)).otherwise(i)
+            own = F.filter(F.slice(p, at, i - at), lambda x: x != "")
+            whole = (at == s["start"]) & (s["head"] != "") & (before(i) - before(s["start"]) + T.tokens(s["head"]) <= back)
+            return F.array_join(F.when(whole, F.concat(F.array(s["head"]), own)).otherwise(own), "\n\n")
+
+        def step(s: Column, i: Column) -> Column:
+            size = before(i + 1) - before(i)
+            full = (i > s["start"]) & (s["held"] + size > limit)
+            # A one-element transform names the new head, so that it is made once.
+            after = F.transform(F.array(shared(s, i)), lambda head: F.struct(F.concat(s["runs"], run(s, i - 1)).alias("runs"), i.alias("start"), head.alias("head"), (T.tokens(head) + size).alias("held")))
+            return F.when(full, F.element_at(after, 1)).otherwise(F.struct(s["runs"].alias("runs"), s["start"].alias("start"), s["head"].alias("head"), (s["held"] + size).alias("held")))
+
+        n = F.size(sums) - 1
+        done = F.aggregate(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")), state, step, lambda s: F.concat(s["runs"], run(s, n)))
+        return F.when(n > 0, done).otherwise(F.array().cast(kind))
+
+    return F.element_at(F.transform(F.array(sums), cut), 1)
+
+
+def split_with_overlap(text: Column, limit: int = T.MAX_CHUNK, overlap: float = T.OVERLAP_SHARE, pattern: str = r"\n\n+|\n(?=\s{2,})", keep_blank: bool = False, joined: bool = False) -> Column:
+    """array<struct<first, last, text>> of packed paragraphs, joined by blank lines. joined: the overlap is one paragraph (pack_joined)."""
     parts = paragraphs(text, pattern, keep_blank)
 
+    def with_head(p: Column, r: Column) -> Column:
+        own = F.slice(p, r["first"], r["last"] - r["first"] + 1)
+        return F.array_join(F.when(r["head"] != "", F.concat(F.array(r["head"]), own)).otherwise(own), "\n\n")
+
+    if joined:
+        each = lambda p: F.transform(pack_joined(p, limit, overlap), lambda r: F.struct(r["first"].alias("first"), r["last"].alias("last"), with_head(p, r).alias("text")))
+        return F.element_at(F.transform(F.array(parts), each), 1)
+
     def build(p: Column) -> Column:
         runs = pack(F.transform(p, T.tokens), limit, overlap)
         return F.transform(runs, lambda r: F.struct(r["first"].alias("first"), r["last"].alias("last"), F.array_join(F.slice(p, r["first"], r["last"] - r["first"] + 1), "\n\n").alias("text")))
@@ -80,20 +127,25 @@ def tier(text: Column, limit: int = T.MAX_CHUNK) -> Column:
     return F.when(T.tokens(text) <= limit, "whole").when(F.size(subsections(text)) > 0, "subsections").otherwise("paragraphs")
 
 
-def chunk(sections: DataFrame, text: str = "text", limit: int = T.MAX_CHUNK, pattern: str = r"\n\n+|\n(?=\s{2,})", keep_blank: bool = False, anchored: bool = True) -> DataFrame:
+def chunk(
+    sections: DataFrame, text: str = "text", limit: int = T.MAX_CHUNK, pattern: str = r"\n\n+|\n(?=\s{2,})", keep_blank: bool = False, anchored: bool = True,
+    joined: bool = False, marker: str | None = None, least: int = 0, given: str | None = None,
+) -> DataFrame:
     """One row for each chunk: the section's columns (without its text), subsection, chunk_text, chunk_index, total_chunks.
 
     Subsections longer than the limit are split at paragraphs too. A single paragraph above the limit stays whole.
+    given: a column of ready subsections (array<struct<id, text>>), taken instead of those that markers cut.
     """
     t = F.col(text)
-    split = lambda s, of: F.transform(split_with_overlap(s, limit, pattern=pattern, keep_blank=keep_blank), lambda c: F.struct(of.alias("subsection"), c["text"].alias("chunk_text")))
+    found = F.coalesce(F.col(given), F.array().cast("array<struct<id:string,text:string>>")) if given else subsections(t, anchored, marker, least)
+    split = lambda s, of: F.transform(split_with_overlap(s, limit, pattern=pattern, keep_blank=keep_blank, joined=joined), lambda c: F.struct(of.alias("subsection"), c["text"].alias("chunk_text")))
     none = F.lit(None).cast("string")
     whole = lambda s, of: F.array(F.struct(of.alias("subsection"), s.alias("chunk_text")))
-    by_sub = F.flatten(F.transform(subsections(t, anchored), lambda s: F.when(T.tokens(s["text"]) <= limit, whole(s["text"], s["id"])).otherwise(split(s["text"], s["id"]))))
-    chunks = F.when(T.tokens(t) <= limit, whole(t, none)).when(F.size(subsections(t, anchored)) > 0, by_sub).otherwise(split(t, none))
+    by_sub = F.flatten(F.transform(found, lambda s: F.when(T.tokens(s["text"]) <= limit, whole(s["text"], s["id"])).otherwise(split(s["text"], s["id"]))))
+    chunks = F.when(T.tokens(t) <= limit, whole(t, none)).when(F.size(found) > 0, by_sub).otherwise(split(t, none))
     rows = sections.withColumn("_chunks", chunks)
     return rows.select(
-        *[c for c in sections.columns if c != text], F.size("_chunks").alias("total_chunks"), F.posexplode("_chunks").alias("chunk_index", "_c")
+        *[c for c in sections.columns if c not in (text, given)], F.size("_chunks").alias("total_chunks"), F.posexplode("_chunks").alias("chunk_index", "_c")
     ).select("*", "_c.subsection", "_c.chunk_text").drop("_c")
 
 
@@ -123,17 +175,27 @@ FAMILIES = {
 }
 
 
+#: The marker and the longest body that is dropped, where sections come without subsections.
+_MARKERS = {"tx-statute": (ANY_MARKER, 5), "tx-tac": (RULE_MARKER, 0)}
+
+
 def family_chunks(sections: DataFrame, family: str, year: int, limit: int = T.MAX_CHUNK) -> DataFrame:
     """Chunks of one family's sections with chunk_id, source_id, citation and, but for counties, hierarchy.
 
     sections has the family's id columns as texts, text, and what its citation names: cfr chapter; tx-statute code_name
     and cited_as; tx-tac title_name; county code_name; municipal city. Federal paragraphs may begin at indented lines,
-    and its citations end in the subsection; the other families keep blank paragraphs, match markers anywhere and put a
-    blank before the subsection. Municipal chunks count over the city, the others over their section.
+    and its citations end in the subsection; the other families keep blank paragraphs, count a chunk's overlap as one
+    paragraph, and put a blank before the subsection. A column `subsections`, as the parsers of sources make it, holds
+    if there is one; else markers are matched anywhere: statutes' bodies have over 5 characters, rules' markers are a
+    lower-case letter, a number and a capital one. Municipal chunks count over the city, the others over their section.
     """
     source, ids = FAMILIES[family]
     federal = family == "cfr"
-    options = {} if federal else {"pattern": r"\n\n+", "keep_blank": True, "anchored": False}
+    options: dict = {} if federal else {"pattern": r"\n\n+", "keep_blank": True, "anchored": False, "joined": True}
+    if not federal and "subsections" in sections.columns:
+        options["given"] = "subsections"
+    elif family in _MARKERS:
+        options["marker"], options["least"] = _MARKERS[family]
     rows = chunk(sections, limit=limit, **options)
     c, sub = F.col, F.coalesce(F.concat(F.lit("" if federal else " "), "subsection"), F.lit(""))
     section = F.concat(c("section"), sub)

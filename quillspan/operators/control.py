@@ -30,9 +30,11 @@ class Control:
             out.write(bytearray(json.dumps(state, sort_keys=True).encode()))
         finally:
             out.close()
-        self._fs.delete(target, False)
-        if not self._fs.rename(fresh, target):
-            raise OSError(f"can't write {target}")
+        # One step that replaces the target: a crash leaves the old document or the new one.
+        files = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri() if target.toUri().getScheme() else self._fs.getUri(), self.spark._jsc.hadoopConfiguration())  # noqa: SLF001
+        how = self.spark._sc._gateway.new_array(getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename"), 1)  # noqa: SLF001
+        how[0] = getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
+        files.rename(self._fs.makeQualified(fresh), self._fs.makeQualified(target), how)
 
     def get(self, key: str) -> dict | None:
         path = self._path(f"{key}.json")

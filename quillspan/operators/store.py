@@ -103,3 +103,20 @@ def covering_batches(rows: DataFrame, vectors: DataFrame, key: str, order: list[
     """(upsert batches with their vectors, rows without any): batch k holds rows [k * size, (k + 1) * size)."""
     numbered = batches(rows, order, size)
     return numbered.join(vectors, key), numbered.join(vectors.select(key).distinct(), key, "left_anti")
+
+
+def dimension_checked(rows: DataFrame, dimensions: int, embedding: str = "embedding") -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected): vectors of another length than the index has, or none, leave with a reason."""
+    n = F.coalesce(F.size(embedding), F.lit(-1))
+    reason = F.when(n < 0, "no vector").otherwise(F.format_string("%d dimensions, the index has %d", n, F.lit(dimensions)))
+    return rows.where(n == dimensions), rows.where(n != dimensions).withColumn("reason", reason)
+
+
+def create_index(control, name: str, dimensions: int, metric: str = "cosine") -> dict:
+    """Declare an index once; the same declaration again is no error, another one is. control: operators.control.Control."""
+    wanted, held = {"dimensions": dimensions, "metric": metric}, control.get(f"indexes/{name}")
+    if held is None:
+        control.put(f"indexes/{name}", wanted)
+    elif held != wanted:
+        raise ValueError(f"index {name} has {held}, not {wanted}")
+    return wanted

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from quillspan.functions import text as T
 from quillspan.operators import answer as A, chunk as C, coverage as V, quality as Q, retrieval as R, store as S
 from quillspan.plans import pipelines, providers as P, registry
-from quillspan.sources import files, html as H, markdown as M
+from quillspan.sources import files, html as H, markdown as M, xml as X
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -416,19 +416,91 @@ def html_section_text(spark, sf_dir):
     return p.select("page_id", F.regexp_extract("t", "(?s)<h1>(.*?)</h1>", 1).alias("heading"), F.trim(F.regexp_replace(body, r"[ \t]+", " "), F.lit(" \n")).alias("body"))
 
 
-@query(r"""WITH m AS (SELECT doc_id, regexp_extract_all(text, '(?i)\([a-z0-9]+\)') AS x FROM documents) SELECT doc_id, len(x) AS markers, coalesce(x[1], '') AS first_marker FROM m WHERE len(x) > 0""")
+_ANY = r"(?i)\([a-z0-9]+\)(?:\([a-z0-9]+\))?(?:\([a-z0-9]+\))?"
+
+
+@query(rf"""WITH m AS (SELECT doc_id, regexp_extract_all(text, '{_ANY}') AS ids, string_split_regex(text, '{_ANY}')[2:] AS bodies FROM documents),
+u AS (SELECT doc_id, unnest(ids) AS id, regexp_replace(unnest(bodies), '^\s+|\s+$', '', 'g') AS body, generate_subscripts(ids, 1) AS i FROM m)
+SELECT doc_id, count(*) AS markers, string_agg(id, ' ' ORDER BY i) AS ids, CAST(sum(length(body)) AS BIGINT) AS n_chars FROM u WHERE length(body) > 5 GROUP BY doc_id""")
 def subsection_markers(spark, sf_dir):
-    found = F.regexp_extract_all("text", F.lit(r"(?i)\([a-z0-9]+\)"), F.lit(0))
-    d = table(spark, sf_dir, "documents").select("doc_id", found.alias("x")).where(F.size("x") > 0)
-    return d.select("doc_id", F.size("x").cast("long").alias("markers"), F.element_at("x", 1).alias("first_marker"))
+    d = table(spark, sf_dir, "documents").select("doc_id", C.subsections(F.col("text"), anchored=False, least=5).alias("s")).where(F.size("s") > 0)
+    n_chars = F.aggregate("s", F.lit(0).cast("long"), lambda acc, x: acc + F.length(x["text"]))
+    return d.select("doc_id", F.size("s").cast("long").alias("markers"), F.array_join(F.transform("s", lambda x: x["id"]), " ").alias("ids"), n_chars.alias("n_chars"))
+
+
+def _joined(rows: DataFrame, by: str, order: str, *parts: Column) -> DataFrame:
+    """One text for each value of `by`: its rows' parts in order."""
+    each = F.sort_array(F.collect_list(F.struct(F.col(order), F.concat(*parts).alias("x"))))
+    return rows.groupBy(by).agg(F.array_join(F.transform(each, lambda s: s["x"]), "").alias("page"))
 
 
-@query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
-g AS (SELECT *, max(CASE WHEN i % 4 = 1 THEN i END) OVER (PARTITION BY doc_id ORDER BY i) AS h FROM l) SELECT doc_id, CAST(h AS INTEGER) AS section, count(*) AS lines, CAST(sum(length(line)) AS BIGINT) AS n_chars FROM g GROUP BY doc_id, h""")
+@query("SELECT p_brand, p_brand AS chapter, p_partkey || '.' AS section, p_name AS heading, p_type || chr(10) || chr(10) || '- ' || p_size || chr(10) || '> ' || p_name AS text FROM part")
 def markdown_sections(spark, sf_dir):
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line"))
-    lines = lines.withColumn("i", F.col("i") + 1).withColumn("heading", F.when(F.col("i") % 4 == 1, F.col("i")))
-    return M.carry_headings(lines, ["doc_id"], "i", "heading").groupBy("doc_id", F.col("heading").alias("section")).agg(F.count(F.lit(1)).alias("lines"), F.sum(F.length("line")).cast("long").alias("n_chars"))
+    p, lit = table(spark, sf_dir, "part"), F.lit
+    size = F.col("p_size").cast("string")
+    body = _joined(p, "p_brand", "p_partkey", lit("## Sec. "), F.col("p_partkey").cast("string"), lit(". "), "p_name", lit("\n"), "p_type", lit("\n\n\n* "), size, lit("\n> "), "p_name", lit("\n\n"))
+    number = F.regexp_extract("p_brand", r"(\d+)$", 1)
+    pages = body.select("p_brand", F.concat(lit("# Chapter "), number, lit(" Of brands\nLost text\n\n"), "page").alias("markdown"))
+    return M.ordinances(pages, "p_brand").withColumn("chapter", F.concat(lit("Brand#"), "chapter"))
+
+
+@query("SELECT p_brand, array_to_string(list_sort(list_distinct(list(p_size))), ',') AS chapters, array_to_string(list_transform(list_sort(list_distinct(list(p_partkey % 97))), lambda x: '12.' || x), ',') AS sections FROM part GROUP BY p_brand")
+def statute_links(spark, sf_dir):
+    size, n = F.col("p_size").cast("string"), (F.col("p_partkey") % 97).cast("string")
+    html = _joined(table(spark, sf_dir, "part"), "p_brand", "p_partkey", F.lit('<a href="/HS/htm/HS.'), size, F.lit('.htm">c</a><a href="HS.12.'), n, F.lit('.htm">s</a><a href="HS.13.1.htm">o</a>'))
+    page = F.col("page")
+    return html.select("p_brand", F.array_join(H.code_chapters(page, "HS"), ",").alias("chapters"), F.array_join(H.chapter_sections(page, "HS", "12"), ",").alias("sections"))
+
+
+@query("SELECT p_brand, array_to_string(list_sort(list_distinct(list(p_size))), ',') AS chapters, array_to_string(list_transform(list_sort(list_distinct(list(p_partkey % 89 + 100))), lambda x: '5.' || x), ',') AS rules FROM part GROUP BY p_brand")
+def rule_links(spark, sf_dir):
+    size, n = F.col("p_size").cast("string"), (F.col("p_partkey") % 89 + 100).cast("string")
+    chapter = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit('<a href="?ti=1&ch='), size, F.lit('">'))).otherwise(F.concat(F.lit("<b>Chapter "), size, F.lit("</b>")))
+    rule = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit('<a href="?x=1&rl=5.'), n, F.lit('">'))).otherwise(F.concat(F.lit("<i>§ 5."), n, F.lit("</i>")))
+    html = _joined(table(spark, sf_dir, "part"), "p_brand", "p_partkey", chapter, rule)
+    return html.select("p_brand", F.array_join(H.rule_chapters(F.col("page")), ",").alias("chapters"), F.array_join(H.chapter_rules(F.col("page"), "5"), ",").alias("rules"))
+
+
+@query("SELECT p_partkey, p_name AS heading, '(a) ' || p_type || ' (b)(1) ' || p_brand || ' tail (c) x' AS text, CASE WHEN length(p_type) > 5 THEN '(a)=' || p_type || '|' ELSE '' END || '(b)(1)=' || p_brand || ' tail' AS subsections FROM part")
+def statute_pages(spark, sf_dir):
+    html = F.concat(F.lit('<html><body><h2 class="section-heading">'), "p_name", F.lit('</h2><div class="section-text">(a) '), "p_type", F.lit(" (b)(1) "), "p_brand", F.lit(" tail (c) x</div></body></html>"))
+    rows = H.parse_statutes(table(spark, sf_dir, "part").select("p_partkey", html.alias("html")))[0]
+    return rows.select("p_partkey", "heading", "text", _pairs("subsections"))
+
+
+@query("SELECT p_partkey, p_name AS heading, '(a)=First ' || p_type || '|(b)(1)(A)=Second ' || p_brand || '|(c)=third' AS subsections FROM part")
+def rule_pages(spark, sf_dir):
+    html = F.concat(F.lit('<div class="rule-title">§5.31 - '), "p_name", F.lit('</div><div class="rule-text"><p>(a) First '), "p_type", F.lit(" </p><p>(b)(1)(A) Second "), "p_brand", F.lit(" (c)(B) third</p></div>"))
+    rows = H.parse_rules(table(spark, sf_dir, "part").select("p_partkey", html.alias("html")))[0]
+    return rows.select("p_partkey", "heading", _pairs("subsections"))
+
+
+def _pairs(name: str) -> Column:
+    return F.array_join(F.transform(name, lambda s: F.concat(s["id"], F.lit("="), s["text"])), "|").alias(name)
+
+
+@query("""SELECT 1 AS title, 'General' AS title_name, p_size AS part, 'Rules of ' || p_size AS part_name, p_size || '.' || p_partkey AS section, p_name AS heading, p_type || chr(10) || chr(10) || p_brand AS text FROM part""")
+def regulation_xml(spark, sf_dir):
+    p, lit, size = table(spark, sf_dir, "part"), F.lit, F.col("p_size").cast("string")
+    number = F.concat(size, lit("."), F.col("p_partkey").cast("string"))
+    body = _joined(p, "p_size", "p_partkey", lit('<DIV8 TYPE="SECTION" N="'), number, lit('"><HEAD>§ '), number, lit(" "), "p_name", lit("</HEAD><FP>"), "p_brand", lit("</FP><P>"), "p_type", lit("</P></DIV8>"))
+    head = F.concat(lit('<ECFR><DIV1 N="1" TYPE="TITLE"><HEAD>Title 1—General</HEAD><DIV3 TYPE="CHAPTER"><DIV5 TYPE="PART" N="'), size, lit('"><HEAD>PART '), size, lit("—Rules of "), size, lit("</HEAD>"))
+    files_ = body.select(F.concat(head, "page", lit("</DIV5></DIV3></DIV1></ECFR>")).alias("xml"))
+    return X.parse(files_)[0]
+
+
+@query("""SELECT p_partkey, 'https://statutes.capitol.texas.gov/Docs/HS/htm/HS.' || p_size || '.' || p_partkey || '.htm' AS statute,
+'https://texreg.sos.state.tx.us/public/readtac$ext.TacPage?sl=R&app=9&p_dir=&p_rloc=' || p_size || '&p_tloc=&p_ploc=&pg=1&p_tac=&ti=' || p_size || '&pt=&ch=5&rl=5.' || p_partkey AS rule FROM part""")
+def source_urls(spark, sf_dir):
+    n = F.col("p_partkey").cast("string")
+    return table(spark, sf_dir, "part").select("p_partkey", T.statute_url(F.lit("HS"), F.concat(F.col("p_size").cast("string"), F.lit("."), n)).alias("statute"), T.rule_url(F.col("p_size"), F.lit("5"), F.concat(F.lit("5."), n)).alias("rule"))
+
+
+@query("SELECT vec_id, (len(embedding) - CASE WHEN vec_id % 5 = 0 THEN 1 ELSE 0 END) || ' dimensions, the index has 64' AS reason FROM embeddings WHERE vec_id % 5 = 0")
+def index_dimensions(spark, sf_dir):
+    v = table(spark, sf_dir, "embeddings")
+    cut = F.when(F.col("vec_id") % 5 == 0, F.slice("embedding", 1, 63)).otherwise(F.col("embedding"))
+    return S.dimension_checked(v.select("vec_id", cut.alias("embedding")), 64)[1].select("vec_id", "reason")
 
 
 # --- answers -------------------------------------------------------------------------------------------------------
@@ -442,11 +514,16 @@ def answers(spark, sf_dir):
     return c.select("conv_id", "turn", F.concat("text", ref(F.col("turn") % 4 + 1), ref(F.col("turn") + 1)).alias("answer"))
 
 
-@query(f"""WITH {_DOCS}, n AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS position FROM d WHERE doc_id < 400)
-SELECT source, string_agg('[' || position || '] ' || citation || ' (' || jurisdiction || ', ' || source_type || ')', chr(10) ORDER BY position) AS citations FROM n GROUP BY source""")
+@query(f"""WITH {_DOCS} SELECT doc_id, source, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) AS INTEGER) AS position, citation FROM d""")
 def prompt_numbering(spark, sf_dir):
-    n = A.numbered(documents(spark, sf_dir).where("doc_id < 400"), [F.col("doc_id")], "source")
-    return A.citation_list(n, "source")
+    return A.numbered(documents(spark, sf_dir), [F.col("doc_id")], "source").select("doc_id", "source", F.col("position").cast("int").alias("position"), "citation")
+
+
+@query("""WITH n AS (SELECT conv_id, role || ' ' || turn AS citation, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS position FROM conversations)
+SELECT conv_id, string_agg('[' || position || '] ' || citation || ' (US, federal)', chr(10) ORDER BY position) AS citations FROM n GROUP BY conv_id""")
+def citation_list(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat("role", F.lit(" "), F.col("turn").cast("string")).alias("citation"), F.lit("US").alias("jurisdiction"), F.lit("federal").alias("source_type"))
+    return A.citation_list(A.numbered(c, [F.col("turn")], "conv_id"), "conv_id")
 
 
 _REFS = "r AS (SELECT conv_id, turn, list_transform(regexp_extract_all(answer, '\\[(\\d+)\\]', 1), lambda x: CAST(x AS INTEGER)) AS refs FROM a)"
@@ -585,6 +662,27 @@ def family_chunks(spark, sf_dir):
     return each[0].unionByName(each[1]).unionByName(each[2])
 
 
+def _tokens_sql(x: str) -> str:
+    return f"(CASE WHEN length({x}) = 0 THEN 0 ELSE CAST(ceil(ceil(length({x}) / 4.0) * 1.1::DOUBLE) AS BIGINT) END)"
+
+
+@query(f"""WITH RECURSIVE {_DOCS}, q AS (SELECT doc_id, string_split_regex(replace(text, chr(10), chr(10) || chr(10)), '\\n\\n+') AS p FROM d WHERE {_tokens_sql("replace(text, chr(10), chr(10) || chr(10))")} > 1500),
+z AS (SELECT doc_id, p, list_transform(p, lambda x: {_tokens_sql("x")}) AS n FROM q),
+r AS (SELECT doc_id, p, n, 1 AS i, 1 AS start, '' AS head, n[1] AS held, CAST(NULL AS INTEGER) AS first, CAST(NULL AS INTEGER) AS last, '' AS before FROM z
+ UNION ALL SELECT doc_id, p, n, i + 1, CASE WHEN full_ THEN i + 1 ELSE start END, CASE WHEN full_ THEN fresh ELSE head END, CASE WHEN full_ THEN {_tokens_sql("fresh")} ELSE held END + n[i + 1], CASE WHEN full_ THEN start END, CASE WHEN full_ THEN i END, head
+ FROM (SELECT *, held + n[i + 1] > 1500 AS full_, array_to_string(list_concat(CASE WHEN j0 = start AND head <> '' AND list_sum(n[start:i]) + {_tokens_sql("head")} <= 225 THEN [head] ELSE [] END,
+  CASE WHEN j0 IS NULL THEN [] ELSE list_filter(p[j0:i], lambda x: x <> '') END), chr(10) || chr(10)) AS fresh
+  FROM (SELECT *, list_filter(range(start, i + 1), lambda j: list_sum(n[j:i]) <= 225)[1] AS j0 FROM r WHERE i < len(p)))),
+c AS (SELECT doc_id, p, first, last, before FROM r WHERE first IS NOT NULL UNION ALL SELECT doc_id, p, start, len(p), head FROM r WHERE i = len(p))
+SELECT CAST(doc_id AS VARCHAR) AS section, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY last) - 1 AS INTEGER) AS chunk_index, CAST(count(*) OVER (PARTITION BY doc_id) AS INTEGER) AS total_chunks,
+md5(array_to_string(list_concat(CASE WHEN before <> '' THEN [before] ELSE [] END, p[first:last]), chr(10) || chr(10))) AS digest FROM c""")
+def family_long_chunks(spark, sf_dir):
+    double = F.regexp_replace("text", "\n", "\n\n")
+    none = F.array().cast("array<struct<id:string,text:string>>")
+    d = documents(spark, sf_dir).select(F.lit("Harris").alias("county"), F.lit("Code").alias("code_name"), F.lit("1").alias("chapter"), F.col("doc_id").cast("string").alias("section"), double.alias("text"), none.alias("subsections"))
+    return C.family_chunks(d.where(T.tokens(F.col("text")) > 1500), "county", 2026).select("section", "chunk_index", "total_chunks", F.md5("chunk_text").alias("digest"))
+
+
 @query(_STATS[: _STATS.rindex("SELECT source_type")] + " SELECT doc_id, 'chunk of ' || tokens || ' tokens is above the limit of 1500' AS reason FROM w WHERE tokens > 1500")
 def chunk_rejects(spark, sf_dir):
     d = documents(spark, sf_dir).select("doc_id", "source_type", "text")

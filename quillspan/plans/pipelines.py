@@ -32,9 +32,15 @@ def build_index(sections: DataFrame, embedder: P.Embedder, control: Control, run
     """Chunk, check and embed sections (section_id, source_id, text and metadata) of all sources.
 
     wanted: only these sources. Steps are tables under the run's name: one that is there already is read instead of made
-    again, so a run that stopped goes on after its last whole step.
+    again, so a run that stopped goes on after its last whole step. They hold for the rows they were made of: if the
+    sections have changed, by count and hashes over all columns, the run's steps are removed and made anew.
     """
     chosen = sections.where(F.col("source_id").isin(*wanted)) if wanted else sections
+    row = F.xxhash64(F.to_json(F.struct(*chosen.columns), {"ignoreNullFields": "false"})).cast("decimal(38,0)")
+    state = {"rows": (found := chosen.agg(F.count(F.lit(1)), F.sum(row)).first())[0], "digest": str(found[1])}
+    if control.get(f"runs/{run}") != state:
+        control.clear(run)
+        control.put(f"runs/{run}", state)
 
     def step(name: str, make) -> DataFrame:
         held = control.load_step(run, name) if resume else None

@@ -8,12 +8,32 @@ from quillspan.functions.text import content_type
 
 
 def documents(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """key, content, size, stored_at and content_type of the files under root; only the listing is read unless content is used."""
+    """key (the path below root), content, size, stored_at and content_type of the files under root; only the listing is read unless content is used."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
-    key = F.regexp_extract("path", r"([^/]+(?:/[^/]+){0,3})$", 1)
+    top = _qualified(spark, root).toString().rstrip("/") + "/"
+    key = F.when(F.col("path").startswith(top), F.substring("path", F.lit(len(top) + 1), F.length("path"))).otherwise(F.col("path"))
     return files.select("path", key.alias("key"), F.col("content").cast("string").alias("content"), F.col("length").alias("size"), F.col("modificationTime").alias("stored_at"), content_type(F.col("path")).alias("content_type"))
 
 
+def _qualified(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at)  # noqa: SLF001
+
+
+def delete(spark: SparkSession, root: str, key: str) -> bool:
+    """Remove one object; whether there was one."""
+    at = _qualified(spark, f"{root.rstrip('/')}/{key}")
+    return bool(at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, False))  # noqa: SLF001
+
+
+def point(spark: SparkSession, path: str, **where) -> DataFrame:
+    """Rows of a stored table with these values of its partition columns: other folders aren't read."""
+    rows = spark.read.parquet(path)
+    for name, value in where.items():
+        rows = rows.where(F.col(name) == value)
+    return rows
+
+
 def listed(files: DataFrame, pattern: str, number: bool = True) -> DataFrame:
     """Ids that a pattern takes from paths, numbers in their order before other texts."""
     found = files.select(F.regexp_extract("path", pattern, 1).alias("id")).where("id <> ''").distinct()

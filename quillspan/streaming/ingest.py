@@ -10,18 +10,23 @@ from quillspan.operators.store import changed, last_write
 
 
 def read_sections(spark: SparkSession, path: str, schema: str, files_per_trigger: int = 1000) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+    """A stream of the files under path, with `arrived`: their time and name and the row's place, which put versions in order."""
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+    return rows.select("*", F.struct("_metadata.file_modification_time", "_metadata.file_name", "_metadata.row_index").alias("arrived"))
 
 
 def ingest(sections: DataFrame, out: str, checkpoint: str, key: str = "doc_id", pattern: str = r"\n+") -> StreamingQuery:
     """Chunk new or changed sections of each batch and append them with the batch number; readers take the last write.
 
-    A batch that is repeated after a failure is written to the same batch folder, so nothing is doubled.
+    Of several versions of a key in one batch the one that arrived last counts; without a column `arrived` they have no
+    order and the greatest digest counts. What is known are the batches before, so a batch that is repeated after a
+    failure gives the same rows again, in the same folder.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = last_write(batch.withColumn("digest", F.sha2("text", 256)), [key], ["digest"])
-        known = _known(batch.sparkSession, out, key)
+        order = ["arrived"] if "arrived" in batch.columns else ["digest"]
+        rows = last_write(batch.withColumn("digest", F.sha2("text", 256)), [key], order).drop("arrived")
+        known = _known(batch.sparkSession, out, key, number)
         fresh = rows if known is None else changed(rows, known, [key]).where("state <> 'unchanged'").drop("state")
         C.chunk(fresh, pattern=pattern).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
@@ -33,14 +38,15 @@ def absent(e: Exception) -> bool:
     return "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e)
 
 
-def _known(spark: SparkSession, out: str, key: str) -> DataFrame | None:
+def _known(spark: SparkSession, out: str, key: str, number: int) -> DataFrame | None:
+    """key and digest of what batches before this one wrote last; three columns of those folders are read."""
     try:
         rows = spark.read.parquet(out)
     except Exception as e:
         if absent(e):
             return None
         raise
-    return last_write(rows.select(key, "digest", "batch"), [key], ["batch"])
+    return last_write(rows.where(F.col("batch") < number).select(key, "digest", "batch"), [key], ["batch"])
 
 
 def current(spark: SparkSession, out: str, key: str = "doc_id") -> DataFrame:

@@ -158,3 +158,90 @@ def test_stream(spark, tmp_path):
         I.ingest(I.read_sections(spark, str(tmp_path / "in"), schema), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
     got = {r["doc_id"]: (r["chunk_text"], r["batch"]) for r in I.current(spark, str(tmp_path / "out")).collect()}
     assert got == {1: ("changed", 1), 2: ("b", 0)}
+
+
+def test_replayed_batch_and_versions(spark, tmp_path):
+    import os
+    import shutil
+
+    from quillspan.streaming import ingest as I
+
+    schema, out, ck, src = "doc_id long, text string", str(tmp_path / "out"), str(tmp_path / "ck"), str(tmp_path / "in")
+
+    def put(rows, name, at):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / name))
+        os.makedirs(src, exist_ok=True)
+        for f in (tmp_path / name).glob("part-*.parquet"):
+            to = os.path.join(src, f"{name}.parquet")
+            shutil.copy(f, to)
+            os.utime(to, (at, at))
+
+    def run():
+        I.ingest(I.read_sections(spark, src, schema), out, ck).awaitTermination()
+        return sorted((r["doc_id"], r["chunk_text"], r["batch"]) for r in I.current(spark, out).collect())
+
+    put([(1, "zzz first"), (2, "two")], "a", 1_700_000_000)
+    put([(1, "aaa second")], "b", 1_700_000_100)  # the later version, whatever its digest
+    first = run()
+    assert first == [(1, "aaa second", 0), (2, "two", 0)]
+    os.remove(os.path.join(ck, "commits", "0"))  # the batch was written but not committed
+    crc = os.path.join(ck, "commits", ".0.crc")
+    if os.path.exists(crc):
+        os.remove(crc)
+    assert run() == first
+    put([(2, "two"), (3, "three")], "c", 1_700_000_200)
+    assert run() == [*first, (3, "three", 1)]
+
+
+def test_joined_overlap(spark):
+    # 15 % of 100 tokens: what fits in 15 tokens is the overlap, and it is one paragraph from then on.
+    t = lambda n, c: c * (n * 4)
+    paragraphs = [t(80, "a"), t(5, "b"), "", t(5, "c"), t(70, "d"), t(9, "e"), t(60, "f"), t(95, "g")]
+    text = "\n\n".join(p if p else "\x20" for p in paragraphs).replace("\x20", " ")
+
+    def count(x):
+        import math
+
+        return math.ceil(math.ceil(len(x) / 4) * 1.1) if x else 0
+
+    def brute(parts, limit, share):
+        chunks, held, size = [], [], 0
+        for p in parts:
+            if size + count(p) > limit and held:
+                chunks.append("\n\n".join(held))
+                keep, total = [], 0
+                for q in reversed(held):
+                    if not q:
+                        continue
+                    if total + count(q) > int(limit * share):
+                        break
+                    keep.insert(0, q)
+                    total += count(q)
+                head = "\n\n".join(keep)
+                held, size = ([head], count(head)) if head else ([], 0)
+            held.append(p)
+            size += count(p)
+        return [*chunks, "\n\n".join(held)]
+
+    import random
+
+    rnd, texts = random.Random(1), [text, "", "one", "\n\nx\n\n" + t(99, "y") + "\n\n" + t(3, "z")]
+    texts += ["\n\n".join(rnd.choice(["", " ", t(rnd.randrange(1, 60), rnd.choice("abc")), t(rnd.randrange(1, 9), "k")]) for _ in range(rnd.randrange(1, 40))) for _ in range(60)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    got = rows.select("k", C.split_with_overlap(F.col("text"), 100, 0.15, r"\n\n+", True, joined=True).alias("c")).collect()
+    import re
+
+    for r in got:
+        assert [c["text"] for c in r["c"]] == brute(re.split(r"\n\n+", texts[r["k"]]), 100, 0.15), r["k"]
+
+
+def test_index_declared_once(spark, tmp_path):
+    from quillspan.operators.control import Control
+
+    control = Control(spark, str(tmp_path))
+    assert S.create_index(control, "regulations", 64) == S.create_index(control, "regulations", 64)
+    control.put("x", {"a": 1})
+    control.put("x", {"a": 2})
+    assert control.get("x") == {"a": 2}
+    with pytest.raises(ValueError):
+        S.create_index(control, "regulations", 32)
