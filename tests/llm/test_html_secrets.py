@@ -11,6 +11,40 @@ PAGE = (
 )
 
 
+def texts_of(spark, pages):
+    rows = [(i, "http://h.example.com/%d" % i, p) for i, p in enumerate(pages)]
+    return {r["page_id"]: r["text"] for r in H.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_pages_without_article(spark):
+    intro = "The same standing introduction, over two hundred characters long, opens each of the pages " * 3
+    intro = intro.strip()
+    page = '<body><div class="ad">Buy</div><div>Menu text</div><div><h1>Title %d</h1><p>%s</p>%s</div><ul><li><a href="/x">more to read</a></li></ul></body>'
+    got = texts_of(spark, [page % (i, f"{intro} page {i}", "".join(f"<p>Body {i} {j}</p>" for j in range(i % 4))) for i in range(12)])
+    for i in range(12):
+        assert got[i] == "\n".join([f"Title {i}", f"{intro} page {i}", *(f"Body {i} {j}" for j in range(i % 4))])
+
+
+def test_unlike_pages_of_one_host(spark):
+    one = '<body><div class="ad">A</div><div><h1>One</h1><p>first text</p></div></body>'
+    two = "<body><div>Note</div><div><h1>Two</h1></div></body>"
+    assert texts_of(spark, [one, two]) == {0: "One\nfirst text", 1: "Note\nTwo"}
+    article = "<body><nav>m</nav><article><h1>H</h1><p>text %d</p></article></body>"
+    mixed = texts_of(spark, [*(article % i for i in range(4)), "<body><nav>m</nav><div><p>no article here</p></div></body>"])
+    assert mixed == {**{i: f"H\ntext {i}" for i in range(4)}, 4: "no article here"}
+
+
+def test_wide_repeats_and_bounds():
+    cells = [f"t{k}" for k in range(16)]
+    flat, place = H.collapse(["a", *cells * 5, "b"])
+    assert flat == ("a", "(", *cells, ")+", "b") and len(place) == 82
+    wrapper = H.of_page(*H.collapse(["#"]), ["#"], [("x", 0)])
+    for i in range(30):
+        symbols = [f"e{i}.{k}" for k in range(400)]
+        wrapper = H.merge(wrapper, H.of_page(*H.collapse(symbols), symbols, []))
+    assert len(wrapper) <= 4400
+
+
 def test_main_text(spark):
     rows = [(i, f"http://Host{i % 2}.example.com/{i}", PAGE.replace("{}", " ".join(["w%d" % i] * n)), "x") for i, n in enumerate([1, 5, 9, 0, 2])]
     rows += [(10, None, "plain text only", "x"), (None, "", None, "x"), (11, "http://z/", "<p>a<p>b < c<p class='x>y'>d", "x"), (11, "http://z/", "<p>a<p>b < c<p class='x>y'>d", "x"), (12, "http://y/", "<script>" + "a" * 100, "x")]
