@@ -1,8 +1,8 @@
 """Quality rules: base counts and a calibrated n-gram classifier, scored in Arrow batches.
 
-Features are relative frequencies of hashed word unigrams and bigrams (A-Z lower-cased) and of 3- and 4-byte sequences of the whole text.
-A logistic regression is trained on the driver from a bounded sample of labelled rows (`sample` rows, those of least hash, so that
-reruns agree); a fifth of them calibrate its scores to probabilities (Platt scaling). Everything else runs over all texts.
+Features are relative frequencies of hashed word unigrams and bigrams (A-Z lower-cased) and of sequences of 3 and 4 characters of the whole text.
+A logistic regression is trained on the driver from a bounded sample of labelled rows (`sample` ids and `most_bytes` of vectors, those of least
+hash, so that reruns agree); a fifth of them calibrate its scores to probabilities (Platt scaling). Everything else runs over all texts.
 """
 
 from __future__ import annotations
@@ -14,14 +14,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from quillspan.llm import words as W
-from quillspan.llm.common import pieces, utf8
+from quillspan.llm.common import discard, materialise, pieces, rows_a_batch, utf8
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 _ROW = np.uint64(0xC2B2AE3D27D4EB4F)
 #: Hash bits of a feature group, and what relative frequencies are multiplied by for training.
 BITS, SCALE = 14, 40.0
-GROUPS = ("word", "two words", "three bytes", "four bytes")
+GROUPS = ("word", "two words", "three characters", "four characters")
 
 
 def _per_row(at: np.ndarray, marked: np.ndarray) -> np.ndarray:
@@ -55,6 +55,15 @@ def base_counts(data: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
+def _characters(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of UTF-8 bytes, and the row offsets into them."""
+    first = (data & 0xC0) != 0x80
+    if first.all():
+        return data.astype(np.uint32), at
+    points = np.frombuffer(data.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), "<u4")
+    return points, np.concatenate([[0], np.cumsum(first)])[at]
+
+
 def features(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each group: the hashed feature of every n-gram, in row order, and the row offsets into them."""
     shift = np.uint64(64 - BITS)
@@ -64,16 +73,17 @@ def features(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.
     yield (h >> shift).astype(np.int32), found.first
     two, where = W.grams(h, found.doc, 2)
     yield (two >> shift).astype(np.int32), np.searchsorted(where, found.first)
-    wide = data.astype(np.uint32)
+    wide, ends = _characters(data, at)
     for k in (3, 4):
-        key = np.zeros(max(len(data) - k + 1, 0), np.uint32)
+        key = np.zeros(max(len(wide) - k + 1, 0), np.uint32)
         for i in range(k):
-            key |= wide[i : len(key) + i] << np.uint32(8 * i)
+            key = key * np.uint32(0x01000193) + wide[i : len(key) + i]
+        key ^= key >> np.uint32(15)
         inside = np.ones(len(key), bool)
         for i in range(1, k):  # n-grams that would cross into the next row
-            cross = at[1:-1] - i
+            cross = ends[1:-1] - i
             inside[cross[(cross >= 0) & (cross < len(key))]] = False
-        place = np.concatenate([[0], np.cumsum(inside)])[np.minimum(at, len(key))]
+        place = np.concatenate([[0], np.cumsum(inside)])[np.minimum(ends, len(key))]
         yield ((key * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS))[inside].astype(np.int32), place
 
 
@@ -159,13 +169,27 @@ def _fit(x: Sparse, rows: np.ndarray, y: np.ndarray, width: int, ridge: float, r
     return w, b
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = 3000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", ridge: float = 1e-4, rounds: int = 120) -> Model | None:
-    """A model from at most `sample` labelled rows; None if they don't hold both classes (then no verdict is given)."""
+def train(docs: DataFrame, labels: DataFrame, sample: int = 3000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", ridge: float = 1e-4, rounds: int = 120, most_bytes: int = 96 << 20) -> Model | None:
+    """A model from at most `sample` labels; None if they don't hold both classes (then no verdict is given).
+
+    Equal vectors with equal labels count once. Of more than `most_bytes` of vectors those of least hash are taken, so the
+    driver's memory is bounded however long or often repeated the labelled texts are.
+    """
     chosen = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).alias("quality"))
     chosen = chosen.orderBy(F.xxhash64("_id"), "_id", "quality").limit(sample)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "_id")  # at most `sample` small rows
     vectors = rows.select(F.col("quality").cast("int").alias("quality"), "text").mapInArrow(_vectors, "quality int, index binary, value binary")
-    table = vectors.orderBy(F.xxhash64("index", "value"), "quality").limit(2 * sample).toArrow()
+    with rows_a_batch(docs.sparkSession, 200):
+        vectors = materialise(vectors.withColumn("h", F.xxhash64("index", "value")).dropDuplicates(["h", "quality"]), "vectors")
+    # Bytes by the hash's first 12 bits: at most 4096 numbers tell where to cut.
+    held = vectors.groupBy(F.shiftright("h", 52).alias("b")).agg(F.sum(F.octet_length("index") + F.octet_length("value")).alias("n"))
+    last, total = -(1 << 11), 0
+    for r in sorted(held.collect()):
+        if total and total + r["n"] > most_bytes:
+            break
+        last, total = r["b"], total + r["n"]
+    table = vectors.where(F.shiftright("h", 52) <= last).toArrow().sort_by([("h", "ascending"), ("quality", "ascending")])
+    discard(vectors)
     y = table.column("quality").to_numpy().astype(float)
     if len(set(y.tolist())) < 2:
         return None
