@@ -2,7 +2,7 @@
 
 Candidates are runs of key-like characters with a digit, or that begin like a known credential, and all values assigned
 to secret words. Each is described by its
-length, its changes between character classes, the share that dictionary words cover, whether it or its document's path
+length, its steps from one kind of character to another, the share of letter pairs that are frequent in words, the share that dictionary words cover, whether it or its document's path
 looks like a path or a test, and by words and signs before it. A random forest (Spark's own, in the JVM) trained from labelled
 findings gives the chance that it is a secret. No Python runs on the executors.
 
@@ -29,11 +29,26 @@ KNOWN = {
 }
 SECRET_WORDS = "token|secret|passw(?:or)?d|passwd|pwd|api[_-]?key|apikey|access[_-]?key|auth|bearer|credential|private[_-]?key"
 HARMLESS_WORDS = "example|sample|dummy|test|fake|placeholder|sha1|sha256|md5|checksum|digest|commit|revision|uuid|guid|version|card|invoice|order|phone|isbn|build"
-DICTIONARY = "access account admin api app auth base build client code config data default demo dev example file hash help home http https image index info key local main name none null order page pass path prod public sample secret server service site source string test text this time token type user value version web with world your".split()
+DICTIONARY = (
+    "about access account active admin after api app apple array auth author base block build button center check "
+    "class click client cloud code column commit company config console content count create custom data debug "
+    "default demo design dev device document draft enable entry event example false field file first folder found "
+    "function google group handle hash height help hidden home http https image import index info insert key "
+    "language level light linux local login main master member message mobile module music name none null number "
+    "office order other package page parent pass path pattern photo plain plugin position press print process prod "
+    "profile project public queue random ready region release remove request resource result right sample schema "
+    "script second secret secure server service session simple site small source space stage start static storage "
+    "stream string submit support table template test text this thread time today token track type union update "
+    "user value version video visit watch web widget window with world yellow your "
+).split()
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?:(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{16,}+|(?:AKIA|ASIA)[A-Z]{16}|xox[abeprs]-[A-Za-z-]{10,})"
 #: Any value that a secret word is assigned, whatever its length and characters.
 ASSIGNED = rf"(?i)(?:{SECRET_WORDS})[A-Za-z0-9_-]*[\"'`]?[ \t]*(?::=|=>|=|:)[ \t]*[\"'`]?([^\s\"'`,;]+)"
-FEATURES = "length digits uppers lowers signs changes distinct coverage path test_path assigned quoted secret_word harmless_word known hex_only digits_only".split()
+#: The most frequent pairs of letters in running English text.
+PAIRS = "th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne ea ra ce".split()
+#: Steps between lower-case and upper-case letters and digits, each a feature of its own.
+STEPS = {f"{a}_{b}": rf"{x}(?={y})" for a, x in (("lower", "[a-z]"), ("upper", "[A-Z]"), ("digit", "[0-9]")) for b, y in (("lower", "[a-z]"), ("upper", "[A-Z]"), ("digit", "[0-9]"))}
+FEATURES = f"length digits uppers lowers signs {' '.join(STEPS)} pairs distinct coverage path test_path assigned quoted secret_word harmless_word known hex_only digits_only".split()
 
 
 def _share(value: Column, pattern: str) -> Column:
@@ -53,11 +68,11 @@ def features(found: DataFrame) -> DataFrame:
     v, b, path = F.col("value"), F.lower(F.coalesce("before", F.lit(""))), F.lower(F.coalesce("path", F.lit("")))
     word = "|".join(sorted(DICTIONARY, key=len, reverse=True))
     number = lambda c: c.cast("double")
-    changes = "(?<=[a-z])(?=[A-Z0-9])|(?<=[A-Z])(?=[a-z0-9])|(?<=[0-9])(?=[A-Za-z])"
     near = F.regexp_extract(b, r"((?:\S+\s+){0,3}\S*)$", 1)
     cols = {
-        "length": number(F.least(F.length(v), F.lit(512))), "digits": _share(v, "[0-9]"), "uppers": _share(v, "[A-Z]"), "lowers": _share(v, "[a-z]"),
-        "signs": _share(v, "[+/_=-]"), "changes": _share(v, changes), "distinct": F.size(F.array_distinct(F.split(F.substring(v, 1, 64), ""))) / F.least(F.length(v), F.lit(64)),
+        "length": number(F.length(v)), "digits": _share(v, "[0-9]"), "uppers": _share(v, "[A-Z]"), "lowers": _share(v, "[a-z]"),
+        "signs": _share(v, "[+/_=-]"), **{name: _share(v, step) for name, step in STEPS.items()}, "pairs": _share(F.lower(v), f"(?={'|'.join(PAIRS)})"),
+        "distinct": F.size(F.array_distinct(F.split(v, ""))) / F.greatest(F.least(F.length(v), F.lit(64)), F.lit(1)),
         "coverage": 1 - F.length(F.regexp_replace(F.lower(v), word, "")) / F.greatest(F.length(v), F.lit(1)),
         "path": number(v.rlike("/[A-Za-z_-]+/|^/|--|=[^=]")), "test_path": number(path.rlike("test|example|sample|fixture|mock|docs?/")),
         "assigned": number(b.rlike(r"(?:=|:|=>)\s*[\"'`]?$")), "quoted": number(b.rlike("[\"'`]$")), "secret_word": number(near.rlike(SECRET_WORDS)),
