@@ -82,8 +82,8 @@ def features(found: DataFrame) -> DataFrame:
     return found.withColumns(cols)
 
 
-def labelled_findings(spark: SparkSession, n: int = 3000) -> DataFrame:
-    """Labelled findings by rules: n rows of value, before, path and label, the same on every call."""
+def labelled_findings(spark: SparkSession, n: int = 4000) -> DataFrame:
+    """Labelled findings by rules: n rows of value, before, path and label, in one partition, so that the forest is the same on every call."""
     rnd = lambda salt, bits=256: F.sha2(F.concat_ws("-", F.lit(salt), "id"), bits)
     b64 = lambda salt: F.regexp_replace(F.base64(F.unhex(rnd(salt, 512))), "[=\r\n]", "")
     pick = lambda salt, *xs: F.element_at(F.array(*[F.lit(x) for x in xs]), F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(len(xs))).cast("int") + 1)
@@ -93,6 +93,7 @@ def labelled_findings(spark: SparkSession, n: int = 3000) -> DataFrame:
     size = F.pmod(F.xxhash64(F.lit("s"), "id"), F.lit(25)).cast("int") + 20
     kinds = [  # label, value, before
         (1, F.substring(rnd("a"), 1, 40), secret), (1, F.substring(b64("b"), F.lit(1), size), secret), (1, rnd("c"), secret),
+        (1, F.substring(rnd("p"), F.lit(1), size - 10), secret), (1, F.concat(pick("j", "Sun", "blue", "Mar", "kite"), F.substring(b64("w"), F.lit(1), size - 14)), secret),
         (1, F.concat(F.lit("AKIA"), upper), plain), (1, F.concat(F.lit("ghp_"), F.substring(F.translate(b64("g"), "+/", "xy"), 1, 36)), plain),
         (1, F.concat(F.lit("sk_live_"), F.substring(F.translate(b64("k"), "+/", "xy"), 1, 24)), secret),
         (0, F.substring(rnd("d"), 1, 40), plain), (0, F.substring(F.translate(rnd("e"), "abcdef", "123456"), 1, 16), plain), (0, F.substring(rnd("m"), 1, 32), plain),
@@ -104,7 +105,7 @@ def labelled_findings(spark: SparkSession, n: int = 3000) -> DataFrame:
     ]
     kind = F.pmod("id", F.lit(len(kinds)))
     col = lambda j: F.coalesce(*[F.when(kind == i, k[j] if j else F.lit(k[0])) for i, k in enumerate(kinds)])
-    return spark.range(n).select(col(1).alias("value"), col(2).alias("before"), pick("f", "src/app", "conf/prod", "lib/main", "", "tests/unit").alias("path"), col(0).cast("double").alias("label"))
+    return spark.range(0, n, 1, 1).select(col(1).alias("value"), col(2).alias("before"), pick("f", "src/app", "conf/prod", "lib/main", "", "tests/unit").alias("path"), col(0).cast("double").alias("label"))
 
 
 def train(findings: DataFrame, trees: int = 24, depth: int = 7, seed: int = 11) -> PipelineModel:
