@@ -1,6 +1,6 @@
 """Scalar column functions: token estimates, identifiers, citations, links, breadcrumbs and normalisers.
 
-Everything is a Catalyst expression. Years and clocks are arguments, never read from the machine.
+Everything is a Catalyst expression. The texts of citations, links, ids and breadcrumbs are fixed values. Years and clocks are arguments, never read from the machine.
 """
 
 from __future__ import annotations

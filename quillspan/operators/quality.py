@@ -39,6 +39,11 @@ def distribution(rows: DataFrame, value: str = "tokens", by: Sequence[str] = ())
     return base.join(F.broadcast(points))  # one row each
 
 
+def distribution_summary(found: DataFrame) -> DataFrame:
+    """Adds `summary`, one line of text, to the rows of distribution()."""
+    return found.withColumn("summary", F.format_string("Tokens: avg=%d, range=[%d-%d], p95=%d", "avg", "min", "max", "p95"))
+
+
 def outliers(rows: DataFrame, value: str = "tokens", threshold: float = 2.0) -> DataFrame:
     """Rows more than `threshold` population deviations from the mean."""
     m = rows.agg(F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_sd"))

@@ -219,6 +219,11 @@ def token_distribution(spark, sf_dir):
     return Q.distribution(documents(spark, sf_dir).select("tokens"))
 
 
+@query(f"WITH {_DOCS} SELECT lang, 'Tokens: avg=' || avg || ', range=[' || min || '-' || max || '], p95=' || p95 AS summary FROM (SELECT lang, {_DIST} FROM d GROUP BY lang)")
+def token_summary(spark, sf_dir):
+    return Q.distribution_summary(Q.distribution(documents(spark, sf_dir).select("lang", "tokens"), by=["lang"])).select("lang", "summary")
+
+
 @query(f"WITH {_DOCS} SELECT source_type, {_PCT.format(p=50)}, {_PCT.format(p=95)}, {_PCT.format(p=99)} FROM d GROUP BY source_type")
 def floor_percentiles(spark, sf_dir):
     return Q.floor_percentiles(documents(spark, sf_dir).select("source_type", "tokens"), "tokens", by=["source_type"])

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillspan.functions.text import strip
 
+#: How headings name chapters, sections and parts, and how subsections are marked.
 CHAPTER = r"(?i)Chapter\s+([\d.]+)"
 SECTION = r"(?i)(?:Sec(?:tion)?\.?\s*)?([\d.-]+)[.:\s-]+\s*(.+)"
 PART = r"(?i)(?:Article|Part)\s+([\w.]+)"
