@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillspan.llm import decontam, mixing, quality, sharding, simhash
-from quillspan.llm.common import materialise, row_key
+from quillspan.llm.common import discard, materialise, row_key
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,5 +64,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        before, docs = docs, materialise(stage(spark, docs, sf_dir), name)
+        discard(before)  # the table of the stage before; the input itself is none
     return docs
