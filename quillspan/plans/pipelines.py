@@ -52,14 +52,22 @@ def build_index(sections: DataFrame, embedder: P.Embedder, control: Control, run
     vectors = step("vectors", lambda: P.embed(accepted, embedder, "chunk_text"))
     bad = [(oversize, "chunk", F.col("reason")), (blank, "embed", F.lit("blank text"))]
     rejected = reduce(DataFrame.unionByName, [d.select("source_id", "chunk_id", F.lit(stage).alias("stage"), why.alias("reason")) for d, stage, why in bad])
+    by_source, total = rollup(chunks, vectors, rejected, chunks.select("source_id").distinct())
+    return Run(vectors, rejected, by_source, total)
+
+
+def rollup(chunks: DataFrame, vectors: DataFrame, rejected: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(one row a source, totals): counts before any join, so none multiplies rows. A source that lost rows is partial,
+    one without any vector then an error."""
     made = chunks.groupBy("source_id").agg(F.count(F.lit(1)).alias("chunks"))
     kept = vectors.groupBy("source_id").agg(F.count(F.lit(1)).alias("vectors"))
     failed = rejected.groupBy("source_id").agg(F.count(F.lit(1)).alias("failed"))
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    by_source = made.join(kept, "source_id", "left").join(failed, "source_id", "left").select("source_id", "chunks", zero("vectors"), zero("failed"))
-    by_source = by_source.withColumn("status", F.when(F.col("failed") == 0, "active").when(F.col("vectors") > 0, "partial").otherwise("error"))
-    total = by_source.agg(F.count(F.lit(1)).alias("sources"), F.sum("chunks").alias("chunks"), F.sum("vectors").alias("vectors"), F.coalesce(F.bool_and(F.col("failed") == 0), F.lit(True)).alias("success"))
-    return Run(vectors, rejected, by_source, total)
+    out = reduce(lambda d, part: d.join(part, "source_id", "left"), [made, kept, failed], sources)
+    out = out.select("source_id", zero("chunks"), zero("vectors"), zero("failed"))
+    out = out.withColumn("status", F.when(F.col("failed") == 0, "active").when(F.col("vectors") > 0, "partial").otherwise("error"))
+    ok = F.coalesce(F.bool_and(F.col("failed") == 0), F.lit(True))
+    return out, out.agg(F.count(F.lit(1)).alias("sources"), F.sum("chunks").alias("chunks"), F.sum("vectors").alias("vectors"), ok.alias("success"))
 
 
 def sync_status(statuses: DataFrame, run: Run, log=print) -> DataFrame:

@@ -40,16 +40,19 @@ class FileFetcher:
             raise retry.NotFound(url) from None
 
 
-def fetch(urls: DataFrame, get: Callable[[str], str], url: str = "url", spacing: float = FETCH_SPACING, retries: int = 3, **schedule) -> DataFrame:
-    """url, status (ok, missing or failed), body and error of each distinct URL. A failure never stops the others."""
+def fetch(urls: DataFrame, get: Callable[[str], str], url: str = "url", spacing: float | str = FETCH_SPACING, retries: int = 3, **schedule) -> DataFrame:
+    """url, status (ok, missing or failed), body and error of each distinct URL. A failure never stops the others.
+
+    spacing: seconds between calls to one host, or the column that holds them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: dict[str, float] = {}
         for rb in batches:
-            for u in rb.column(0).to_pylist():
+            for u, apart in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist(), strict=True):
                 host = urlsplit(u).netloc
-                wait = last.get(host, -spacing) + spacing - time.monotonic()
-                if host in last and wait > 0:
+                wait = last[host] + apart - time.monotonic() if host in last else 0.0
+                if wait > 0:
                     time.sleep(wait)
                 last[host] = time.monotonic()
                 try:
@@ -60,7 +63,8 @@ def fetch(urls: DataFrame, get: Callable[[str], str], url: str = "url", spacing:
                     row = (u, "failed", None, f"{type(e).__name__}: {e}")
                 yield pa.RecordBatch.from_arrays([pa.array([v], pa.string()) for v in row], names=["url", "status", "body", "error"])
 
-    rows = urls.select(F.col(url).alias("url")).where("url is not null").distinct()
+    apart = F.coalesce(F.max(F.col(spacing).cast("double")), F.lit(FETCH_SPACING)) if isinstance(spacing, str) else F.lit(float(spacing))
+    rows = urls.where(F.col(url).isNotNull()).groupBy(F.col(url).alias("url")).agg(apart.alias("apart"))
     return rows.repartition(F.parse_url("url", F.lit("HOST"))).mapInArrow(run, SCHEMA)
 
 
@@ -77,6 +81,15 @@ def read_through(urls: DataFrame, cache: DataFrame | None, get: Callable[[str],
     return hit.unionByName(store(fetch(wanted.join(kept, "url", "left_anti"), get, **options)))
 
 
+def typed(pages: DataFrame) -> DataFrame:
+    """Adds http to fetched pages: 404 missing, 429 limited, 401 not let in, 204 an empty body, 500 other failures, else 200."""
+    low = F.lower(F.coalesce("error", F.lit("")))
+    refused = low.rlike("401|403|unauthorized")
+    failed = F.when(low.rlike("429|rate limit|^limited"), 429).when(refused, 401).otherwise(500)
+    blank = ~F.coalesce("body", F.lit("")).rlike(r"\S")
+    return pages.withColumn("http", F.when(F.col("status") == "missing", 404).when(F.col("status") == "failed", failed).when(blank, 204).otherwise(200))
+
+
 def snapshot_date(meta: str | None, today: dt.date) -> str:
     """Date of a snapshot's metadata; a week before `today` (a date) without any."""
     try:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -85,19 +84,24 @@ def parse_rules(pages: DataFrame, html: str = "html", least: int = 20) -> tuple[
     return out.where(F.length("text") >= least), out.where(F.length("text") < least).withColumn("reason", F.lit("text too short"))
 
 
-def discovered(html: Column, pattern: str, number: str = "int") -> Column:
+def discovered(html: Column, pattern: str | Column, number: str = "int") -> Column:
     """Distinct first groups of a pattern, sorted as whole numbers (int), major.minor pairs (pair) or decimals (float)."""
-    found = F.array_distinct(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)))
+    found = F.array_distinct(F.regexp_extract_all(html, pattern if isinstance(pattern, Column) else F.lit(pattern), F.lit(1)))
     key = {"int": lambda x: F.array(x.cast("int")), "pair": lambda x: F.transform(F.split(x, r"\."), lambda p: p.cast("int")), "float": lambda x: F.array(x.cast("double"))}[number]
     return F.transform(F.array_sort(F.transform(found, lambda x: F.struct(key(x).alias("k"), x.alias("x")))), lambda s: s["x"])
 
 
-def code_chapters(html: Column, code: str) -> Column:
-    return discovered(html, rf"{re.escape(code)}\.(\d+)\.htm")
+def _quoted(before: str, value: str | Column, after: str) -> Column:
+    return F.concat(F.lit(before + r"\Q"), value if isinstance(value, Column) else F.lit(value), F.lit(r"\E" + after))
 
 
-def chapter_sections(html: Column, code: str, chapter: str) -> Column:
-    return discovered(html, rf"{re.escape(code)}\.({re.escape(chapter)}\.\d+)\.htm", "pair")
+def code_chapters(html: Column, code: str | Column) -> Column:
+    return discovered(html, _quoted("(?i)", code, r"\.(\d+)\.htm"))
+
+
+def chapter_sections(html: Column, code: str | Column, chapter: str | Column) -> Column:
+    head = F.concat(_quoted("(?i)", code, r"\.("), _quoted("", chapter, r"\.\d+)\.htm"))
+    return discovered(html, head, "pair")
 
 
 def rule_chapters(html: Column) -> Column:
@@ -105,10 +109,10 @@ def rule_chapters(html: Column) -> Column:
     return F.array_sort(both, lambda a, b: a.cast("int") - b.cast("int"))
 
 
-def chapter_rules(html: Column, chapter: str) -> Column:
+def chapter_rules(html: Column, chapter: str | Column) -> Column:
     """Rule numbers of a chapter from links and from section signs in the text, in number order."""
-    own = re.escape(chapter)
-    found = [discovered(html, p, "float") for p in (r"[?&]rl=([\d.]+)", rf"§\s*({own}\.[\d.]+)", rf"(?i)Section\s+({own}\.[\d.]+)")]
+    named = [_quoted(head, chapter, r"\.[\d.]+)") for head in (r"§\s*(", r"(?i)Section\s+(")]
+    found = [discovered(html, p, "float") for p in (r"[?&]rl=([\d.]+)", *named)]
     both = F.array_union(F.array_union(found[0], found[1]), found[2])
     number = lambda x: x.try_cast("double")
     return F.array_sort(both, lambda a, b: F.when(number(a) < number(b), -1).when(number(a) > number(b), 1).otherwise(0))
