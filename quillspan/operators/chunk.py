@@ -156,12 +156,18 @@ def oversize(chunks: DataFrame, limit: int = T.MAX_CHUNK) -> tuple[DataFrame, Da
     return chunks.where(n <= limit), bad
 
 
-def stats(chunks: DataFrame, *by: str) -> DataFrame:
-    """Counts, token sum, average, least and most, and how many sections were split."""
+def stats(chunks: DataFrame, *by: str, section: tuple[str, ...] = (), rounded: bool = False) -> DataFrame:
+    """Counts, token sum, average, least and most, and how many sections were split.
+
+    section: the columns that name a section, whose distinct ones are counted too. rounded: averages as whole numbers,
+    halves up, as all families but the federal one report them.
+    """
     n = T.tokens(F.col("chunk_text"))
+    mean = F.floor(F.avg(n) + 0.5) if rounded else F.avg(n)
+    distinct = [F.count_distinct(F.to_json(F.struct(*section), {"ignoreNullFields": "false"})).alias("sections")] if section else []
     return chunks.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("total_chunks"), F.sum(n).alias("total_tokens"), F.avg(n).alias("avg_tokens"), F.min(n).alias("min_tokens"), F.max(n).alias("max_tokens"),
-        F.count_if((F.col("total_chunks") > 1) & (F.col("chunk_index") == 0)).alias("split_sections"),
+        F.count(F.lit(1)).alias("total_chunks"), F.sum(n).alias("total_tokens"), mean.alias("avg_tokens"), F.min(n).alias("min_tokens"), F.max(n).alias("max_tokens"),
+        F.count_if((F.col("total_chunks") > 1) & (F.col("chunk_index") == 0)).alias("split_sections"), *distinct,
     )
 
 

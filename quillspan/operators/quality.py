@@ -92,3 +92,45 @@ def markdown(rows: list[dict], title: str) -> str:
     names = list(rows[0])
     lines = ["| " + " | ".join(names) + " |", "|" + "---|" * len(names)]
     return "\n".join([f"# {title}", "", *lines, *("| " + " | ".join(str(r[n]) for n in names) + " |" for r in rows)]) + "\n"
+
+
+def _table(names: tuple[str, ...], rows: list[tuple]) -> list[str]:
+    return ["| " + " | ".join(names) + " |", "|" + "|".join("-" * (len(n) + 2) for n in names) + "|", *("| " + " | ".join(map(str, r)) + " |" for r in rows)]
+
+
+def quality_markdown(report: dict, issues: list[tuple[str, str]], made: str) -> str:
+    """A source's quality as a page of sections. report: jurisdiction, source_type, chunks, citation_coverage, the token
+    figures avg, min, max, p50, p95 and p99, and has_category, has_title and has_last_updated; issues: chunk id and issue."""
+    total = report["chunks"]
+    share = lambda n: f"{n / total * 100:.1f}%" if total else "0.0%"
+    figures = (("Average", "avg"), ("Minimum", "min"), ("Maximum", "max"), ("Median (p50)", "p50"), ("95th Percentile", "p95"), ("99th Percentile", "p99"))
+    fields = (("Category", "has_category"), ("Title", "has_title"), ("Last Updated", "has_last_updated"))
+    parts = [
+        [f"# Data Quality Report: {report['jurisdiction']} ({report['source_type']})"], [f"**Generated:** {made}"], ["## Summary"],
+        [f"- **Total Chunks:** {total}", f"- **Citation Coverage:** {report['citation_coverage']}%", f"- **Issues Found:** {len(issues)}"],
+        ["## Token Distribution"], _table(("Metric", "Value"), [(name, report[key]) for name, key in figures]),
+        ["## Metadata Completeness"], _table(("Field", "Count", "Percentage"), [(name, report[key], share(report[key])) for name, key in fields]),
+        ["## Issues"], _table(("Chunk ID", "Issue"), issues) if issues else ["No validation issues found."],
+    ]
+    return "\n\n".join("\n".join(p) for p in parts) + "\n"
+
+
+def coverage_markdown(kind: str, plural: str, key: str, enabled: list[dict], skipped: list[dict], made: str) -> str:
+    """Sources' coverage as a page of sections. enabled: name, key, platform, status (active, error or pending), sections,
+    vectors and error; skipped: name, key and reason."""
+    failed = [r for r in enabled if r["status"] == "error"]
+    count = lambda c: sum(r.get(c) or 0 for r in enabled)
+    figures = [
+        (f"Target {plural}", len(enabled) + len(skipped)), (f"Enabled {plural}", len(enabled)), (f"Skipped {plural}", len(skipped)),
+        (f"Processed {plural}", sum(r["status"] == "active" for r in enabled)), (f"Failed {plural}", len(failed)), ("Total Ordinances", count("sections")), ("Total Vectors", count("vectors")),
+    ]
+    dash = lambda v: "-" if v is None else v
+    rows = [(r["name"], r[key], r["platform"], r["status"], dash(r.get("sections")), dash(r.get("vectors"))) for r in enabled]
+    parts = [
+        [f"# Texas {kind} Coverage Report"], [f"Generated: {made}"], ["## Summary"], _table(("Metric", "Count"), figures),
+        [f"## Enabled {plural}"], _table((kind, key.upper(), "Platform", "Status", "Ordinances", "Vectors"), rows),
+        [f"## Skipped {plural}"], _table((kind, key.upper(), "Reason"), [(r["name"], r[key], r["reason"]) for r in skipped]) if skipped else [f"None - all target {plural.lower()} enabled."],
+    ]
+    if failed:
+        parts += [[f"## Failed {plural}"], _table((kind, key.upper(), "Error"), [(r["name"], r[key], r.get("error") or "Unknown error") for r in failed])]
+    return "\n\n".join("\n".join(p) for p in parts) + "\n"

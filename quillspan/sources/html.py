@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -9,12 +10,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quillspan.functions.text import clean_html_text
 from quillspan.operators.chunk import ANY_MARKER, RULE_MARKER, subsections
+from quillspan.sources import dom
 
 # What is tried in turn, as tag, .class, or tag.class.
 STATUTE_HEADINGS = ("h2.section-heading", "h2", ".statute-heading", "p.heading", "b")
 STATUTE_TEXTS = (".section-text", ".statute-body", "article", "main", "body")
-RULE_HEADINGS = (".rule-heading", ".tac-heading", ".rule-title", "h1", "h2", "h3", "h4", "strong", "b")
-RULE_TEXTS = (".rule-text", ".tac-text", "article", "main", "body")
+RULE_HEADINGS = (".rule-heading", ".tac-heading", ".rule-title", "[class*=heading]", "h1", "h2", "h3", "h4", "strong", "b")
+RULE_TEXTS = (".rule-text", ".tac-body", ".rule-content", ".tac-content", "article", "main", ".content", "#content", "[role*=main]")
+RULE_PARAGRAPHS = "p, div.paragraph, section"
+RULE_CLUTTER = "nav, header, footer, .navigation, .breadcrumb"
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
 
@@ -77,9 +81,32 @@ def parse_statutes(pages: DataFrame, html: str = "html", least: int = 10) -> tup
     return out.where(F.length("text") >= least), out.where(F.length("text") < least).withColumn("reason", F.lit("text too short"))
 
 
+def rule_of(html: str | None) -> dict[str, str]:
+    """Heading, without its number, and text of a rule's page: the paragraphs of the first block that has any or over 50
+    characters, without menus; else the whole body."""
+    page = dom.parse(html)
+    first = lambda s: page.select(s)[:1]
+    heading = next((t for s in RULE_HEADINGS for e in first(s) if (t := e.text())), "")
+    heading = re.sub(r"^§?\s*[\d.]+\s*[-–—]\s*", "", heading).strip()
+    for e in (e for s in RULE_TEXTS for e in first(s)):
+        hidden = {id(x) for c in e.select(RULE_CLUTTER) for x in c.walk()}
+        parts = [t for x in e.select(RULE_PARAGRAPHS) if id(x) not in hidden and (t := x.text(RULE_CLUTTER))]
+        if parts:
+            return {"heading": heading, "text": "\n\n".join(parts)}
+        if len(text := e.text(RULE_CLUTTER)) > 50:
+            return {"heading": heading, "text": " ".join(text.split())}
+    text = (*first("body"), page)[0].text(f"{RULE_CLUTTER}, .menu, head, title")
+    return {"heading": heading, "text": " ".join(text.split())}
+
+
 def parse_rules(pages: DataFrame, html: str = "html", least: int = 20) -> tuple[DataFrame, DataFrame]:
-    heading = F.trim(F.regexp_replace(select_text(F.col(html), RULE_HEADINGS), r"^§?\s*[\d.]+\s*[-–—]\s*", ""))
-    out = pages.withColumns({"heading": heading, "text": clean_html_text(select_text(F.col(html), RULE_TEXTS))})
+    """(parsed, rejected): as parse_statutes, for rules."""
+
+    @F.arrow_udf("struct<heading:string,text:string>")
+    def of(col: pa.Array) -> pa.Array:
+        return pa.array([rule_of(h) for h in col.to_pylist()], pa.struct([("heading", pa.string()), ("text", pa.string())]))
+
+    out = pages.withColumn("_rule", of(F.col(html))).withColumns({"heading": F.col("_rule.heading"), "text": F.col("_rule.text")}).drop("_rule")
     out = out.withColumn("subsections", subsections(F.col("text"), anchored=False, marker=RULE_MARKER))
     return out.where(F.length("text") >= least), out.where(F.length("text") < least).withColumn("reason", F.lit("text too short"))
 

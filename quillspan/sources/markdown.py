@@ -11,7 +11,9 @@ from quillspan.functions.text import strip
 #: How headings name chapters, sections and parts, and how subsections are marked.
 CHAPTER = r"(?i)Chapter\s+([\d.]+)"
 SECTION = r"(?i)(?:Sec(?:tion)?\.?\s*)?([\d.-]+)[.:\s-]+\s*(.+)"
-PART = r"(?i)(?:Article|Part)\s+([\w.]+)"
+PART = r"(?i)(?:Article|Part)\s+([\dIVXLCDM]+)"
+FENCE = r"^ {0,3}(?:`{3,}|~{3,})"
+BREAK = r"^ {0,3}(?:(?:- *){3,}|(?:\* *){3,}|(?:_ *){3,})$"
 INLINE = r"(?i)\(([a-z]|\d+|[ivxlcdm]+)\)\s+([^(]+?)(?=\([a-z\d]|\s*$)"
 LINE = r"(?im)^\s*\(([a-z]|\d+)\)\s+(.+)$"
 
@@ -31,10 +33,22 @@ def ordinances(pages: DataFrame, key: str, markdown: str = "markdown") -> DataFr
     """key, chapter, section, heading, text of every section.
 
     Chapters are headings of depth 1 or 2, sections of depth 2 to 4; an article or part heading of depth 1 or 2 counts as a
-    chapter. Text before the first section is dropped, and a new chapter ends the section before it.
+    chapter. Text before the first section is dropped, and a new chapter ends the section before it. A single line over
+    a row of = or - is a heading of depth 1 or 2; lines between fences are code: kept as they are, never headings.
+    Fences and lines that are breaks alone are dropped.
     """
     lines = pages.select(key, F.posexplode(F.split(F.regexp_replace(markdown, "\r\n", "\n"), "\n")).alias("i", "line"))
-    depth = F.length(F.regexp_extract("line", r"^(#{1,6})\s+\S", 1))
+    w = Window.partitionBy(key).orderBy("i")  # that of carry_headings: one sort
+    fence = F.col("line").rlike(FENCE)
+    lines = lines.withColumns({"fences": F.sum(fence.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)), "fence": fence})
+    code = F.col("fence") | (F.col("fences") % 2 == 1)
+    under = F.coalesce(F.lead("line").over(w), F.lit(""))
+    plain = ~code & F.col("line").rlike(r"\S") & ~F.col("line").rlike(r"^\s*(?:#{1,6}\s|[-*+]\s|>|\d+[.)]\s)") & (F.trim(F.coalesce(F.lag("line").over(w), F.lit(""))) == "") & ~F.col("line").rlike(BREAK)
+    rule = F.when(plain & under.rlike(r"^ {0,3}=+\s*$"), 1).when(plain & under.rlike(r"^ {0,3}-+\s*$"), 2).otherwise(0)
+    lines = lines.withColumns({"code": code, "rule": rule})
+    dropped = F.col("fence") | (F.coalesce(F.lag("rule").over(w), F.lit(0)) > 0) | (~F.col("code") & F.col("line").rlike(BREAK))
+    lines = lines.withColumn("dropped", dropped)
+    depth = F.when(F.col("code"), 0).when(F.col("rule") > 0, F.col("rule")).otherwise(F.length(F.regexp_extract("line", r"^(#{1,6})\s+\S", 1)))
     title = F.trim(F.regexp_replace("line", r"^#{1,6}\s+|\s+#*\s*$", ""))
     lines = lines.withColumns({"depth": depth, "title": title})
     is_chapter = (F.col("depth") > 0) & (F.col("depth") <= 2) & F.col("title").rlike(CHAPTER)
@@ -46,8 +60,8 @@ def ordinances(pages: DataFrame, key: str, markdown: str = "markdown") -> DataFr
             is_section, F.struct(F.col("i"), F.regexp_extract("title", SECTION, 1).alias("section"), F.trim(F.regexp_extract("title", SECTION, 2)).alias("heading"))
         ),
     })
-    body = carry_headings(lines, [key], "i", "chapter", "cut").where(F.col("cut.section").isNotNull() & (F.col("i") > F.col("cut.i")) & (F.col("depth") == 0))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", render(F.col("line")).alias("t")))), lambda s: s["t"]), "\n")
+    body = carry_headings(lines, [key], "i", "chapter", "cut").where(F.col("cut.section").isNotNull() & (F.col("i") > F.col("cut.i")) & (F.col("depth") == 0) & ~F.col("dropped"))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", F.when(F.col("code"), F.col("line")).otherwise(render(F.col("line"))).alias("t")))), lambda s: s["t"]), "\n")
     heads = carry_headings(lines, [key], "i", "chapter").where(F.col("cut.section").isNotNull())
     heads = heads.select(key, F.coalesce("chapter", F.lit("1")).alias("chapter"), F.col("cut.i").alias("at"), F.col("cut.section").alias("section"), F.col("cut.heading").alias("heading"))
     texts = body.groupBy(key, F.col("cut.i").alias("at")).agg(F.regexp_replace(F.trim(joined, F.lit(" \n\t")), r"\n{2,}", "\n\n").alias("text"))
@@ -71,6 +85,17 @@ def issues(rows: DataFrame) -> DataFrame:
     return rows.withColumn("issues", F.array_compact(found)).withColumn("is_valid", (s != "") & (F.length(t) >= 10))
 
 
+def warnings(pages: DataFrame, checked: DataFrame, key: str) -> DataFrame:
+    """key and warning of documents without sections, without a valid one, or with under half of them valid.
+
+    checked: issues() of the documents' sections.
+    """
+    n, k = F.coalesce("n", F.lit(0)), F.coalesce("k", F.lit(0))
+    counts = checked.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.count_if("is_valid").alias("k"))
+    found = F.when(n == 0, "no sections").when(k == 0, F.format_string("all %d sections failed", n)).when(k < n * 0.5, F.format_string("only %d of %d sections are valid", k, n))
+    return pages.select(key).distinct().join(counts, key, "left").select(key, found.alias("warning")).where("warning is not null")
+
+
 def chapters(markdown: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(markdown, F.lit(r"(?im)^#{1,2}\s+.*?Chapter\s+([\d.]+)"), F.lit(1)))
 

@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillspan.functions import retry
+from quillspan.operators import chunk as C, quality as Q
 from quillspan.operators.control import Control
 from quillspan.plans import families as A, pipelines, providers as P
-from quillspan.sources import crawl as W, fetch as N
+from quillspan.sources import crawl as W, fetch as N, html as H, markdown as M
 
 NOW = dt.datetime(2026, 1, 1)
 LONG = "Words that fill a section of an ordinance until it is long enough to be taken as one. " * 2
@@ -27,7 +28,7 @@ PAGES = {
     W.STATUTES + "PE/htm/PE.30.10.htm": "<article>short</article>",
     TAC + "ViewTAC?tac_view=3&ti=16": '<a href="v?ch=5">5</a><p>Chapter 9</p>',
     TAC + "ViewTAC?tac_view=4&ti=16&ch=5": '<a href="v?rl=5.1">x</a>',
-    RULE + "5.1": '<h1>§ 5.1 - Scope</h1><div class="rule-text">This rule governs the licensing of carriers.</div>',
+    RULE + "5.1": '<h1>§ 5.1 - Scope</h1><div class="rule-text"><p>This rule governs the licensing of carriers.</p></div>',
     ELAWS + "coor": '<div class="toc-item"><a href="s1.htm">Chapter 2 Sec. 2.02</a></div><div class="toc-item"><a href="s2.htm">Chapter 2 Sec. 2.03</a></div>',
     ELAWS + "s1.htm": f"<h1>Flood</h1><div class='content'>{LONG}</div>",
     ELAWS + "s2.htm": "<h1>None</h1>",
@@ -138,3 +139,39 @@ def test_resume(spark, tmp_path):
 def test_codes(spark):
     rows = spark.createDataFrame([("missing", None, "not found"), ("failed", None, "Limited: "), ("failed", None, "X: Unauthorized"), ("failed", None, "TimeoutError: "), ("ok", " ", None), ("cached", "x", None)], "status string, body string, error string")
     assert [x["http"] for x in N.typed(rows).collect()] == [404, 429, 401, 500, 204, 200]
+
+
+def test_rule_pages(spark):
+    clutter = "<nav>menu</nav><div class='breadcrumb'><p>crumb</p></div>"
+    pages = [
+        f"<body><strong>§ 5.1 - Scope</strong><div class='tac-body'>{clutter}<p>One rule.</p><p> </p><div class='paragraph'>Two rules.</div></div></body>",
+        f"<h2>Fees</h2><main>{clutter}A fee  of\nten dollars is due on the first day of the month.</main>",
+        "<body><div class='menu'>no</div><article>short</article> Only the body holds\n the text.</body>", None,
+    ]
+    rows = spark.createDataFrame(list(enumerate(pages)), "i int, html string")
+    good, bad = H.parse_rules(rows)
+    assert [(r["heading"], r["text"]) for r in good.orderBy("i").collect()] == [("Scope", "One rule.\n\nTwo rules."), ("Fees", "A fee of ten dollars is due on the first day of the month."), ("", "short Only the body holds the text.")]
+    assert [r["i"] for r in bad.collect()] == [3]
+
+
+def test_markdown_blocks(spark):
+    md = "Chapter 3\n=========\n\n1.01 Set\n--------\ntext a\n\n```\n# 9.9 not a heading\n- raw\n```\n\n---\n\n* item\n\n## Part IV\n\n### Sec. 4.01 Next\n\nbody long enough\n## Article General\nmore"
+    pages = spark.createDataFrame([("a", md), ("b", "no heading"), ("c", "## 1. One\nx\n## 2. Two\ny\n## 3. Three\nlong enough text")], "id string, markdown string")
+    rows = M.ordinances(pages, "id")
+    assert [tuple(r) for r in rows.where("id = 'a'").orderBy("section").collect()] == [
+        ("a", "3", "1.01", "Set", "text a\n\n# 9.9 not a heading\n- raw\n\n- item"), ("a", "IV", "4.01", "Next", "body long enough\nmore")
+    ]
+    assert {r["id"]: r["warning"] for r in M.warnings(pages, M.issues(rows), "id").collect()} == {"b": "no sections", "c": "only 1 of 3 sections are valid"}
+
+
+def test_reports(spark):
+    rows = spark.createDataFrame([("x", "1", "a" * 4, 2, 0), ("x", "1", "b" * 8, 2, 1), ("x", None, "c" * 4, 1, 0)], "county string, section string, chunk_text string, total_chunks int, chunk_index int")
+    got = C.stats(rows, "county", section=("county", "section"), rounded=True).first()
+    assert (got["total_chunks"], got["total_tokens"], got["avg_tokens"], got["split_sections"], got["sections"]) == (3, 7, 2, 1, 2)
+    report = {"jurisdiction": "US", "source_type": "federal", "chunks": 8, "citation_coverage": 50, "avg": 3, "min": 1, "max": 9, "p50": 3, "p95": 9, "p99": 9, "has_category": 1, "has_title": 8, "has_last_updated": 0}
+    page = Q.quality_markdown(report, [("c-1", "no citation")], "now")
+    assert page.startswith("# Data Quality Report: US (federal)\n\n**Generated:** now\n\n## Summary\n\n- **Total Chunks:** 8\n") and "| Category | 1 | 12.5% |" in page and "| c-1 | no citation |" in page and "| Median (p50) | 3 |" in page
+    assert "No validation issues found." in Q.quality_markdown({**report, "chunks": 0}, [], "now")
+    enabled = [{"name": "Harris", "fips": "48201", "platform": "municode", "status": "active", "sections": 3, "vectors": 4}, {"name": "Dallas", "fips": "48113", "platform": "elaws", "status": "error"}]
+    page = Q.coverage_markdown("County", "Counties", "fips", enabled, [], "now")
+    assert "| Total Vectors | 4 |" in page and "| Dallas | 48113 | elaws | error | - | - |" in page and "None - all target counties enabled." in page and "## Failed Counties\n\n| County | FIPS | Error |\n|--------|------|-------|\n| Dallas | 48113 | Unknown error |" in page
