@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from quillspan.functions import text as T
 from quillspan.operators import answer as A, chunk as C, coverage as V, quality as Q, retrieval as R, store as S
 from quillspan.plans import pipelines, providers as P, registry
-from quillspan.sources import files, html as H, markdown as M, xml as X
+from quillspan.sources import fetch, files, html as H, markdown as M, xml as X
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -759,3 +759,80 @@ def source_union(spark, sf_dir):
     s = table(spark, sf_dir, "supplier").select(F.lit("supplier").alias("family"), F.col("s_suppkey").alias("key"))
     c = table(spark, sf_dir, "customer").select(F.lit("customer").alias("family"), F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("segment"))
     return s.unionByName(c, allowMissingColumns=True)
+
+
+# --- citations, links, crawls and runs -----------------------------------------------------------------------------
+
+
+@query("""SELECT o_orderkey, 'Harris County Commissioners Court Order No. ' || o_custkey || ' (' || strftime(o_orderdate, '%b. %-d, %Y') || ')' AS court_order, o_custkey || ' Tex. Admin. Code § 5.' || o_orderkey || ' (2026)' AS rule,
+'Plano, Tex., Code of Ordinances sect. ' || o_orderkey || ' (2026)' AS ordinance FROM orders""")
+def local_citations(spark, sf_dir):
+    key, n = F.col("o_orderkey").cast("string"), F.col("o_custkey")
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", T.order_citation(F.lit("Harris"), n.cast("string"), F.col("o_orderdate")).alias("court_order"), T.rule_citation(n, F.concat(F.lit("5."), key), 2026).alias("rule"), T.city_citation(F.lit("Plano"), key, 2026).alias("ordinance")
+    )
+
+
+@query("""WITH c AS (SELECT c_custkey, CASE c_nationkey % 3 WHEN 0 THEN 'municode' WHEN 1 THEN 'amlegal' ELSE 'elaws' END AS platform, CASE WHEN c_custkey % 7 > 0 THEN c_custkey || ' ' || c_name END AS section FROM customer)
+SELECT c_custkey, 'http://h' || CASE WHEN section IS NULL THEN '' ELSE CASE platform WHEN 'municode' THEN '?nodeId=' WHEN 'amlegal' THEN '/codes/overview?nodeId=' ELSE '#' END || url_encode(section) END AS county,
+'http://h' || CASE WHEN section IS NULL THEN '' ELSE CASE platform WHEN 'municode' THEN '?nodeId=' ELSE '#' END || url_encode(section) END AS city FROM c""")
+def ordinance_links(spark, sf_dir):
+    at = F.col("c_nationkey") % 3
+    platform = F.when(at == 0, "municode").when(at == 1, "amlegal").otherwise("elaws")
+    section = F.when(F.col("c_custkey") % 7 > 0, F.concat(F.col("c_custkey").cast("string"), F.lit(" "), "c_name"))
+    links = [T.ordinance_url(family, platform, F.lit("http://h"), section).alias(name) for family, name in (("county", "county"), ("municipal", "city"))]
+    return table(spark, sf_dir, "customer").select("c_custkey", *links)
+
+
+@query(r"""WITH p AS (SELECT page_id, chr(9) || ' ' || replace(html, '<', chr(10) || chr(10) || '<') || chr(13) || chr(10) AS t FROM pages)
+SELECT page_id, trim(regexp_replace(regexp_replace(replace(t, chr(13) || chr(10), chr(10)), '[ \t]+', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), ' ' || chr(10)) AS cleaned FROM p""")
+def cleaned_markdown(spark, sf_dir):
+    text = F.concat(F.lit("\t "), F.replace(F.col("html"), F.lit("<"), F.lit("\n\n<")), F.lit("\r\n"))
+    return table(spark, sf_dir, "pages").select("page_id", T.clean_markdown(text).alias("cleaned"))
+
+
+@query("""WITH f AS (SELECT o_orderkey, o_orderkey % 6 AS k FROM orders) SELECT o_orderkey, CASE k WHEN 0 THEN 404 WHEN 1 THEN 429 WHEN 2 THEN 401 WHEN 3 THEN 500 WHEN 4 THEN 204 ELSE 200 END AS http FROM f""")
+def fetch_codes(spark, sf_dir):
+    k = F.col("o_orderkey") % 6
+    error = F.when(k == 0, "not found").when(k == 1, "Error: Rate limit").when(k == 2, "HTTP 403").when(k == 3, "TimeoutError: ")
+    status = F.when(k == 0, "missing").when(k < 4, "failed").otherwise("ok")
+    pages = table(spark, sf_dir, "orders").select("o_orderkey", status.alias("status"), error.alias("error"), F.when(k == 4, " \n").when(k == 5, "text").alias("body"))
+    return fetch.typed(pages).select("o_orderkey", "http")
+
+
+@query("""WITH s AS (SELECT c_nationkey AS nation, count(*) AS n, count(*) FILTER (c_acctbal > 5000) AS k FROM customer WHERE c_nationkey > 2 GROUP BY 1),
+w AS (SELECT n_nationkey AS nation, CASE WHEN n IS NULL THEN 'no sections' WHEN k = 0 THEN 'all ' || n || ' sections failed' WHEN k < n * 0.5 THEN 'only ' || k || ' of ' || n || ' sections are valid' END AS warning FROM nation LEFT JOIN s ON n_nationkey = nation)
+SELECT nation, warning FROM w WHERE warning IS NOT NULL""")
+def section_warnings(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").where("c_nationkey > 2")
+    rows = c.select(F.col("c_nationkey").alias("nation"), F.lit("1").alias("section"), F.lit("h").alias("heading"), F.when(F.col("c_acctbal") > 5000, "text that is long enough").otherwise("short").alias("text"))
+    return M.warnings(table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nation")), M.issues(rows), "nation")
+
+
+@query(f"WITH {_DOCS} SELECT source_type, count(*) AS total_chunks, CAST(sum(tokens) AS BIGINT) AS total_tokens, CAST(floor(avg(tokens) + 0.5) AS BIGINT) AS avg_tokens, min(tokens) AS min_tokens, max(tokens) AS max_tokens, count(DISTINCT (source, lang)) AS sections, count(*) FILTER (doc_id % 3 = 0) AS split_sections FROM d GROUP BY 1")
+def chunk_section_stats(spark, sf_dir):
+    d = documents(spark, sf_dir).withColumns({"chunk_text": F.col("text"), "total_chunks": F.lit(2), "chunk_index": (F.col("doc_id") % 3).cast("int")})
+    return C.stats(d, "source_type", section=("source", "lang"), rounded=True)
+
+
+@query("""WITH c AS (SELECT c_nationkey AS id, count(*) AS chunks FROM customer GROUP BY 1), v AS (SELECT c_nationkey AS id, count(*) AS vectors FROM customer WHERE c_acctbal > 0 AND c_nationkey <> 4 GROUP BY 1),
+f AS (SELECT c_nationkey AS id, count(*) AS failed FROM customer WHERE (c_acctbal <= 0 AND c_nationkey % 2 = 0) OR c_nationkey = 4 GROUP BY 1),
+r AS (SELECT CAST(n_nationkey AS VARCHAR) AS source_id, coalesce(chunks, 0) AS chunks, coalesce(vectors, 0) AS vectors, coalesce(failed, 0) AS failed FROM nation LEFT JOIN c ON c.id = n_nationkey LEFT JOIN v ON v.id = n_nationkey LEFT JOIN f ON f.id = n_nationkey)
+SELECT *, CASE WHEN failed = 0 THEN 'active' WHEN vectors > 0 THEN 'partial' ELSE 'error' END AS status FROM r""")
+def run_rollup(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").withColumn("source_id", F.col("c_nationkey").cast("string"))
+    sources = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("source_id"))
+    lost = c.where("(c_acctbal <= 0 AND c_nationkey % 2 = 0) OR c_nationkey = 4")
+    return pipelines.rollup(c, c.where("c_acctbal > 0 AND c_nationkey <> 4"), lost, sources)[0]
+
+
+@query("SELECT conv_id, turn, CASE WHEN length(text) > 50 THEN substr(text, 1, 50) || '...' ELSE text END AS title FROM conversations WHERE role = 'user'")
+def conversation_titles(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").where("role = 'user'")
+    return c.select("conv_id", "turn", S.new_conversation_title(F.col("text")).alias("title"))
+
+
+@query("""WITH e AS (SELECT event_id, user_id FROM events) SELECT event_id FROM e WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey < 20)""")
+def remaining_after_done(spark, sf_dir):
+    done = table(spark, sf_dir, "customer").where("c_nationkey < 20").select(F.col("c_custkey").alias("user_id"))
+    return S.remaining(table(spark, sf_dir, "events").select("event_id", "user_id"), done, "user_id").select("event_id")
