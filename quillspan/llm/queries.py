@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillspan.llm import clusters, decontam, html_extract, lexical, mixing, ppm, quality, secret_scan, sharding, simhash, terms, token_counts, token_files
+from quillspan.llm import clusters, decontam, html_extract, lexical, mixing, ppm, quality, secret_scan, sharding, simhash, terms, token_counts, token_files, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -61,9 +61,13 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_simhash, op2_sharding, op3_quality_rules, op4_html, op5_mixing, op6_token_files, op7_ppm, op8_decontamination, op9_secrets, op10_token_counts, op11_clusters, op12_ranked_search)
+    for f in (op1_simhash, op2_sharding, op3_quality_rules, op4_html, op5_mixing, op6_token_files, op7_ppm, op8_decontamination, op9_secrets, op10_token_counts, op11_clusters, op12_ranked_search, op13_toxicity)
 }
 
 
