@@ -24,6 +24,8 @@ from quillspan.llm.words import LOWER, Rolling, mix
 HEADS = (4, 5, 6)
 #: Examples of each class, features, neighbours and examples of a block at most; least chi-square and least texts of a feature.
 MOST, FEATURES, NEIGHBOURS, BLOCK, CHI_SQUARE, TEXTS = 4000, 4096, 15, 64, 28.0, 5
+#: Tasks that search for the examples' own neighbours.
+SPREAD = 32
 #: Added to a neighbour's distance before it divides its vote.
 NEAR = 0.05
 
@@ -94,6 +96,19 @@ def _vectors(docs: DataFrame, chosen: np.ndarray) -> DataFrame:
     return docs.mapInArrow(count, f"id {fields['id'].dataType.simpleString()}, k1 long, k2 long, features array<int>, times array<int>")
 
 
+def _document_counts(vectors: DataFrame, size: int) -> DataFrame:
+    """feature and the number of rows that have it; each task adds up its own first."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(size, np.int64)
+        for rb in batches:
+            n += np.bincount(rb.column(0).flatten().to_numpy(zero_copy_only=False), minlength=size)
+        met = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), pa.array(n[met])], names=["feature", "n"])
+
+    return vectors.select("features").mapInArrow(count, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+
+
 @dataclass
 class BlockMax:
     """Examples with a vector, ordered so that those of one leading feature stand together."""
@@ -262,14 +277,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST, id_col: str =
         vectors = materialise(_vectors(keyed, chosen), "vectors")
     discard(counts)
     total = vectors.count()
-    df = {r[0]: r[1] for r in vectors.select(F.explode("features").alias("f")).groupBy("f").count().collect()}  # at most FEATURES rows
+    df = {r[0]: r[1] for r in _document_counts(vectors, len(chosen)).collect()}  # at most FEATURES rows
     idf = np.log((1 + total) / (1 + np.array([df.get(i, 0) for i in range(len(chosen))], np.float64)))
     examples = materialise(vectors.join(F.broadcast(sample), key).dropDuplicates(["k1", "k2"]), "examples")
     rows = examples.collect()  # at most 2 * most, of FEATURES numbers at most
     index = BlockMax.of([(r["id"], (r["k1"], r["k2"]), r["features"], r["times"], r["toxic"], r["stands"]) for r in rows], idf)
     model = Model(index, 1.0, 0.0, 0.0, sizes.get(1, 0) / max(1, sum(sizes.values())), neighbours)
     known = {(r["k1"], r["k2"]): (r["toxic"], r["stands"]) for r in rows}
-    votes = [(r["vote"], *known[r["k1"], r["k2"]]) for r in _searched(examples, model, alone=True).select("k1", "k2", "vote").collect()]
+    votes = [(r["vote"], *known[r["k1"], r["k2"]]) for r in _searched(examples.repartition(SPREAD, "k1", "k2"), model, alone=True).select("k1", "k2", "vote").collect()]
     met, lone = np.array([v for v in votes if v[0] is not None]).reshape(-1, 3), np.array([v[1:] for v in votes if v[0] is None]).reshape(-1, 2)
     if len(met):
         model.slope, model.shift = calibrated(*met.T)
