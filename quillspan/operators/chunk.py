@@ -1,12 +1,13 @@
 """Sections to token-bounded chunks.
 
 A section within the limit is one chunk. A longer one is split at its subsection markers, or without any at paragraph
-boundaries with overlap. All of it happens inside the row by array expressions: no shuffle, whatever the number of
-sections. Families differ in the paragraph pattern and in how the overlap is counted.
+boundaries with overlap. All of it happens inside the row: no shuffle, whatever the number of sections. Families differ in the paragraph pattern and in how the overlap is counted.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillspan.functions import text as T
@@ -26,7 +27,7 @@ def subsections(text: Column, anchored: bool = True, marker: str | None = None,
     ids = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     if marker == RULE_MARKER:
         ids = F.transform(ids, lambda x: F.regexp_replace(x, r"^(\([a-z]\))\([A-Z]\)$", "$1"))
-    bodies = F.slice(F.split(F.regexp_replace(text, pattern, _CUT), _CUT), 2, 1 << 20)
+    bodies = F.slice(F.split(F.regexp_replace(text, pattern, _CUT), _CUT), 2, 1 << 30)
     both = F.arrays_zip(ids.alias("id"), bodies.alias("text"))
     trimmed = F.transform(both, lambda s: F.struct(s["id"].alias("id"), T.strip(s["text"]).alias("text")))
     return F.filter(trimmed, lambda s: F.length(s["text"]) > least)
@@ -37,90 +38,113 @@ def paragraphs(text: Column, pattern: str = r"\n\n+|\n(?=\s{2,})", keep_blank: b
     return parts if keep_blank else F.filter(parts, lambda p: p.rlike(r"\S"))
 
 
-def pack(sizes: Column, limit: int = T.MAX_CHUNK, overlap: float = T.OVERLAP_SHARE) -> Column:
-    """array<struct<first, last>>: runs of paragraphs (from 1) that a greedy packing makes.
+def _tokens(chars: np.ndarray) -> np.ndarray:
+    """text.tokens() of texts with so many UTF-16 units."""
+    return np.ceil(np.ceil(chars / 4) * 1.1).astype(np.int64)
 
-    sizes: tokens of each paragraph. A run takes paragraphs while their sum stays within the limit; the next one begins
-    with those whole last paragraphs of it that together have at most floor(limit * overlap) tokens.
-    """
-    back = int(limit * overlap)
-    # Sums before each paragraph make the overlap a search instead of a nested loop.
-    sums = F.aggregate(sizes, F.array(F.lit(0).cast("long")), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
 
-    def cut(sums: Column) -> Column:
-        before = lambda i: F.element_at(sums, i.cast("int"))
-        state = F.struct(F.array().cast("array<struct<first:int,last:int>>").alias("runs"), F.lit(1).alias("start"), F.lit(0).cast("long").alias("held"))
+def runs(sizes: np.ndarray, limit: int, back: int) -> list[tuple[int, int, list[int]]]:
+    """(first, last, []) of each run, from 1: each cut is a search in the sums of what comes before, so the work grows with the runs."""
+    before, n = np.r_[0, np.cumsum(sizes)], len(sizes)
+    out, start, least = [], 0, 1
+    while n:
+        end = max(least, int(np.searchsorted(before, before[start] + limit, "right")) - 1)
+        out.append((start + 1, end, []))
+        if end >= n:
+            break
+        start, least = max(start, int(np.searchsorted(before, before[end] - back, "left"))), end + 1
+    return out
 
-        def step(s: Column, i: Column) -> Column:
-            size = before(i + 1) - before(i)
-            full = (i > s["start"]) & (s["held"] + size > limit)
-            keep = F.filter(F.sequence(s["start"], F.greatest(i - 1, s["start"])), lambda j: before(i) - before(j) <= back)
-            start = F.when(full, F.when(F.size(keep) > 0, F.element_at(keep, 1)).otherwise(i)).otherwise(s["start"])
-            runs = F.when(full, F.concat(s["runs"], F.array(F.struct(s["start"].alias("first"), (i - 1).alias("last"))))).otherwise(s["runs"])
-            return F.struct(runs.alias("runs"), start.alias("start"), (F.when(full, before(i) - before(start)).otherwise(s["held"]) + size).alias("held"))
 
-        n = F.size(sums) - 1
-        done = F.aggregate(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")), state, step, lambda s: F.concat(s["runs"], F.array(F.struct(s["start"].alias("first"), n.alias("last")))))
-        return F.when(n > 0, done).otherwise(F.array().cast("array<struct<first:int,last:int>>"))
+def joined_runs(chars: np.ndarray, limit: int, back: int) -> list[tuple[int, int, list[int]]]:
+    """(first, last, head) of each run, from 1; head: the paragraphs that are joined into the run's overlap."""
+    before, n = np.r_[0, np.cumsum(_tokens(chars))], len(chars)
+    out, start, head, held = [], 0, [], 0
+    while n:
+        end = max(start + 1, int(np.searchsorted(before, before[start] + limit - held, "right")) - 1)
+        out.append((start + 1, end, [i + 1 for i in head]))
+        if end >= n:
+            break
+        at = max(start, int(np.searchsorted(before, before[end] - back, "left")))
+        whole = at == start and head and before[end] - before[start] + held <= back
+        head = [*(head if whole else []), *(i for i in range(at, end) if chars[i])]
+        held = int(_tokens(np.array([sum(int(chars[i]) for i in head) + 2 * (len(head) - 1)]))[0]) if head else 0
+        start = end
+    return out
 
-    # A one-element transform names the sums, so that they are computed once.
-    return F.element_at(F.transform(F.array(sums), cut), 1)
 
+_RUN = pa.struct([("first", pa.int32()), ("last", pa.int32()), ("head", pa.list_(pa.int32()))])
 
-def pack_joined(p: Column, limit: int = T.MAX_CHUNK, overlap: float = T.OVERLAP_SHARE) -> Column:
-    """array<struct<first, last, head>>: runs of paragraphs, where a run's overlap is one paragraph of its own.
 
-    The overlap is the last whole paragraphs of the run before, without empty ones, that together have at most
-    floor(limit * overlap) tokens; that run's own overlap counts as its first paragraph. Joined by blank lines they are
-    counted anew, as one text. head: the overlap before the run's first paragraph, empty if there is none.
-    """
+def _packed(lists: Column, limit: int, overlap: float, joined: bool, chars: bool) -> Column:
+    """array<array<struct<first, last, head>>> of lists of sizes. Sums that go on from one element to the next have no linear form among
+    array functions, as a fold copies its state: an Arrow function over numbers alone, no text leaves the JVM."""
     back = int(limit * overlap)
-    sums = F.aggregate(F.transform(p, T.tokens), F.array(F.lit(0).cast("long")), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
-    kind = "array<struct<first:int,last:int,head:string>>"
 
-    def cut(sums: Column) -> Column:
-        before = lambda i: F.element_at(sums, i.cast("int"))
-        run = lambda s, last: F.array(F.struct(s["start"].alias("first"), last.cast("int").alias("last"), s["head"].alias("head")))
-        state = F.struct(F.array().cast(kind).alias("runs"), F.lit(1).alias("start"), F.lit("").alias("head"), F.lit(0).cast("long").alias("held"))
+    @F.arrow_udf("array<array<struct<first:int,last:int,head:array<int>>>>")
+    def of(col: pa.Array) -> pa.Array:
+        sizes = col.flatten()
+        numbers = sizes.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.cumsum(np.r_[0, sizes.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)]) if len(sizes) else np.zeros(1, np.int64)
+        one = [(1, 1, [])]
+        parts = []
+        for lo, hi in zip(ends, ends[1:], strict=False):
+            x = numbers[lo:hi]
+            parts.append(one if hi - lo == 1 else joined_runs(x, limit, back) if joined else runs(_tokens(x) if chars else x, limit, back))
+        inner = np.cumsum([0, *map(len, parts)])
+        flat = [r for p in parts for r in p]
+        heads = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(r[2]) for r in flat)]), pa.int32()), pa.array([i for r in flat for i in r[2]], pa.int32()))
+        rows = pa.StructArray.from_arrays([pa.array([r[0] for r in flat], pa.int32()), pa.array([r[1] for r in flat], pa.int32()), heads], fields=list(_RUN))
+        outer = np.cumsum([0, *(col.value_lengths().fill_null(0).to_pylist())])
+        return pa.ListArray.from_arrays(pa.array(outer, pa.int32()), pa.ListArray.from_arrays(pa.array(inner, pa.int32()), rows))
 
-        def shared(s: Column, i: Column) -> Column:
-            fits = F.filter(F.sequence(s["start"], F.greatest(i - 1, s["start"])), lambda j: before(i) - before(j) <= back)
-            at = F.when(F.size(fits) > 0, F.element_at(fits, 1)).otherwise(i)
-            own = F.filter(F.slice(p, at, i - at), lambda x: x != "")
-            whole = (at == s["start"]) & (s["head"] != "") & (before(i) - before(s["start"]) + T.tokens(s["head"]) <= back)
-            return F.array_join(F.when(whole, F.concat(F.array(s["head"]), own)).otherwise(own), "\n\n")
+    return of(lists)
 
-        def step(s: Column, i: Column) -> Column:
-            size = before(i + 1) - before(i)
-            full = (i > s["start"]) & (s["held"] + size > limit)
-            # A one-element transform names the new head, so that it is made once.
-            after = F.transform(F.array(shared(s, i)), lambda head: F.struct(F.concat(s["runs"], run(s, i - 1)).alias("runs"), i.alias("start"), head.alias("head"), (T.tokens(head) + size).alias("held")))
-            return F.when(full, F.element_at(after, 1)).otherwise(F.struct(s["runs"].alias("runs"), s["start"].alias("start"), s["head"].alias("head"), (s["held"] + size).alias("held")))
 
-        n = F.size(sums) - 1
-        done = F.aggregate(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")), state, step, lambda s: F.concat(s["runs"], run(s, n)))
-        return F.when(n > 0, done).otherwise(F.array().cast(kind))
+def _named(value: Column, use) -> Column:
+    """use(value), where value is computed once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
-    return F.element_at(F.transform(F.array(sums), cut), 1)
 
+def _part(p: Column, first: Column, last: Column) -> Column:
+    """Elements first to last; unlike slice() it doesn't go through the whole array."""
+    return F.transform(F.sequence(first, last), lambda j: F.element_at(p, j))
 
-def split_with_overlap(text: Column, limit: int = T.MAX_CHUNK, overlap: float = T.OVERLAP_SHARE, pattern: str = r"\n\n+|\n(?=\s{2,})", keep_blank: bool = False, joined: bool = False) -> Column:
-    """array<struct<first, last, text>> of packed paragraphs, joined by blank lines. joined: the overlap is one paragraph (pack_joined)."""
-    parts = paragraphs(text, pattern, keep_blank)
 
-    def with_head(p: Column, r: Column) -> Column:
-        own = F.slice(p, r["first"], r["last"] - r["first"] + 1)
-        return F.array_join(F.when(r["head"] != "", F.concat(F.array(r["head"]), own)).otherwise(own), "\n\n")
+def pack(sizes: Column, limit: int = T.MAX_CHUNK, overlap: float = T.OVERLAP_SHARE) -> Column:
+    """array<struct<first, last>>: runs of paragraphs (from 1) that a greedy packing makes.
+
+    sizes: tokens of each paragraph. A run takes paragraphs while their sum stays within the limit; the next one begins
+    with those whole last paragraphs of it that together have at most floor(limit * overlap) tokens.
+    """
+    found = _packed(F.array(sizes), limit, overlap, joined=False, chars=False)
+    return F.transform(F.element_at(found, 1), lambda r: F.struct(r["first"].alias("first"), r["last"].alias("last")))
 
-    if joined:
-        each = lambda p: F.transform(pack_joined(p, limit, overlap), lambda r: F.struct(r["first"].alias("first"), r["last"].alias("last"), with_head(p, r).alias("text")))
-        return F.element_at(F.transform(F.array(parts), each), 1)
 
-    def build(p: Column) -> Column:
-        runs = pack(F.transform(p, T.tokens), limit, overlap)
-        return F.transform(runs, lambda r: F.struct(r["first"].alias("first"), r["last"].alias("last"), F.array_join(F.slice(p, r["first"], r["last"] - r["first"] + 1), "\n\n").alias("text")))
+def split_parts(parts: Column, limit: int = T.MAX_CHUNK, overlap: float = T.OVERLAP_SHARE, joined: bool = False) -> Column:
+    """array<array<struct<first, last, text>>> of lists of paragraphs: runs as pack() makes them, joined by blank lines.
 
-    return F.element_at(F.transform(F.array(parts), build), 1)
+    joined: a run's overlap is one paragraph of its own. It is the last whole paragraphs of the run before, without empty
+    ones, that together have at most floor(limit * overlap) tokens, that run's own overlap counting as its first paragraph;
+    joined by blank lines they are counted anew, as one text.
+    """
+    found = _packed(F.transform(parts, lambda p: F.transform(p, lambda x: F.coalesce(T.utf16_length(x).cast("int"), F.lit(0)))), limit, overlap, joined, chars=True)
+
+    def text(p: Column, r: Column) -> Column:
+        own = _part(p, r["first"], r["last"])
+        if joined:
+            head = F.array_join(F.transform(r["head"], lambda j: F.element_at(p, j)), "\n\n")
+            own = F.when(F.size(r["head"]) > 0, F.concat(F.array(head), own)).otherwise(own)
+        one = (r["first"] == r["last"]) & (F.size(r["head"]) == 0)  # a null text stays null
+        return F.struct(r["first"].alias("first"), r["last"].alias("last"), F.when(one, F.element_at(p, r["first"])).otherwise(F.array_join(own, "\n\n")).alias("text"))
+
+    both = F.struct(parts.alias("p"), found.alias("r"))
+    return _named(both, lambda s: F.zip_with(s["p"], s["r"], lambda p, r: F.transform(r, lambda x: text(p, x))))
+
+
+def split_with_overlap(text: Column, limit: int = T.MAX_CHUNK, overlap: float = T.OVERLAP_SHARE, pattern: str = r"\n\n+|\n(?=\s{2,})", keep_blank: bool = False, joined: bool = False) -> Column:
+    """array<struct<first, last, text>> of a text's packed paragraphs (split_parts)."""
+    return F.element_at(split_parts(F.array(paragraphs(text, pattern, keep_blank)), limit, overlap, joined), 1)
 
 
 def tier(text: Column, limit: int = T.MAX_CHUNK) -> Column:
@@ -138,12 +162,13 @@ def chunk(
     """
     t = F.col(text)
     found = F.coalesce(F.col(given), F.array().cast("array<struct<id:string,text:string>>")) if given else subsections(t, anchored, marker, least)
-    split = lambda s, of: F.transform(split_with_overlap(s, limit, pattern=pattern, keep_blank=keep_blank, joined=joined), lambda c: F.struct(of.alias("subsection"), c["text"].alias("chunk_text")))
-    none = F.lit(None).cast("string")
-    whole = lambda s, of: F.array(F.struct(of.alias("subsection"), s.alias("chunk_text")))
-    by_sub = F.flatten(F.transform(found, lambda s: F.when(T.tokens(s["text"]) <= limit, whole(s["text"], s["id"])).otherwise(split(s["text"], s["id"]))))
-    chunks = F.when(T.tokens(t) <= limit, whole(t, none)).when(F.size(found) > 0, by_sub).otherwise(split(t, none))
-    rows = sections.withColumn("_chunks", chunks)
+    # Parts of the text, each a list of paragraphs; what fits within the limit is one paragraph.
+    listed = lambda s: F.when(T.tokens(s) <= limit, F.array(s)).otherwise(paragraphs(s, pattern, keep_blank))
+    alone = F.array(F.struct(F.lit(None).cast("string").alias("id"), t.alias("text")))
+    rows = sections.withColumn("_of", F.when((T.tokens(t) > limit) & (F.size(found) > 0), F.transform(found, lambda s: F.struct(s["id"].cast("string").alias("id"), s["text"].alias("text")))).otherwise(alone))
+    rows = rows.withColumn("_parts", F.transform("_of", lambda s: listed(s["text"])))
+    runs_of = split_parts(F.col("_parts"), limit, joined=joined)
+    rows = rows.withColumn("_chunks", F.flatten(F.zip_with("_of", runs_of, lambda s, r: F.transform(r, lambda c: F.struct(s["id"].alias("subsection"), c["text"].alias("chunk_text"))))))
     return rows.select(
         *[c for c in sections.columns if c not in (text, given)], F.size("_chunks").alias("total_chunks"), F.posexplode("_chunks").alias("chunk_index", "_c")
     ).select("*", "_c.subsection", "_c.chunk_text").drop("_c")

@@ -37,10 +37,10 @@ def sources(spark: SparkSession, family: str, wanted: list[str] | None = None) -
     return out.withColumns({"source_id": T.source_id(family, F.col(key)), "jurisdiction": place, "category": category})
 
 
-def crawled(family: str, chosen: DataFrame, crawl: W.Crawl, date: str) -> tuple[DataFrame, DataFrame]:
-    """(sections, rejected) of a family's chosen sources."""
+def crawled(family: str, chosen: DataFrame, crawl: W.Crawl, date: str, parts: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(sections, rejected) of a family's chosen sources; parts (number, part): of titles these alone."""
     if family == "cfr":
-        return W.regulations(chosen, crawl, date)
+        return W.regulations(chosen, crawl, date, parts)
     return {"tx-statute": W.statutes, "tx-tac": W.rules, "county": W.counties, "municipal": W.cities}[family](chosen, crawl)
 
 

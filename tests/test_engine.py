@@ -235,6 +235,21 @@ def test_joined_overlap(spark):
         assert [c["text"] for c in r["c"]] == brute(re.split(r"\n\n+", texts[r["k"]]), 100, 0.15), r["k"]
 
 
+def test_long_texts_are_packed_in_one_pass(spark):
+    import time
+
+    n = 100_000
+    paragraph = lambda i: F.concat(F.lit("p"), F.lpad(i.cast("string"), 6, "0"), F.lit(" of a long text"))
+    one = spark.range(1).select("id", F.array_join(F.transform(F.sequence(F.lit(1), F.lit(n)), paragraph), "\n\n").alias("text"))
+    began = time.time()
+    for joined in (False, True):
+        got = one.select(F.explode(C.split_with_overlap(F.col("text"), joined=joined)).alias("c")).select("c.first", "c.last", F.length("c.text").alias("n")).orderBy("first").collect()
+        assert got[0]["first"] == 1 and got[-1]["last"] == n and all(a["last"] >= b["first"] - 1 > a["first"] for a, b in zip(got, got[1:]))
+    assert time.time() - began < 60
+    nothing = spark.createDataFrame([(1, None), (2, "")], "k int, text string")
+    assert [(r["k"], r["chunk_text"], r["total_chunks"]) for r in C.chunk(nothing).orderBy("k").collect()] == [(1, None, 1), (2, "", 1)]
+
+
 def test_index_declared_once(spark, tmp_path):
     from quillspan.operators.control import Control
 
