@@ -6,11 +6,16 @@ every task (TakeOrderedAndProject), so that nothing but k rows a task moves.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
+#: Bytes of question vectors that go to the tasks at once, and index rows that are multiplied at once.
+QUESTION_BYTES, BLOCK = 32 << 20, 1024
 TOP_K, FINAL_K, MIN_SCORE, RECENT_DAYS = 50, 10, 0.5, 365
 
 
@@ -75,3 +80,125 @@ def confidence(chunks: DataFrame, targets: Sequence[str]) -> DataFrame:
     m = m.withColumn("level", F.when((F.col("score") > 0.8) & (F.col("jurisdiction_coverage") == 1.0), "High").when(F.col("score") > 0.6, "Medium").otherwise("Low"))
     reason = F.format_string("%s: %d/%d jurisdictions covered, avg similarity %.2f, %.0f%% chunks have citations", "level", "represented", F.lit(len(targets)), "avg_similarity", F.col("citation_coverage") * 100)
     return m.select("level", F.round("score", 6).alias("score"), reason.alias("reason"), F.round("avg_similarity", 6).alias("avg_similarity"), F.round("jurisdiction_coverage", 6).alias("jurisdiction_coverage"), F.round("citation_coverage", 6).alias("citation_coverage"))
+
+
+class Best:
+    """The k best rows of each question so far: score descending, then id."""
+
+    def __init__(self, questions: int, k: int):
+        self.k, self.least = k, np.full(questions, -np.inf)
+        self.question, self.score, self.id = np.zeros(0, np.int64), np.zeros(0), None
+
+    def add(self, question: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
+        if self.id is not None:
+            question, score, ids = np.r_[self.question, question], np.r_[self.score, score], np.r_[self.id, ids]
+        order = np.lexsort((ids, -score, question))
+        question, score, ids = question[order], score[order], ids[order]
+        first = np.flatnonzero(np.r_[True, question[1:] != question[:-1]]) if len(question) else question
+        rank = np.arange(len(question)) - np.repeat(first, np.diff(np.r_[first, len(question)]))
+        keep = rank < self.k
+        self.question, self.score, self.id = question[keep], score[keep], ids[keep]
+        last = rank[keep] == self.k - 1
+        self.least[self.question[last]] = self.score[last]
+
+
+def near_blocks(x: np.ndarray, size: int = BLOCK) -> list[np.ndarray]:
+    """Rows of x in blocks of at most `size`, each of rows near one of some of them, so that blocks are narrow."""
+    if len(x) <= size:
+        return [np.arange(len(x))]
+    pivots = x[:: max(1, len(x) // max(2, 2 * len(x) // size))]
+    near = (x @ pivots.T).argmax(axis=1)
+    order = np.argsort(near, kind="stable")
+    own = np.split(order, np.flatnonzero(np.diff(near[order])) + 1)
+    return [rows[i : i + size] for rows in own for i in range(0, len(rows), size)]
+
+
+def best_of(questions: np.ndarray, allowed: dict[str | None, np.ndarray], x: np.ndarray, tags: np.ndarray, ids: np.ndarray, best: Best) -> int:
+    """Add rows x (unit vectors) to the best of unit questions; how many products were made.
+
+    No row of a block scores above its centre's product plus its radius: questions whose k-th best is above that, by more
+    than scores are rounded, skip the block. allowed: the questions that may have rows of a tag.
+    """
+    made = 0
+    for tag in sorted(set(tags.tolist()), key=str):
+        may, own = allowed.get(tag, allowed[None]), np.flatnonzero(tags == tag)
+        for rows in near_blocks(x[own]):
+            at = own[rows]
+            block = x[at]
+            centre = block.mean(axis=0)
+            radius = np.sqrt(((block - centre) ** 2).sum(axis=1).max())
+            live = np.flatnonzero(may & (questions @ centre + radius + 2e-6 >= best.least))
+            for some in np.array_split(live, max(1, len(live) // 2048)):
+                if not len(some):
+                    continue
+                score = np.round(questions[some] @ block.T, 6)
+                made += score.size
+                k = min(best.k, len(at))
+                least = np.maximum(best.least[some], np.partition(score, len(at) - k, axis=1)[:, len(at) - k])
+                q, r = np.nonzero(score >= least[:, None])
+                best.add(some[q], score[q, r], ids[at[r]])
+    return made
+
+
+def top_k_join(
+    index: DataFrame, questions: DataFrame, k: int = TOP_K, id_col: str = "vec_id", vector_col: str = "embedding", question_col: str = "question_id", question_vector: str = "vector", allowed: str | None = None, tag: str = "jurisdiction", block_bytes: int = QUESTION_BYTES
+) -> DataFrame:
+    """question_col, id_col, score and rank of the k rows of index that are nearest to each question by cosine, rounded to 6 digits; equal
+    scores go by id. Exact: every row is compared that bounds do not rule out.
+
+    allowed: a column of questions with the values of index's column `tag` that a question may have; null allows all. Questions go
+    to the tasks in blocks of at most about block_bytes, each with one pass over the index. Null and zero vectors, null ids
+    and vectors of another length than the questions' first have no rows.
+    """
+    spark = index.sparkSession
+    length = F.size(question_vector)
+    asked = questions.where((length > 0) & F.col(question_col).isNotNull() & F.forall(question_vector, lambda x: x.isNotNull()))
+    asked = asked.select(F.col(question_col).alias("q"), F.transform(question_vector, lambda x: x.cast("double")).alias("v"), (F.col(allowed) if allowed else F.lit(None).cast("array<string>")).alias("may"))
+    n, dims = asked.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
+    q_kind, id_kind = asked.schema["q"].dataType, index.schema[id_col].dataType
+    rows = index.where((F.size(vector_col) == F.lit(dims or 0)) & F.col(id_col).isNotNull() & F.forall(vector_col, lambda x: x.isNotNull()))
+    rows = rows.select(F.col(id_col).alias("id"), F.transform(vector_col, lambda x: x.cast("double")).alias("v"), (F.col(tag).cast("string") if allowed else F.lit("").alias(tag)).alias("tag"))
+    blocks = max(1, -(-(n or 0) * (dims or 0) * 8 // block_bytes))
+    found = []
+    for b in range(blocks):
+        held = asked.where((F.size("v") == F.lit(dims or 0)) & (F.pmod(F.xxhash64("q"), F.lit(blocks)) == b)).collect()  # about block_bytes
+        if held:
+            found.append(rows.mapInArrow(_search(held, k, to_arrow_type(q_kind), to_arrow_type(id_kind)), f"q {q_kind.simpleString()}, id {id_kind.simpleString()}, score double"))
+    if not found:
+        found = [rows.select(F.lit(None).cast(q_kind).alias("q"), "id", F.lit(0.0).alias("score")).where("false")]
+    each = Window.partitionBy("q").orderBy(F.desc("score"), "id")
+    best = reduce(DataFrame.unionByName, found).withColumn("rank", F.row_number().over(each)).where(F.col("rank") <= k)
+    return best.select(F.col("q").alias(question_col), F.col("id").alias(id_col), "score", "rank")
+
+
+def _search(held: list, k: int, q_type: pa.DataType, id_type: pa.DataType):
+    names = [r["q"] for r in held]
+    vectors = np.array([r["v"] for r in held])
+    norm = np.sqrt((vectors**2).sum(axis=1))
+    vectors /= np.where(norm > 0, norm, 1)[:, None]
+    free = np.array([r["may"] is None for r in held]) & (norm > 0)
+    allowed = {None: free} | {t: free | (np.array([t in (r["may"] or ()) for r in held]) & (norm > 0)) for t in {t for r in held for t in r["may"] or ()}}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = Best(len(names), k)
+        for rb in batches:
+            x = rb.column(1).flatten().to_numpy(zero_copy_only=False).reshape(rb.num_rows, -1)
+            size = np.sqrt((x**2).sum(axis=1))
+            own = np.flatnonzero(size > 0)
+            ids = np.array(rb.column(0).to_pylist())
+            best_of(vectors, allowed, x[own] / size[own][:, None], np.array(rb.column(2).to_pylist(), object)[own], ids[own], best)
+        ids = best.id.tolist() if best.id is not None else []
+        yield pa.RecordBatch.from_arrays([pa.array([names[q] for q in best.question], q_type), pa.array(ids, id_type), pa.array(best.score)], names=["q", "id", "score"])
+
+    return run
+
+
+def retrieve_join(index: DataFrame, questions: DataFrame, now: Column, k: int = TOP_K, final: int = FINAL_K, min_score: float = MIN_SCORE, id_col: str = "vec_id", question_col: str = "question_id", **options) -> DataFrame:
+    """retrieve() for a table of questions, each with its own jurisdictions (options of top_k_join): index's columns, question_col, score,
+    weighted and position (from 1). A question without any row of at least min_score has none."""
+    found = top_k_join(index, questions, k, id_col, question_col=question_col, **options).where(F.col("score") >= min_score)
+    rows = found.select(question_col, id_col, "score").join(index, id_col)
+    recent = F.coalesce(F.unix_millis(now) - F.unix_millis(F.col("last_updated").cast("timestamp")) < RECENT_DAYS * 86_400_000, F.lit(False))
+    rows = rows.withColumn("weighted", F.round(F.col("score") * 0.8 + F.when(recent, 0.2).otherwise(0.0), 6))
+    each = Window.partitionBy(question_col).orderBy(F.desc("weighted"), F.desc("score"), id_col)
+    return rows.withColumn("position", F.row_number().over(each)).where(F.col("position") <= final)

@@ -11,9 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from quillspan.functions import text as T
-from quillspan.operators import answer as A, chunk as C, coverage as V, quality as Q, retrieval as R, store as S
+from quillspan.operators import answer as A, buckets as B, chunk as C, coverage as V, quality as Q, retrieval as R, store as S
 from quillspan.plans import pipelines, providers as P, registry
-from quillspan.sources import fetch, files, html as H, markdown as M, xml as X
+from quillspan.sources import fetch, files, html as H, markdown as M, objects as O, shared, xml as X
+from quillspan.streaming import ingest as I
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -836,3 +837,81 @@ def conversation_titles(spark, sf_dir):
 def remaining_after_done(spark, sf_dir):
     done = table(spark, sf_dir, "customer").where("c_nationkey < 20").select(F.col("c_custkey").alias("user_id"))
     return S.remaining(table(spark, sf_dir, "events").select("event_id", "user_id"), done, "user_id").select("event_id")
+
+
+# --- stores, joins of many questions, streams ----------------------------------------------------------------------
+
+_HOST = "regexp_extract(url, '^[a-z]+://([^/]+)', 1)"
+
+
+@query(f"WITH p AS (SELECT page_id, {_HOST} AS host, html FROM pages), n AS (SELECT host FROM p GROUP BY host ORDER BY count(*) DESC, host LIMIT 3) SELECT host, page_id, CAST(length(html) AS BIGINT) AS n_chars, host || '/' || page_id || '.html' AS key FROM p JOIN n USING (host)")
+def stored_pages(spark, sf_dir):
+    """Pages written as objects by host; those of the three largest hosts read back by filters that reach the listing."""
+    p = table(spark, sf_dir, "pages").select("page_id", F.parse_url("url", F.lit("HOST")).alias("host"), F.col("html").alias("body"))
+    root, template = shared.folder(spark, "pages"), "{host}/{page_id}.html"
+    O.put(p, root, template)
+    most = [r[0] for r in p.groupBy("host").count().orderBy(F.desc("count"), "host").limit(3).collect()]
+    rows = O.stored(spark, root, template).where(F.col("host").isin(*most))
+    return rows.select("host", F.col("page_id").cast("long").alias("page_id"), F.length("body").cast("long").alias("n_chars"), "key")
+
+
+_JOINED = f"""WITH e AS (SELECT *, CASE WHEN label <= 3 THEN 'US' WHEN label <= 6 THEN 'TX' WHEN label <= 8 THEN 'TX-48201' ELSE 'TX-houston' END AS jurisdiction,
+ DATE '2025-01-01' - CAST(vec_id % 730 AS INTEGER) AS last_updated FROM embeddings),
+s AS (SELECT a.vec_id AS question_id, b.vec_id, b.last_updated, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS score FROM e a, e b WHERE b.jurisdiction IN ('US', a.jurisdiction)),
+r AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, vec_id) AS rank FROM s)"""
+
+
+def _questions(v: DataFrame) -> DataFrame:
+    return v.select(F.col("vec_id").alias("question_id"), F.col("embedding").alias("vector"), F.array_distinct(F.array(F.lit("US"), F.col("jurisdiction"))).alias("may"))
+
+
+@query(_JOINED + " SELECT question_id, vec_id, score, rank::INTEGER AS rank FROM r WHERE rank <= 10")
+def question_top_k(spark, sf_dir):
+    """Every vector as a question over its own jurisdiction and the federal one."""
+    v = vectors(spark, sf_dir)
+    return R.top_k_join(v, _questions(v), 10, allowed="may")
+
+
+@query(_JOINED + """, w AS (SELECT question_id, vec_id, score, round(score * 0.8 + CASE WHEN DATE '2025-01-01' - last_updated < 365 THEN 0.2 ELSE 0.0 END, 6) AS weighted FROM r WHERE rank <= 50 AND score >= 0.2),
+o AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY weighted DESC, score DESC, vec_id) AS position FROM w) SELECT question_id, vec_id, score, weighted, position::INTEGER AS position FROM o WHERE position <= 10""")
+def question_retrieval(spark, sf_dir):
+    """Threshold, recency and the final ten for a table of questions."""
+    v = vectors(spark, sf_dir)
+    return R.retrieve_join(v, _questions(v), now(), min_score=0.2, allowed="may").select("question_id", "vec_id", "score", "weighted", "position")
+
+
+@query("SELECT user_id, event_id, ts, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS o FROM events) WHERE o = 1")
+def bucket_upsert(spark, sf_dir):
+    """Users' last events: a stored table of those before the last day, then a change with that day's, which rewrites its users' buckets."""
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    day = e.select((F.max("ts") - F.expr("interval 1 day")).alias("day"))
+    split = e.join(F.broadcast(day))
+    stored = B.Buckets(spark, shared.folder(spark, "events"), ["user_id"], 64)
+    stored.create(S.last_write(split.where("ts < day").drop("day"), ["user_id"], ["ts", "event_id"]))
+    stored.upsert(split.where("ts >= day").drop("day"), ["ts", "event_id"])
+    return stored.rows().drop("bucket")
+
+
+@query("SELECT o_orderkey, 'changed' AS kind FROM orders WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders) UNION ALL SELECT o_orderkey, 'removed' FROM orders WHERE o_orderdate = (SELECT min(o_orderdate) FROM orders)")
+def bucket_changes(spark, sf_dir):
+    """Orders against a copy whose last day has other prices and whose first day is gone: digests first, then rows of differing buckets."""
+    o = table(spark, sf_dir, "orders")
+    ends = o.agg(F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last"))
+    both = o.join(F.broadcast(ends))
+    old, new = (B.Buckets(spark, shared.folder(spark, name), ["o_orderkey"], 64) for name in ("old", "new"))
+    old.create(o)
+    price = F.when(F.col("o_orderdate") == F.col("last"), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    new.create(both.where("o_orderdate <> first").withColumn("o_totalprice", price).select(*o.columns))
+    return old.changes(new)
+
+
+@query("SELECT doc_id, CASE WHEN lang = 'de' THEN 2 ELSE 1 END::BIGINT AS version, sha256(CASE WHEN lang = 'de' THEN text || ' v2' ELSE text END) AS digest FROM documents")
+def ingest_versions(spark, sf_dir):
+    """Documents, a second version of the German ones among all others again, and that batch once more: a stream with a digest a key."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    second = d.withColumn("text", F.when(F.col("lang") == "de", F.concat("text", F.lit(" v2"))).otherwise(F.col("text")))
+    root = shared.folder(spark, "versions")
+    for rows in (d, second, second):
+        rows.write.mode("append").parquet(f"{root}/in")
+        I.ingest_keyed(I.read_sections(spark, f"{root}/in", "doc_id long, text string, lang string"), f"{root}/out", f"{root}/state").awaitTermination()
+    return I.latest(spark, f"{root}/out").select("doc_id", "version", "digest").distinct()

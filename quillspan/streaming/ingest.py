@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from quillspan.operators import chunk as C
 from quillspan.operators.store import changed, last_write
@@ -54,3 +59,45 @@ def current(spark: SparkSession, out: str, key: str = "doc_id") -> DataFrame:
     rows = spark.read.parquet(out)
     newest = rows.groupBy(key).agg(F.max("batch").alias("batch"))
     return rows.join(newest, [key, "batch"], "left_semi")
+
+
+def changed_sections(sections: DataFrame, key: str = "doc_id") -> DataFrame:
+    """A stream's sections (key, text, arrived) that are new or whose text has changed, with digest and version (from 1).
+
+    The state store holds a digest and a number for each key and nothing else, so a batch costs what it brings, however
+    much came before, and a batch that is repeated finds the state of the batch before it. Of a key's rows in a batch the
+    one that arrived last counts; rows are read one Arrow batch at a time. A null text is a text of its own.
+    """
+    order = F.concat(F.format_string("%020d", F.unix_micros("arrived.file_modification_time")), F.lit("/"), F.col("arrived.file_name"), F.lit("/"), F.format_string("%020d", "arrived.row_index"))
+    rows = sections.select(key, "text", order.alias("at"))
+
+    def update(name: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        newest = None
+        for frame in frames:
+            last = frame.iloc[frame["at"].argmax()]
+            if newest is None or last["at"] > newest[0]:
+                newest = (last["at"], last["text"])
+        if newest is None:
+            return
+        digest = "none" if newest[1] is None else hashlib.sha256(newest[1].encode()).hexdigest()
+        held, version = state.get if state.exists else (None, 0)
+        if digest != held:
+            state.update((digest, version + 1))
+            yield pd.DataFrame({key: [name[0]], "text": [newest[1]], "digest": [digest], "version": [version + 1]})
+
+    kind = sections.schema[key].dataType.simpleString()
+    return rows.groupBy(key).applyInPandasWithState(update, f"{key} {kind}, text string, digest string, version long", "digest string, version long", "append", GroupStateTimeout.NoTimeout)
+
+
+def ingest_keyed(sections: DataFrame, out: str, checkpoint: str, key: str = "doc_id", pattern: str = r"\n+") -> StreamingQuery:
+    """ingest() with keyed state: chunks of new and changed sections with digest and version, written once by the file sink. latest()
+    reads what counts."""
+    # The stateful operator's rows pass a filter first: the Arrow function of chunk() takes them in Spark's binary form only.
+    rows = C.chunk(changed_sections(sections, key).where("version > 0"), pattern=pattern)
+    return rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+
+
+def latest(spark: SparkSession, out: str, key: str = "doc_id") -> DataFrame:
+    """Chunks of each section's last version."""
+    rows = spark.read.parquet(out)
+    return rows.join(rows.groupBy(key).agg(F.max("version").alias("version")), [key, "version"], "left_semi")
