@@ -14,11 +14,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quillspan.operators import coverage as V, quality as Q
 from quillspan.operators.control import Control
-from quillspan.plans import pipelines, registry
+from quillspan.plans import families, pipelines, registry
 from quillspan.plans.providers import Embedder
 from quillspan.sources import files, platforms
 
 Reply = tuple[int, "DataFrame | dict"]
+#: The runs that a family of routes starts.
+RUNS = {"federal": ["cfr"], "texas": ["tx-statute", "tx-tac"], "counties": ["county"], "municipal": ["municipal"]}
 FAMILIES = {"federal": "federal", "texas": "state", "counties": "county", "municipal": "municipal"}
 
 
@@ -37,6 +39,11 @@ class Service:
     cache: str
     fetch_parts: Callable[[int | None], DataFrame]
     pages: Callable[[DataFrame], DataFrame] | None = None
+    #: With a fetcher, starting a pipeline crawls its family; without one it indexes the sections that are there.
+    get: Callable[[str], str] | None = None
+    year: int = 2026
+    date: str = ""
+    fetching: dict = field(default_factory=dict)
     runs: dict[str, pipelines.Run] = field(default_factory=dict)
 
     def call(self, method: str, path: str) -> Reply:
@@ -63,20 +70,36 @@ class Service:
     # --- pipelines ---
 
     def start(self, family: str, kind: str | None = None, source: str | None = None) -> Reply:
-        """Index a family's sources, those of a kind, or one source; running it again goes on where it stopped."""
-        rows = self.sections.where(F.col("source_type") == FAMILIES[family])
-        if kind:
-            rows = rows.where(F.col("source_id").startswith({"statutes": "tx-statute", "tac": "tx-tac"}[kind]))
-        if source:
-            key = re.sub(r"\s+", "-", source.lower())
-            rows = rows.where(F.lower(F.col("source_id")).isin(key, f"cfr-title-{key}", f"tx-statute-{key}", f"tx-tac-{key}", f"county-{key}", f"municipal-{key}"))
-        if rows.isEmpty():
-            return 404, {"error": "no such source"}
+        """Run a family's sources, those of a kind, or one source, from crawl to vectors; running it again goes on where it stopped.
+
+        Without a fetcher the sections that are there are indexed. The run's status is kept under its name.
+        """
         name = "-".join(x for x in (family, kind, source and re.sub(r"\W+", "-", source.lower())) if x)
-        run = self.runs[name] = pipelines.build_index(rows, self.embedder, self.control, name)
-        total = run.total.first()
-        self.control.put(f"runs/{name}", {"status": "complete" if total["success"] else "partial", **total.asDict()})
-        return (200 if total["success"] else 207 if total["vectors"] else 500), run.by_source
+        if self.get is not None:
+            kinds = [k for k in RUNS[family] if not kind or k == f"tx-{kind.removesuffix('s')}"]
+            runs = []
+            for k in kinds:
+                wanted = [source] if source else None
+                if families.sources(self.spark, k, wanted).isEmpty():
+                    continue
+                runs.append(families.index_family(self.spark, k, self.get, self.embedder, self.control, self.now, self.year, self.date, wanted, f"{name}-{k}", **self.fetching))
+            if not runs:
+                return 404, {"error": "no such source"}
+        else:
+            rows = self.sections.where(F.col("source_type") == FAMILIES[family])
+            if kind:
+                rows = rows.where(F.col("source_id").startswith({"statutes": "tx-statute", "tac": "tx-tac"}[kind]))
+            if source:
+                key = re.sub(r"\s+", "-", source.lower())
+                rows = rows.where(F.lower(F.col("source_id")).isin(key, f"cfr-title-{key}", f"tx-statute-{key}", f"tx-tac-{key}", f"county-{key}", f"municipal-{key}"))
+            if rows.isEmpty():
+                return 404, {"error": "no such source"}
+            runs = [pipelines.build_index(rows, self.embedder, self.control, name)]
+        totals = [r.total.first().asDict() for r in runs]
+        total = {k: sum(t[k] or 0 for t in totals) for k in ("sources", "chunks", "vectors")} | {"success": all(t["success"] for t in totals)}
+        self.runs[name] = runs[0] if len(runs) == 1 else pipelines.joined(runs)
+        self.control.put(f"runs/{name}", {"status": "complete" if total["success"] else "partial", **total})
+        return (200 if total["success"] else 207 if total["vectors"] else 500), self.runs[name].by_source
 
     def coverage_of(self, family: str) -> Reply:
         kind = F.col("source_type") == FAMILIES[family]
@@ -87,7 +110,9 @@ class Service:
         names = [k for k in self.control.keys("runs") if k.split("/")[-1].split("-")[0] == family]
         for key in names:
             self.control.delete(key)
-            self.control.clear(key.split("/")[-1])
+            for own in (key.split("/")[-1], *(f"{key.split('/')[-1]}-{k}" for k in RUNS[family])):
+                self.control.clear(own)
+                self.control.delete(f"inputs/{own}")
             self.runs.pop(key.split("/")[-1], None)
         return 200, {"cleared": len(names)}
 

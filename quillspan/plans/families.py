@@ -16,7 +16,7 @@ from quillspan.functions import text as T
 from quillspan.operators import chunk as C, store as S
 from quillspan.operators.control import Control
 from quillspan.plans import providers as P, registry
-from quillspan.plans.pipelines import Run, rollup
+from quillspan.plans.pipelines import Run, embedded_steps, rollup
 from quillspan.sources import crawl as W
 
 TYPES = {"cfr": "federal", "tx-statute": "state", "tx-tac": "state", "county": "county", "municipal": "municipal"}
@@ -45,17 +45,24 @@ def crawled(family: str, chosen: DataFrame, crawl: W.Crawl, date: str, parts: Da
 
 
 def index_family(
-    spark: SparkSession, family: str, get: Callable[[str], str], embedder: P.Embedder, control: Control, now: Column, year: int, date: str, wanted: list[str] | None = None, run: str | None = None, **fetching
+    spark: SparkSession, family: str, get: Callable[[str], str], embedder: P.Embedder, control: Control, now: Column, year: int, date: str, wanted: list[str] | None = None, run: str | None = None, parts: list[tuple[int, int]] | None = None, limit: int = T.MAX_CHUNK, **fetching
 ) -> Run:
     """Crawl, chunk and embed a family's sources. The run's index has a row a vector (VECTOR), to be merged by merge_index.
 
     A source whose pages, sections or chunks were partly lost has status partial, or error without any vector; rejected
-    says what was lost and where. fetching: options of fetch().
+    says what was lost and where. parts (number, part): these parts of federal titles alone. fetching: options of Crawl and fetch().
+    Steps after the crawl hold for their options: another year, date, list of sources or parts, limit or embedder makes them anew.
     """
     run = run or family
     chosen = sources(spark, family, wanted)
     crawl = W.Crawl(control, run, get, **fetching)
-    found, lost = crawled(family, chosen, crawl, date)
+    state = {"year": year, "date": date, "wanted": sorted(wanted or []), "parts": sorted([list(p) for p in parts or []]), "limit": limit, "embedder": [type(embedder).__name__, getattr(embedder, "model", ""), embedder.dimensions]}
+    named = spark.createDataFrame(parts, "number int, part int") if parts else None
+    found, lost = crawled(family, chosen, crawl, date, named)
+    if control.get(f"inputs/{run}") != state:
+        for name in ("lost", "chunks", "vectors", "refused", "rounds"):
+            control.clear(f"{run}/{name}")
+        control.put(f"inputs/{run}", state)
 
     def step(name: str, make: Callable[[], DataFrame]) -> DataFrame:
         held = None if crawl.anew else control.load_step(run, name)
@@ -65,17 +72,17 @@ def index_family(
         return held
 
     lost = step("lost", lambda: lost)
-    chunks = step("chunks", lambda: C.family_chunks(found, family, year))
+    chunks = step("chunks", lambda: C.family_chunks(found, family, year, limit))
     accepted, oversize = C.oversize(chunks)
-    blank = accepted.where(~F.coalesce("chunk_text", F.lit("")).rlike(r"\S"))
-    vectors = step("vectors", lambda: P.embed(accepted.where(F.col("chunk_text").rlike(r"\S")), embedder, "chunk_text").select("chunk_id", "embedding"))
+    whole, refused = embedded_steps(step, accepted, embedder, control, run)
+    vectors = whole.select("chunk_id", "embedding")
     known = chosen.select("source_id", "jurisdiction", "category", F.col("name").alias("source_name"))
     title = F.concat("source_name", F.lit(" Code of Ordinances - "), "section") if family == "municipal" else F.col("heading")
     index = accepted.join(vectors, "chunk_id").join(known, "source_id").withColumns({
         "vec_id": F.col("chunk_id"), "source_type": F.lit(TYPES[family]), "title": title, "text": F.col("chunk_text"), "last_updated": now,
     }).select(*VECTOR)
     at = lambda d, stage, why: d.select("source_id", F.col("chunk_id").alias("item"), F.lit(stage).alias("stage"), why.alias("reason"))
-    parts = [lost.select("source_id", F.col("url").alias("item"), "stage", "reason"), at(oversize, "chunk", F.col("reason")), at(blank, "embed", F.lit("blank text"))]
+    parts = [lost.select("source_id", F.col("url").alias("item"), "stage", "reason"), at(oversize, "chunk", F.col("reason")), at(refused, "embed", F.concat_ws(": ", "error_code", "reason"))]
     rejected = reduce(DataFrame.unionByName, parts)
     by_source, total = rollup(chunks, index, rejected, chosen.select("source_id"))
     return Run(index, rejected, by_source, total)

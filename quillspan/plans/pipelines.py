@@ -38,9 +38,9 @@ def build_index(sections: DataFrame, embedder: P.Embedder, control: Control, run
     chosen = sections.where(F.col("source_id").isin(*wanted)) if wanted else sections
     row = F.xxhash64(F.to_json(F.struct(*chosen.columns), {"ignoreNullFields": "false"})).cast("decimal(38,0)")
     state = {"rows": (found := chosen.agg(F.count(F.lit(1)), F.sum(row)).first())[0], "digest": str(found[1])}
-    if control.get(f"runs/{run}") != state:
+    if control.get(f"inputs/{run}") != state:  # runs/ holds the run's status
         control.clear(run)
-        control.put(f"runs/{run}", state)
+        control.put(f"inputs/{run}", state)
 
     def step(name: str, make) -> DataFrame:
         held = control.load_step(run, name) if resume else None
@@ -48,14 +48,27 @@ def build_index(sections: DataFrame, embedder: P.Embedder, control: Control, run
 
     chunks = step("chunks", lambda: C.chunk(chosen).withColumn("chunk_id", F.concat_ws("-", "source_id", "section_id", F.col("chunk_index").cast("string"))))
     accepted, oversize = C.oversize(chunks)
-    blank = accepted.where(F.trim("chunk_text") == "")
-    vectors = step("vectors", lambda: P.embed(accepted, embedder, "chunk_text"))
-    bad = [(oversize, "chunk", F.col("reason")), (blank, "embed", F.lit("blank text"))]
+    vectors, refused = embedded_steps(step, accepted, embedder, control, run)
+    bad = [(oversize, "chunk", F.col("reason")), (refused, "embed", F.concat_ws(": ", "error_code", "reason"))]
     rejected = reduce(DataFrame.unionByName, [d.select("source_id", "chunk_id", F.lit(stage).alias("stage"), why.alias("reason")) for d, stage, why in bad])
     by_source, total = rollup(chunks, vectors, rejected, chunks.select("source_id").distinct())
     return Run(vectors, rejected, by_source, total)
 
 
+def embedded_steps(step, accepted: DataFrame, embedder: P.Embedder, control: Control, run: str, **options) -> tuple[DataFrame, DataFrame]:
+    """Steps vectors and refused of chunks. The rounds between them are removed at the end."""
+    made: list[DataFrame] = []
+
+    def both(i: int) -> DataFrame:
+        if not made:
+            made.extend(P.embedded(accepted, embedder, control, f"{run}/rounds", "chunk_text", **options))
+        return made[i]
+
+    vectors, refused = step("vectors", lambda: both(0)), step("refused", lambda: both(1))
+    control.clear(f"{run}/rounds")
+    return vectors, refused
+
+
 def rollup(chunks: DataFrame, vectors: DataFrame, rejected: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(one row a source, totals): counts before any join, so none multiplies rows. A source that lost rows is partial,
     one without any vector then an error."""
@@ -70,6 +83,14 @@ def rollup(chunks: DataFrame, vectors: DataFrame, rejected: DataFrame, sources:
     return out, out.agg(F.count(F.lit(1)).alias("sources"), F.sum("chunks").alias("chunks"), F.sum("vectors").alias("vectors"), ok.alias("success"))
 
 
+def joined(runs: list[Run]) -> Run:
+    """Several runs as one: their rows together, and one row of totals."""
+    index, rejected, by_source = (reduce(DataFrame.unionByName, parts) for parts in zip(*((r.index, r.rejected, r.by_source) for r in runs), strict=True))
+    ok = F.coalesce(F.bool_and(F.col("failed") == 0), F.lit(True))
+    total = by_source.agg(F.count(F.lit(1)).alias("sources"), F.sum("chunks").alias("chunks"), F.sum("vectors").alias("vectors"), ok.alias("success"))
+    return Run(index, rejected, by_source, total)
+
+
 def sync_status(statuses: DataFrame, run: Run, log=print) -> DataFrame:
     """Statuses after a run. Best effort: a failure is logged and the old statuses stay."""
     try:
@@ -109,7 +130,8 @@ def answer_question(
     """A question's answer: jurisdictions, retrieved chunks, confidence, summary, sections, permits, citations, warnings.
 
     index has vec_id, embedding, jurisdiction, source_type, citation, title, text and last_updated. At most `final` chunks
-    reach the driver. An address that can't be placed falls back to the federal level.
+    reach the driver. An address that can't be placed falls back to the federal level. A failed generation is a
+    providers.ProviderError with its code.
     """
     try:
         where = P.jurisdictions(geocode(address)) if address and geocode else ["US"]
@@ -123,7 +145,7 @@ def answer_question(
     confidence = R.confidence(chunks, where).first().asDict()
     block = A.source_block(chunks.withColumn("q", F.lit(0)), "q")
     prompt = spark.range(1).join(block, F.col("id") == F.col("q"), "left").select(A.user_prompt(F.lit(question), F.array(*[F.lit(w) for w in where]), F.coalesce("sources", F.lit("")))).first()[0]
-    raw = generate(SYSTEM_PROMPT + "\n\n" + prompt)
+    raw = P.generated(generate, SYSTEM_PROMPT + "\n\n" + prompt)
     one = spark.createDataFrame([(0, raw)], "q int, answer string")
     t, n = F.col("answer"), F.lit(len(rows))
     parsed = one.select(T.summary(t).alias("summary"), A.permits(t).alias("permits"), A.valid_references(t, n).alias("cited"), A.warnings(t, n).alias("warnings")).first()
