@@ -174,8 +174,11 @@ def collapse(symbols: list[str]) -> tuple[tuple[str, ...], list[int]]:
     return flat, place
 
 
-#: A wrapper is a list of [symbol, pages it is on, characters, linked characters, the length and hash of the text if it is the same on all pages].
+#: A wrapper is a list of [symbol, pages it is on, characters, linked characters, the length and hash of the text if it is the same on all
+#: pages, then hashes of up to DIFFERENT different pages that have this text].
 Wrapper = list
+#: A text is a site's, not a page's, if so many different pages have it; copies of a page count as one.
+DIFFERENT = 3
 
 
 def _digest(text: str) -> str:
@@ -185,11 +188,12 @@ def _digest(text: str) -> str:
 def of_page(flat: tuple[str, ...], place: list[int], symbols: list[str], slots: list[tuple[str, int]]) -> Wrapper:
     out = [[s, 1, 0, 0, None] for s in flat]
     texts = iter(slots)
+    page = _digest("\x01".join([*symbols, *(t for t, _ in slots)]))
     for i, s in enumerate(symbols):
         if s[0] == "#":
             text, linked = next(texts)
             e = out[place[i]]
-            e[4] = _digest(text) if e[2] == 0 else ""
+            e[4:] = [_digest(text), page] if e[2] == 0 else [""]
             e[2] += len(text)
             e[3] += linked
     return out
@@ -209,7 +213,8 @@ def merge(a: Wrapper, b: Wrapper) -> Wrapper:
         out += a[i:x] + b[j:y]  # only one has it: optional
         if x < len(a):
             p, q = a[x], b[y]
-            out.append([p[0], p[1] + q[1], p[2] + q[2], p[3] + q[3], p[4] if p[4] == q[4] else ""])
+            same = p[4] == q[4]
+            out.append([p[0], p[1] + q[1], p[2] + q[2], p[3] + q[3], *([p[4], *sorted({*p[5:], *q[5:]})[:DIFFERENT]] if same else [""])])
         i, j = x + 1, y + 1
     return bounded(out)
 
@@ -233,8 +238,7 @@ def main_slots(wrapper: Wrapper) -> list[bool]:
     """Which places of a wrapper hold main text."""
     if has_article(wrapper):
         return [e[0] == "#+" for e in wrapper]
-    pages = max((e[1] for e in wrapper), default=0)
-    return [e[0] == "#" and 2 * e[3] <= e[2] and not (pages > 2 and e[1] > 2 and bool(e[4])) for e in wrapper]
+    return [e[0] == "#" and 2 * e[3] <= e[2] and not (len(e) >= 5 + DIFFERENT and bool(e[4])) for e in wrapper]
 
 
 def _host(url: str | None) -> str:
@@ -323,7 +327,7 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """Main text of every page: page_id, url, text and n_chars (code points).
 
     Null html is empty and gives an empty text; pages without a host in their url (or a null one) share one wrapper; null
-    ids stay; repeated pages each give a row; an empty table gives an empty result; other columns are not read.
+    ids stay; repeated pages each give a row, and count as one page where texts that pages share are told from their own; an empty table gives an empty result; other columns are not read.
     """
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
     own = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host.alias("host"), F.col(html_col).alias("html"))

@@ -120,3 +120,16 @@ def test_candidates_of_any_length(spark):
     assigned = secret_scan.occurrences(docs, pattern=secret_scan.ASSIGNED, group=1).collect()
     assert {(r["doc_id"], r["value"], r["start"]) for r in assigned} == {(1, long, 12), (2, "hunter2", 13), (2, "correct\u0416horse!", 29)}
     assert {r["n_chars"] for r in secret_scan.secrets(docs.where("doc_id = 1")).collect()} <= {900}
+
+
+def test_repeated_pages_keep_their_text(spark):
+    """Copies of a page tell nothing about what is a site's: only texts that three different pages share are."""
+    page = lambda title, body: f"<html><body><div><p>Site name</p></div><div><h1>{title}</h1><p>{body}</p></div></body></html>"
+    one = page("A title", "The body of the only page, with some words of its own.")
+    for n in (1, 2, 3, 300):
+        rows = [(i, "http://h.org/a", one) for i in range(n)]
+        got = {r["text"] for r in H.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()}
+        assert got == {"Site name\nA title\nThe body of the only page, with some words of its own."}
+    rows = [(i, f"http://h.org/{i}", page(f"Title {i}", f"Body number {i} says something else.")) for i in range(4)] + [(9, "http://h.org/0", page("Title 0", "Body number 0 says something else."))] * 5
+    got = sorted((r["page_id"], r["text"]) for r in H.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect())
+    assert got == sorted((i if i < 9 else 9, f"Title {i % 9}\nBody number {i % 9} says something else.") for i in [0, 1, 2, 3, 9, 9, 9, 9, 9])
