@@ -187,3 +187,18 @@ def clean_markdown(text: Column) -> Column:
 
 def percentage(part: Column, whole: Column, digits: int) -> Column:
     return F.when(whole > 0, F.round(part / whole * 100, digits)).otherwise(F.lit(0.0))
+
+
+def natural_key(text: Column) -> Column:
+    """A key whose order is that of the text with its numbers taken as numbers: "12.9" before "12.10" before "12.10b".
+
+    Runs of digits become their length and digits without leading zeros, other runs end in a sign below all others; numbers come before
+    other signs, and of equal keys ("1", "01") none is first. As a column it is sorted by ranges, without a window over all rows. Null stays null.
+    """
+    runs = F.regexp_extract_all(text, F.lit(r"[0-9]+|[^0-9]+"), F.lit(0))
+
+    def part(run: Column) -> Column:
+        digits = F.regexp_replace(run, "^0+(?=[0-9])", "")
+        return F.when(run.rlike("^[0-9]"), F.concat(F.lit("0"), F.lpad(F.length(digits).cast("string"), 6, "0"), digits)).otherwise(F.concat(F.lit("1"), run, F.lit("\x01")))
+
+    return F.array_join(F.transform(runs, part), "")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillspan.functions.text import excerpt
+from quillspan.sources.shared import kept
 
 
 def last_write(rows: DataFrame, key: Sequence[str], version: Sequence[str]) -> DataFrame:
@@ -120,3 +121,16 @@ def create_index(control, name: str, dimensions: int, metric: str = "cosine") ->
     elif held != wanted:
         raise ValueError(f"index {name} has {held}, not {wanted}")
     return wanted
+
+
+def ranked(rows: DataFrame, key: str, parts: int = 64) -> DataFrame:
+    """Adds rank (from 1, equal keys share one) over the whole table without one task for all of it: keys are counted, the counts dealt
+    into ranges, each range summed by itself and begun where those before it end."""
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    dealt = kept(counts.repartitionByRange(parts, key).withColumn("_range", F.spark_partition_id()), "ranges")
+    sums = dealt.groupBy("_range").agg(F.sum("_n").alias("_sum"))  # at most `parts` rows
+    before = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_sum")
+    own = Window.partitionBy("_range").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    places = dealt.join(F.broadcast(before), "_range").withColumn("rank", F.col("_before") + F.coalesce(F.sum("_n").over(own), F.lit(0)) + 1)
+    same = F.col(f"r.{key}").eqNullSafe(F.col(f"p.{key}"))
+    return rows.alias("r").join(places.select(key, "rank").alias("p"), same).select("r.*", "p.rank")

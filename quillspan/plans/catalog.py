@@ -839,6 +839,22 @@ def remaining_after_done(spark, sf_dir):
     return S.remaining(table(spark, sf_dir, "events").select("event_id", "user_id"), done, "user_id").select("event_id")
 
 
+_RUNS = "regexp_extract_all(section, '[0-9]+|[^0-9]+')"
+
+
+_DIGITS = "coalesce(nullif(ltrim(x, '0'), ''), '0')"
+
+
+@query(f"""WITH p AS (SELECT p_partkey, (p_size % 7) || '.' || (p_partkey % 113) || lower(substr(p_type, 1, p_size % 3)) AS section FROM part)
+SELECT p_partkey, section, array_to_string([CASE WHEN regexp_matches(x, '^[0-9]') THEN '0' || lpad(CAST(length({_DIGITS}) AS VARCHAR), 6, '0') || {_DIGITS} ELSE '1' || x || chr(1) END for x in {_RUNS}], '') AS place,
+rank() OVER (ORDER BY split_part(section, '.', 1)::INT, regexp_extract(split_part(section, '.', 2), '^[0-9]+')::INT, regexp_extract(section, '[a-z]*$')) AS position FROM p""")
+def natural_order(spark, sf_dir):
+    """Section numbers by their keys, and each row's place among all of them."""
+    section = F.concat((F.col("p_size") % 7).cast("string"), F.lit("."), (F.col("p_partkey") % 113).cast("string"), F.lower(F.substring(F.col("p_type"), F.lit(1), (F.col("p_size") % 3).cast("int"))))
+    rows = table(spark, sf_dir, "part").select("p_partkey", section.alias("section")).withColumn("place", T.natural_key(F.col("section")))
+    return S.ranked(rows, "place").select("p_partkey", "section", "place", F.col("rank").alias("position"))
+
+
 # --- stores, joins of many questions, streams ----------------------------------------------------------------------
 
 _HOST = "regexp_extract(url, '^[a-z]+://([^/]+)', 1)"

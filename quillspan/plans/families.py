@@ -16,6 +16,7 @@ from quillspan.functions import text as T
 from quillspan.operators import chunk as C, store as S
 from quillspan.operators.control import Control
 from quillspan.plans import providers as P, registry
+from quillspan.plans.graph import RunGraph
 from quillspan.plans.pipelines import Run, embedded_steps, rollup
 from quillspan.sources import crawl as W
 
@@ -95,17 +96,26 @@ def merge_index(index: DataFrame | None, runs: list[Run], dimensions: int) -> tu
     return S.upsert(index if index is not None else good.limit(0), good, ["vec_id"], ["last_updated"]), bad
 
 
-def index_all(spark: SparkSession, families: list[str], control: Control, resume: bool = True, **options) -> tuple[dict[str, Run], dict[str, str]]:
+def index_all(spark: SparkSession, families: list[str], control: Control, resume: bool = True, together: int = 1, run: str = "all", **options) -> tuple[dict[str, Run], dict[str, str]]:
     """(runs, errors) by family. A family that fails as a whole costs the others nothing; options go to index_family.
 
-    resume: go on with what earlier runs left; without it their tables are removed first.
+    resume: go on with what earlier runs left; without it their tables are removed first. together: families that run at
+    once (graph.RunGraph).
     """
-    runs, errors = {}, {}
-    for family in families:
+    graph = all_families(spark, families, control, resume, together, run, **options).start()
+    graph.wait()
+    return graph.results(), graph.errors()
+
+
+def all_families(spark: SparkSession, families: list[str], control: Control, resume: bool = True, together: int = 4, run: str = "all", **options) -> RunGraph:
+    """A graph of the families' runs, not started: each can be waited for, and cancelled alone."""
+    graph = RunGraph(spark, control, run, together)
+
+    def one(family: str) -> Run:
         if not resume:
             control.clear(family)
-        try:
-            runs[family] = index_family(spark, family, control=control, **options)
-        except Exception as e:  # noqa: BLE001
-            errors[family] = f"{type(e).__name__}: {e}"
-    return runs, errors
+        return index_family(spark, family, control=control, **options)
+
+    for family in families:
+        graph.add(family, lambda family=family: one(family), [family, f"inputs/{family}.json"])
+    return graph
