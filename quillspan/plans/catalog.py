@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from quillspan.functions import text as T
 from quillspan.operators import answer as A, buckets as B, chunk as C, coverage as V, quality as Q, retrieval as R, store as S
-from quillspan.plans import pipelines, providers as P, registry
-from quillspan.sources import fetch, files, html as H, markdown as M, objects as O, shared, xml as X
+from quillspan.operators.control import Control
+from quillspan.plans import families, pipelines, providers as P, registry
+from quillspan.sources import crawl as W, fetch, files, html as H, markdown as M, objects as O, shared, xml as X
 from quillspan.streaming import ingest as I
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -931,3 +932,38 @@ def ingest_versions(spark, sf_dir):
         rows.write.mode("append").parquet(f"{root}/in")
         I.ingest_keyed(I.read_sections(spark, f"{root}/in", "doc_id long, text string, lang string"), f"{root}/out", f"{root}/state").awaitTermination()
     return I.latest(spark, f"{root}/out").select("doc_id", "version", "digest").distinct()
+
+
+@query("SELECT p_size::VARCHAR AS chapter, p_size || '.' || p_partkey AS section, p_name AS heading, p_type || ' is sold as ' || p_brand || ' throughout.' AS text FROM part")
+def crawled_statutes(spark, sf_dir):
+    """A code's site made of parts, kept as objects by URL, crawled from its contents over chapters to sections."""
+    p, lit = table(spark, sf_dir, "part"), F.lit
+    size, key, root = F.col("p_size").cast("string"), F.col("p_partkey").cast("string"), shared.folder(spark, "site")
+    at = lambda *rest: F.concat(lit(f"{W.STATUTES}PE/htm/PE."), *rest, lit(".htm"))
+    top = _joined(p.select("p_size").distinct().withColumn("one", lit(1)), "one", "p_size", lit('<a href="PE.'), size, lit('.htm">c</a>')).select(at(lit("toc")).alias("url"), F.col("page").alias("body"))
+    middle = _joined(p, "p_size", "p_partkey", lit('<a href="PE.'), size, lit("."), key, lit('.htm">s</a>')).select(at(size).alias("url"), F.col("page").alias("body"))
+    text = F.concat(lit("<h2>"), "p_name", lit("</h2><article>"), "p_type", lit(" is sold as "), "p_brand", lit(" throughout.</article>"))
+    O.put(top.unionByName(middle).unionByName(p.select(at(size, lit("."), key).alias("url"), text.alias("body"))), root, "{url}")
+    crawl = W.Crawl(Control(spark, shared.folder(spark, "control")), "pe", O.Fetcher(root), spacing=0.0)
+    return W.statutes(families.sources(spark, "tx-statute", ["PE"]), crawl)[0].select("chapter", "section", "heading", "text")
+
+
+@query("SELECT '21' AS title, p_size::VARCHAR AS part, p_size || '.' || p_partkey AS section, p_name AS heading, p_type AS text FROM part")
+def stored_regulations(spark, sf_dir):
+    """Parts of two titles kept as objects under the family's keys; the sections of one title, whose folder alone is listed."""
+    p, lit = table(spark, sf_dir, "part"), F.lit
+    size, root = F.col("p_size").cast("string"), shared.folder(spark, "regulations")
+    number = F.concat(size, lit("."), F.col("p_partkey").cast("string"))
+    body = _joined(p, "p_size", "p_partkey", lit('<DIV8 N="'), number, lit('" TYPE="SECTION"><HEAD>§ '), number, lit(" "), "p_name", lit("</HEAD><P>"), "p_type", lit("</P></DIV8>"))
+    page = F.concat(lit('<DIV5 N="'), size, lit('" TYPE="PART"><HEAD>PART '), size, lit("—GOODS</HEAD>"), "page", lit("</DIV5>"))
+    O.put(body.select(F.explode(F.array(lit("21"), lit("7"))).alias("title"), size.alias("part"), page.alias("body")), root, O.KEYS["cfr"])
+    found, _ = W.from_store(spark, root, "cfr", families.sources(spark, "cfr"), title="21")
+    return found.select("title", "part", "section", "heading", "text")
+
+
+@query(f"WITH {_DOCS} SELECT doc_id, CASE WHEN NOT regexp_matches(text, '\\S') THEN 'BLANK' WHEN tokens > 8191 THEN 'TOKEN_LIMIT' ELSE 'OK' END AS outcome, CASE WHEN NOT regexp_matches(text, '\\S') OR tokens > 8191 THEN 0 ELSE 16 END AS dimensions FROM d")
+def embedding_outcomes(spark, sf_dir):
+    """Every document through the embedding rounds: its vector, or the code it was refused with before any call."""
+    good, bad = P.embedded(documents(spark, sf_dir), P.HashEmbedder(16), Control(spark, shared.folder(spark, "control")), "documents")
+    kept = good.select("doc_id", F.lit("OK").alias("outcome"), F.size("embedding").alias("dimensions"))
+    return kept.unionByName(bad.select("doc_id", F.col("error_code").alias("outcome"), F.lit(0).alias("dimensions")))

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualNullSafe, EqualTo, Filter, In, InputPartition, IsNotNull, StringStartsWith, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from quillspan.functions import retry
+
 # Where each family's documents are kept.
 KEYS = {
     "cfr": "federal/cfr/title-{title}/part-{part}.xml",
@@ -194,6 +196,21 @@ class ObjectWriter(DataSourceWriter):
         return Written(n)
 
 
+class Fetcher:
+    """Bodies by URL from objects under "{url}" keys: a mirror of sites for crawls without a network. What isn't there is not found."""
+
+    def __init__(self, root: str):
+        self.root = root
+
+    def __call__(self, url: str) -> str:
+        store, root = opened(self.root if "://" in self.root or self.root.startswith("file:") else f"file://{self.root}")
+        try:
+            with store.open_input_stream(f"{root}/{key_of('{url}', {'url': url})}") as f:
+                return f.read().decode("utf-8", "replace")
+        except FileNotFoundError:
+            raise retry.NotFound(url) from None
+
+
 def _ready(spark: SparkSession, root: str) -> str:
     spark.dataSource.register(ObjectSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
