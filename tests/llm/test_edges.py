@@ -55,9 +55,29 @@ def test_stage(spark, name):
     if name != "sharding":
         assert out.columns == docs.columns
         assert {str(r) for r in rows} <= {str(r) for r in docs.collect()}
+    ids = sorted(str(r["doc_id"]) for r in rows)
+    if name == "quality_rules":  # no word, no document
+        assert not {"3", "4"} & {*ids} and ids.count("1") in (0, 2)
+    if name == "near_dedup":  # one of the equal rows and their near copy, one of the blank texts
+        assert ids == ["1", "3", "5", "6", "None"]
+    if name in ("decontamination", "sharding"):
+        assert ids == sorted(str(i) for i, _ in ROWS)
     assert stage(spark, odd(spark, []), SF).collect() == []
 
 
+def test_main_texts_of_odd_pages(spark):
+    from quillspan.llm import html_extract
+
+    page = "<html><body><nav>menu</nav><article><h1>T</h1><p>" + "word " * 40_000 + "</p></article></body></html>"
+    rows = [(1, "http://a.org/x", page), (1, "http://a.org/x", page), (2, None, "<article><p>no url</p></article>"), (3, "http://a.org/y", None), (4, "http://a.org/z", ""), (None, "http://b.org/", "<article><p>null id</p></article>"), (5, "no host", "plain")]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({n: simhash.F.lit(f"own {n}") for n in ("host", "wrapper", "text", "n_chars")})
+    got = sorted((str(r["page_id"]), r["url"], r["text"], r["n_chars"]) for r in html_extract.main_texts(d).collect())
+    long = "T\n" + " ".join(["word"] * 40_000)
+    want = [("1", "http://a.org/x", long), ("1", "http://a.org/x", long), ("2", None, "no url"), ("3", "http://a.org/y", ""), ("4", "http://a.org/z", ""), ("None", "http://b.org/", "null id"), ("5", "no host", "plain")]
+    assert [g[:3] for g in got] == sorted(want, key=lambda w: w[0]) and all(g[3] == len(g[2]) for g in got)
+    assert html_extract.main_texts(d.where("false")).collect() == []
+
+
 def test_near_dedup_of_few_rows(spark):
     for rows, want in (([(1, BASE), (2, "something else")], {1, 2}), ([(2, "x"), (1, "x"), (3, "y"), (4, None)], {1, 3, 4}), ([(1, BASE)], {1})):
         assert {r["doc_id"] for r in simhash.representatives(odd(spark, rows)).collect()} == want
