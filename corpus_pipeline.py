@@ -13,19 +13,31 @@ from quillspan.llm.common import discard, materialise, row_key
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the classifier."""
+    """Documents that pass the base rules and the classifier.
+
+    A null or empty text has no words and goes; rows that are equal, or tie, get one verdict; an empty table stays empty;
+    other columns are kept as they are, whatever their names.
+    """
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     whole = docs.select(F.struct(*docs.columns).alias("r"), "text")
     return quality.judge(whole, model).where("quality_rules.kept").select("r.*")
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five words a shingle, similarity 0.8 or more."""
+    """One document of each group of near-duplicates: five words a shingle, similarity 0.8 or more.
+
+    Null and empty texts are one group; of repeated rows one stays; ties go by the smallest id, then by the row's hash; an empty table
+    stays empty; other columns are kept as they are.
+    """
     return simhash.representatives(docs, shingle=5, similarity=0.8)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage like a benchmark item."""
+    """Documents that hold no passage like a benchmark item.
+
+    Null and empty texts hold none and stay; repeated rows go or stay together, a similarity of just 0.8 goes; an empty table, and an
+    empty benchmark, change nothing; other columns are kept as they are.
+    """
     key = F.concat_ws(":", *row_key(docs)).alias("row")
     found = decontam.contaminated(docs.select(key, "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="row")
     bad = materialise(found.select(F.col("doc_id").alias("row")).distinct(), "contaminated")
@@ -33,7 +45,11 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it.
+
+    Null and empty texts have size 0 and are no part of the targets; a null source is one of its own; repeated rows share
+    their copies; ties in rounding go by the row's hash, so reruns agree; an empty table stays empty; other columns are kept.
+    """
     k1, k2 = row_key(docs)
     key = ["k1", "k2"]
     _, copies = mixing.mix(docs)
@@ -45,7 +61,10 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each document goes: 16 shards of near-equal bytes."""
+    """Where each document goes: 16 shards of near-equal bytes.
+
+    A null text counts as size 1; every row has a place of its own, repeated ones and null ids too; an empty table has none.
+    """
     return sharding.shards(docs, 16)
 
 
