@@ -14,7 +14,7 @@ from quillspan.functions import text as T
 from quillspan.operators import answer as A, buckets as B, chunk as C, coverage as V, quality as Q, retrieval as R, store as S
 from quillspan.operators.control import Control
 from quillspan.plans import families, pipelines, providers as P, registry
-from quillspan.sources import crawl as W, fetch, files, html as H, markdown as M, objects as O, shared, xml as X
+from quillspan.sources import blocks as K, crawl as W, fetch, files, html as H, markdown as M, objects as O, shared, xml as X
 from quillspan.streaming import ingest as I
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -967,3 +967,15 @@ def embedding_outcomes(spark, sf_dir):
     good, bad = P.embedded(documents(spark, sf_dir), P.HashEmbedder(16), Control(spark, shared.folder(spark, "control")), "documents")
     kept = good.select("doc_id", F.lit("OK").alias("outcome"), F.size("embedding").alias("dimensions"))
     return kept.unionByName(bad.select("doc_id", F.col("error_code").alias("outcome"), F.lit(0).alias("dimensions")))
+
+
+@query("""SELECT p_partkey, 'IV' AS chapter, p_partkey || '.' AS section, p_name AS heading, p_type || chr(10) || 'goes on' || chr(10) || chr(10) || '- ' || p_brand || chr(10) || '- nested ' || p_size || chr(10) || chr(10) || '> ' || p_name || chr(10) || 'more' || chr(10) || chr(10)
+|| 'code ' || p_size || chr(10) || chr(10) || 'Two lines on ' || p_type || chr(10) || 'and more' || chr(10) || chr(10) || '- one' || chr(10) || '- two' || chr(10) || chr(10) || '# not ' || p_brand AS text FROM part""")
+def markdown_blocks(spark, sf_dir):
+    """A page a part: headings underlined over two lines, nested and numbered lists, quotes, indented and fenced code."""
+    size, lit = F.col("p_size").cast("string"), F.lit
+    page = F.concat(
+        lit("Part IV\n of goods\n===\n\nlost\n\n## Sec. "), F.col("p_partkey").cast("string"), lit(". "), "p_name", lit(" ##\n"), "p_type", lit("\n  goes on\n* "), "p_brand", lit("\n  - nested "), size, lit("\n\n> "), "p_name",
+        lit("\n> more\n\n    code "), size, lit("\n\nTwo lines on "), "p_type", lit("\nand more\n---\n\n1. one\n2. two\n\n```\n# not "), "p_brand", lit("\n```\n***\n"),
+    )
+    return K.ordinances(table(spark, sf_dir, "part").select("p_partkey", page.alias("markdown")), "p_partkey")

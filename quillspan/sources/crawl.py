@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quillspan.functions import text as T
 from quillspan.operators.control import Control
-from quillspan.sources import fetch as N, html as H, markdown as M, objects as O, platforms as L, xml as X
+from quillspan.sources import blocks as K, fetch as N, html as H, markdown as M, objects as O, platforms as L, xml as X
 
 # Where contents and documents are.
 FEDERAL = "https://www.ecfr.gov/api/versioner/v1/full/"
@@ -178,7 +178,7 @@ def _cities(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     source = T.source_id("municipal", F.col("city_id"))
     ready = pages.where("http = 200").withColumn("markdown", T.clean_markdown(F.col("body")))
     known = ready.select("city_id", "city", "platform", "base_url")
-    rows = M.issues(M.ordinances(ready, "city_id")).join(known, "city_id")
+    rows = M.issues(K.ordinances(ready, "city_id")).join(known, "city_id")
     url = T.ordinance_url("municipal", F.col("platform"), F.col("base_url"), F.col("section"))
     good = rows.where("is_valid").select("city_id", "city", "chapter", "section", "heading", "text", M.subsections(F.col("text")).alias("subsections"), url.alias("url"))
     short = rows.where("not is_valid").select(source.alias("source_id"), url.alias("url"), F.lit("parse").alias("stage"), F.array_join("issues", ", ").alias("reason"))
