@@ -41,7 +41,7 @@ def citation_list(rows: DataFrame, *by: str) -> DataFrame:
 
 
 def user_prompt(question: Column, jurisdictions: Column, sources: Column) -> Column:
-    """Question, jurisdictions if any, and the numbered sources."""
+    """Question, jurisdictions if any, and the numbered sources. The wording is this engine's own; only the numbering must hold."""
     where = F.when(F.size(jurisdictions) > 0, F.concat(F.lit("\nRelevant jurisdictions: "), F.array_join(jurisdictions, ", "))).otherwise("")
     return F.concat(F.lit("Question: "), question, where, F.lit("\n\n## Sources (cite as [N])\n\n"), sources, F.lit("\n\n## Task\nAnswer from the sources above only, by jurisdiction level, and list required permits and licenses."))
 
@@ -64,9 +64,10 @@ def warnings(text: Column, n: Column) -> Column:
     return F.when(F.size(bad) > 0, F.array(F.concat(F.lit("Invalid citation references found: ["), F.array_join(bad.cast("array<string>"), ", "), F.lit("] (references to non-existent chunks)")))).otherwise(F.array().cast("array<string>"))
 
 
-def cited(answers: DataFrame, chunks: DataFrame, key: str) -> DataFrame:
-    """Each answer's valid references with the chunk at that position: id, citation, excerpt."""
-    refs = answers.select(key, F.explode(F.array_distinct(references(F.col("answer")))).alias("position"))
+def cited(answers: DataFrame, chunks: DataFrame, key: str, *more: str) -> DataFrame:
+    """Each answer's valid references with the chunk at that position: id, citation, excerpt. more: columns that tell the answers to one
+    key's chunks apart."""
+    refs = answers.select(key, *more, F.explode(F.array_distinct(references(F.col("answer")))).alias("position"))
     return refs.join(chunks, [key, "position"]).withColumn("excerpt", T.excerpt(F.col("text")))
 
 

@@ -98,6 +98,9 @@ def _table(names: tuple[str, ...], rows: list[tuple]) -> list[str]:
     return ["| " + " | ".join(names) + " |", "|" + "|".join("-" * (len(n) + 2) for n in names) + "|", *("| " + " | ".join(map(str, r)) + " |" for r in rows)]
 
 
+# Fixed values in the two reports: their headings, labels and order.
+
+
 def quality_markdown(report: dict, issues: list[tuple[str, str]], made: str) -> str:
     """A source's quality as a page of sections. report: jurisdiction, source_type, chunks, citation_coverage, the token
     figures avg, min, max, p50, p95 and p99, and has_category, has_title and has_last_updated; issues: chunk id and issue."""

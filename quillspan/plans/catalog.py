@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quillspan.functions import text as T
 from quillspan.operators import answer as A, buckets as B, chunk as C, coverage as V, quality as Q, retrieval as R, store as S
@@ -541,9 +541,7 @@ SELECT conv_id, turn, position, citation, CASE WHEN length(text) > 200 THEN text
 def citation_extract(spark, sf_dir):
     docs = documents(spark, sf_dir)
     sources = docs.select(F.expr("doc_id div 5").alias("conv_id"), (F.col("doc_id") % 5 + 1).cast("int").alias("position"), "citation", "text")
-    a = answers(spark, sf_dir).withColumn("key", F.struct("conv_id", "turn"))
-    refs = a.select("conv_id", "turn", F.explode(A.references(F.col("answer"))).alias("position"))
-    return refs.join(sources, ["conv_id", "position"]).select("conv_id", "turn", "position", "citation", T.excerpt(F.col("text")).alias("excerpt"))
+    return A.cited(answers(spark, sf_dir), sources, "conv_id", "turn").select("conv_id", "turn", "position", "citation", "excerpt")
 
 
 @query(f"""WITH {_ANSWERS}, {_REFS} SELECT conv_id, turn, array_to_string(list_sort(list_distinct(list_filter(refs, lambda x: x BETWEEN 1 AND 4))), ',') AS valid, array_to_string(list_distinct(list_filter(refs, lambda x: x < 1 OR x > 4)), ',') AS invalid FROM r""")
@@ -614,8 +612,8 @@ def conversation_history(spark, sf_dir):
 
 @query("SELECT conv_id, turn, role, length(text) AS n_chars, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS position FROM conversations")
 def conversation_messages(spark, sf_dir):
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.length("text").cast("long").alias("n_chars"), F.row_number().over(w).cast("long").alias("position"))
+    rows = S.batches(table(spark, sf_dir, "conversations"), ["turn"], 100, ["conv_id"])
+    return rows.select("conv_id", "turn", "role", F.length("text").cast("long").alias("n_chars"), (F.col("position") + 1).cast("long").alias("position"))
 
 
 @query("SELECT role, max(conv_id) AS conv_id, CASE WHEN length(arg_max(text, conv_id * 1000 + turn)) > 50 THEN arg_max(text, conv_id * 1000 + turn)[1:50] || '...' ELSE arg_max(text, conv_id * 1000 + turn) END AS title FROM conversations GROUP BY role")
@@ -897,6 +895,23 @@ def question_retrieval(spark, sf_dir):
     return R.retrieve_join(v, _questions(v), now(), min_score=0.2, allowed="may").select("question_id", "vec_id", "score", "weighted", "position")
 
 
+@query(f"""WITH {_DOCS}, e AS (SELECT *, CASE WHEN label <= 3 THEN 'US' WHEN label <= 6 THEN 'TX' WHEN label <= 8 THEN 'TX-48201' ELSE 'TX-houston' END AS jurisdiction, DATE '2025-01-01' - CAST(vec_id % 730 AS INTEGER) AS last_updated FROM embeddings),
+x AS (SELECT e.vec_id, e.embedding, e.jurisdiction, e.last_updated, d.citation, d.source_type, d.text FROM e JOIN d ON d.doc_id = e.vec_id),
+s AS (SELECT a.vec_id AS question_id, b.*, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS score FROM e a, x b WHERE b.jurisdiction IN ('US', a.jurisdiction)),
+r AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, vec_id) AS rank FROM s),
+w AS (SELECT *, round(score * 0.8 + CASE WHEN DATE '2025-01-01' - last_updated < 365 THEN 0.2 ELSE 0.0 END, 6) AS weighted FROM r WHERE rank <= 50 AND score >= 0.2),
+o AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY weighted DESC, score DESC, vec_id) AS position FROM w),
+b AS (SELECT question_id, string_agg('[' || position || '] ' || citation || ' (' || jurisdiction || ', ' || source_type || ')' || chr(10) || chr(10) || text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY position) AS sources FROM o WHERE position <= 5 GROUP BY question_id)
+SELECT e.vec_id AS question_id, md5('Question: What holds for ' || e.vec_id || '?' || chr(10) || 'Relevant jurisdictions: US' || CASE WHEN e.jurisdiction = 'US' THEN '' ELSE ', ' || e.jurisdiction END || chr(10) || chr(10) || '## Sources (cite as [N])' || chr(10) || chr(10) || coalesce(b.sources, '')
+|| chr(10) || chr(10) || '## Task' || chr(10) || 'Answer from the sources above only, by jurisdiction level, and list required permits and licenses.') AS digest FROM e LEFT JOIN b ON b.question_id = e.vec_id""")
+def question_prompts(spark, sf_dir):
+    """A prompt for every vector as a question, with its nearest documents as numbered sources."""
+    v = vectors(spark, sf_dir)
+    index = v.join(documents(spark, sf_dir).select(F.col("doc_id").alias("vec_id"), "citation", "source_type", "text"), "vec_id").withColumn("title", F.lit(None).cast("string"))
+    asked = _questions(v).withColumns({"question": F.concat(F.lit("What holds for "), F.col("question_id").cast("string"), F.lit("?"))})
+    return pipelines.prompts(index, asked, now(), allowed="may", min_score=0.2, final=5).select("question_id", F.md5("prompt").alias("digest"))
+
+
 @query("SELECT user_id, event_id, ts, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS o FROM events) WHERE o = 1")
 def bucket_upsert(spark, sf_dir):
     """Users' last events: a stored table of those before the last day, then a change with that day's, which rewrites its users' buckets."""

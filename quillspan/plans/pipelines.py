@@ -124,6 +124,15 @@ def cache_status(cache: DataFrame, now: Column, days: float = 7) -> DataFrame:
     return cache.groupBy("title").agg(F.countDistinct("part").alias("parts"), T.age_hours(newest, now).alias("age_hours"), (~T.is_fresh(newest, now, days)).alias("stale"))
 
 
+def prompts(index: DataFrame, questions: DataFrame, now: Column, allowed: str = "jurisdictions", question: str = "question", **options) -> DataFrame:
+    """question_id and prompt of a table of questions (question_id, question, vector, jurisdictions): each over its own jurisdictions'
+    nearest chunks, numbered from 1. options: of retrieve_join. A question without chunks has a prompt without sources."""
+    rows = R.retrieve_join(index, questions, now, allowed=allowed, **options)
+    asked = questions.select("question_id", F.col(question).alias("_question"), F.coalesce(F.col(allowed), F.array().cast("array<string>")).alias("_may"))
+    text = A.user_prompt(F.col("_question"), F.col("_may"), F.coalesce("sources", F.lit("")))
+    return asked.join(A.source_block(rows, "question_id"), "question_id", "left").select("question_id", text.alias("prompt"))
+
+
 def answer_question(
     spark: SparkSession, index: DataFrame, question: str, now: Column, embedder: P.Embedder, generate: P.Generator, address: str | None = None, geocode: P.Geocoder | None = None, min_score: float = R.MIN_SCORE, final: int = 15
 ) -> dict:
