@@ -44,6 +44,8 @@ DICTIONARY = (
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?:(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{16,}+|(?:AKIA|ASIA)[A-Z]{16}|xox[abeprs]-[A-Za-z-]{10,})"
 #: Any value that a secret word is assigned, whatever its length and characters.
 ASSIGNED = rf"(?i)(?:{SECRET_WORDS})[A-Za-z0-9_-]*[\"'`]?[ \t]*(?::=|=>|=|:)[ \t]*[\"'`]?([^\s\"'`,;]+)"
+#: A known credential wherever it stands, in a path or behind a name and "=" too.
+INSIDE = rf"(?<![A-Za-z0-9])(?:{'|'.join(KNOWN.values())})"
 #: The most frequent pairs of letters in running English text.
 PAIRS = "th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne ea ra ce".split()
 #: Steps between lower-case and upper-case letters and digits, each a feature of its own.
@@ -145,14 +147,18 @@ def candidates(docs: DataFrame, **columns) -> DataFrame:
 
 def secrets(docs: DataFrame, findings: DataFrame | None = None, threshold: float = 0.5, **columns) -> DataFrame:
     """Secrets of every document: doc_id, start, n_chars, rule, secret_sha256 and probability, one row for each different value:
-    its first occurrence that passes, with the highest probability of all its occurrences.
+    its first occurrence that passes, with the highest probability of all its occurrences. A known credential in a longer run, as
+    in a path or behind a name and "=", is a finding of its own in the run's stead.
 
     Null and empty texts have none; a null id or path is kept as it is; repeated documents give repeated rows; an empty table
     gives an empty result; other columns are not read. Ties at the threshold are secrets.
     """
     model = train(findings if findings is not None else labelled_findings(docs.sparkSession))
     rows = docs.withColumn("row", F.monotonically_increasing_id())
-    found = occurrences(rows, **columns).union(occurrences(rows, pattern=ASSIGNED, group=1, **columns)).distinct()
+    runs = occurrences(rows, **columns).union(occurrences(rows, pattern=ASSIGNED, group=1, **columns))
+    # A run that holds a known credential beside other signs is not the secret: the credential is, at its own place.
+    runs = runs.where(~(F.col("value").rlike(INSIDE) & (rule(F.col("value")) == "generic")))
+    found = runs.union(occurrences(rows, pattern=INSIDE, **columns)).distinct()
     scored = model.transform(features(found)).withColumn("probability", vector_to_array("probability")[1]).where(F.col("probability") >= threshold)
     best = scored.groupBy("row", "value").agg(F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("probability").alias("probability"))
     return best.select(
