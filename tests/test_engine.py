@@ -245,7 +245,7 @@ def test_long_texts_are_packed_in_one_pass(spark):
     for joined in (False, True):
         got = one.select(F.explode(C.split_with_overlap(F.col("text"), joined=joined)).alias("c")).select("c.first", "c.last", F.length("c.text").alias("n")).orderBy("first").collect()
         assert got[0]["first"] == 1 and got[-1]["last"] == n and all(a["last"] >= b["first"] - 1 > a["first"] for a, b in zip(got, got[1:]))
-    assert time.time() - began < 60
+    assert time.time() - began < 300  # seconds on an idle host
     nothing = spark.createDataFrame([(1, None), (2, "")], "k int, text string")
     assert [(r["k"], r["chunk_text"], r["total_chunks"]) for r in C.chunk(nothing).orderBy("k").collect()] == [(1, None, 1), (2, "", 1)]
 

@@ -18,8 +18,8 @@ def test_a_cancelled_child_costs_the_others_nothing(spark, tmp_path):
 
     def slow():
         control.save_step("slow", "one", spark.range(3))
-        wait = F.udf(lambda i: __import__("time").sleep(60) or i, "long")
-        return spark.range(2).select(wait("id")).count() or spark.range(2).select(wait("id").alias("x")).agg(F.sum("x")).first()
+        wait = F.udf(lambda i: __import__("time").sleep(300) or i, "long")
+        return spark.range(2).select(wait("id").alias("x")).agg(F.sum("x")).first()
 
     def quick():
         return control.save_step("quick", "one", spark.range(5)).count()
@@ -36,7 +36,7 @@ def test_a_cancelled_child_costs_the_others_nothing(spark, tmp_path):
     while control.load_step("slow", "one") is None:
         time.sleep(0.2)
     time.sleep(1)
-    assert g.cancel("slow") and g.wait(50) == {"slow": "cancelled", "quick": "complete", "broken": "error"} and time.time() - began < 55
+    assert g.cancel("slow") and g.wait(250) == {"slow": "cancelled", "quick": "complete", "broken": "error"} and time.time() - began < 280
     assert g.results() == {"quick": 5} and g.errors()["broken"] == "ValueError: no such page" and not g.cancel("quick")
     assert control.load_step("slow", "one") is None and control.load_step("quick", "one").count() == 5 and control.load_step("broken", "one").count() == 1
     assert control.get("runs/all/slow")["status"] == "cancelled" and control.get("runs/all/quick")["status"] == "complete"
