@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillspan.operators import buckets as B, retrieval as R
+from quillspan.plans import pipelines
 from quillspan.streaming import ingest as I
 
 SCHEMA = "k int, v string, at int"
@@ -140,6 +141,14 @@ def test_only_the_final_rows_carry_texts(spark):
     assert sorted(map(tuple, best)) == [(i, i, f"text {i}", 1.0) for i in range(1, 5)]
 
 
+def test_only_the_final_rows_of_prompts_carry_texts(spark):
+    d = spark.sql("SELECT id AS vec_id, array(1D, cast(id AS double)) AS embedding, 'US' AS jurisdiction, 'cfr' AS source_type, 'c' AS citation, cast(null AS string) AS title, concat('text ', id) AS text, date'2025-01-01' AS last_updated FROM range(40)")
+    q = spark.sql("SELECT id AS question_id, 'q' AS question, array(1D, cast(id AS double)) AS vector, array('US') AS may FROM range(1, 5)")
+    got = pipelines.prompts(d, q, F.lit("2025-02-01").cast("timestamp"), allowed="may", final=1)
+    assert all(not {"text", "embedding"} & w for w in _windows(got))
+    assert all(f"text {r['question_id']}\n" in r["prompt"] for r in got.collect())
+
+
 def test_equal_rows_go_by_id_when_pairs_are_scored_in_parts(monkeypatch):
     monkeypatch.setattr(R, "PAIRS", 50)
     x = np.tile(np.eye(4)[:1], (3000, 1))
