@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -19,6 +20,8 @@ RULE_HEADINGS = (".rule-heading", ".tac-heading", ".rule-title", "[class*=headin
 RULE_TEXTS = (".rule-text", ".tac-body", ".rule-content", ".tac-content", "article", "main", ".content", "#content", "[role*=main]")
 RULE_PARAGRAPHS = "p, div.paragraph, section"
 RULE_CLUTTER = "nav, header, footer, .navigation, .breadcrumb"
+#: Tasks a core that pages are dealt to before they are parsed.
+SPREAD = 4
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
 
@@ -48,14 +51,18 @@ class _Tree(HTMLParser):
                 e["text"].append(data)
 
 
-def first_text(html: str | None, selectors: tuple[str, ...]) -> str:
-    """Text of the first element that the first matching selector with any text finds."""
+def first_texts(html: str | None, *selectors: tuple[str, ...]) -> list[str]:
+    """For each list of selectors the text of the first element that its first matching selector with any text finds; one parse."""
     tree = _Tree()
     tree.feed(html or "")
     tree.close()
+    return [_first(tree.found, s) for s in selectors]
+
+
+def _first(found: list[dict], selectors: tuple[str, ...]) -> str:
     for s in selectors:
         tag, _, cls = s.partition(".")
-        for e in tree.found:
+        for e in found:
             if (not tag or e["tag"] == tag) and (not cls or cls in e["class"]):
                 text = "".join(e["text"]).strip()
                 if text:
@@ -64,6 +71,10 @@ def first_text(html: str | None, selectors: tuple[str, ...]) -> str:
     return ""
 
 
+def first_text(html: str | None, selectors: tuple[str, ...]) -> str:
+    return first_texts(html, selectors)[0]
+
+
 def select_text(html: Column, selectors: tuple[str, ...]) -> Column:
     """HTML parsing has no built-in form: an Arrow function."""
 
@@ -74,9 +85,22 @@ def select_text(html: Column, selectors: tuple[str, ...]) -> Column:
     return of(html)
 
 
+def _once(pages: DataFrame, html: str, read: Callable[[str | None], tuple[str, str]]) -> DataFrame:
+    """Adds heading and text of each page, read in Python. Pages are dealt to all cores first, as a small file of many pages is
+    one task's; the function counts as not deterministic, so that filters on its result don't make Spark call it again."""
+
+    @F.arrow_udf("struct<heading:string,text:string>")
+    def of(col: pa.Array) -> pa.Array:
+        both = [read(h) for h in col.to_pylist()]
+        return pa.StructArray.from_arrays([pa.array([b[i] for b in both], pa.string()) for i in (0, 1)], names=["heading", "text"])
+
+    found = pages.repartition(SPREAD * pages.sparkSession.sparkContext.defaultParallelism).withColumn("_read", of.asNondeterministic()(F.col(html)))
+    return found.withColumns({"heading": F.col("_read.heading"), "text": F.col("_read.text")}).drop("_read")
+
+
 def parse_statutes(pages: DataFrame, html: str = "html", least: int = 10) -> tuple[DataFrame, DataFrame]:
     """(parsed, rejected): adds heading, text and subsections; texts under `least` characters are rejected with a reason."""
-    out = pages.withColumns({"heading": select_text(F.col(html), STATUTE_HEADINGS), "text": clean_html_text(select_text(F.col(html), STATUTE_TEXTS))})
+    out = _once(pages, html, lambda h: first_texts(h, STATUTE_HEADINGS, STATUTE_TEXTS)).withColumn("text", clean_html_text(F.col("text")))
     out = out.withColumn("subsections", subsections(F.col("text"), anchored=False, marker=ANY_MARKER, least=5))
     return out.where(F.length("text") >= least), out.where(F.length("text") < least).withColumn("reason", F.lit("text too short"))
 
@@ -101,12 +125,7 @@ def rule_of(html: str | None) -> dict[str, str]:
 
 def parse_rules(pages: DataFrame, html: str = "html", least: int = 20) -> tuple[DataFrame, DataFrame]:
     """(parsed, rejected): as parse_statutes, for rules."""
-
-    @F.arrow_udf("struct<heading:string,text:string>")
-    def of(col: pa.Array) -> pa.Array:
-        return pa.array([rule_of(h) for h in col.to_pylist()], pa.struct([("heading", pa.string()), ("text", pa.string())]))
-
-    out = pages.withColumn("_rule", of(F.col(html))).withColumns({"heading": F.col("_rule.heading"), "text": F.col("_rule.text")}).drop("_rule")
+    out = _once(pages, html, lambda h: tuple(rule_of(h).values()))
     out = out.withColumn("subsections", subsections(F.col("text"), anchored=False, marker=RULE_MARKER))
     return out.where(F.length("text") >= least), out.where(F.length("text") < least).withColumn("reason", F.lit("text too short"))
 

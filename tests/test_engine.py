@@ -260,3 +260,18 @@ def test_index_declared_once(spark, tmp_path):
     assert control.get("x") == {"a": 2}
     with pytest.raises(ValueError):
         S.create_index(control, "regulations", 32)
+
+
+def _parsed_apart(parsed):
+    """Tasks that rows come from, and how often the plan calls Python."""
+    plan = parsed._jdf.queryExecution().executedPlan().toString()
+    first = plan.split("== Initial Plan ==")[-1]
+    return parsed.select(F.spark_partition_id()).distinct().count(), first.count("ArrowEvalPython")
+
+
+def test_rules_of_one_task_are_parsed_by_many_and_once(spark):
+    pages = spark.range(400).coalesce(1).select("id", F.concat(F.lit('<h1>§5.1 - Head</h1><div class="rule-text"><p>(a) a text that is long enough '), "id", F.lit("</p></div>")).alias("html"))
+    good, _ = H.parse_rules(pages)
+    tasks, calls = _parsed_apart(good)
+    assert tasks > 4 and calls == 1
+    assert sorted(tuple(r) for r in good.select("id", "heading", "text").collect()) == [(i, "Head", f"(a) a text that is long enough {i}") for i in range(400)]
