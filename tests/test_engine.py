@@ -269,6 +269,14 @@ def _parsed_apart(parsed):
     return parsed.select(F.spark_partition_id()).distinct().count(), first.count("ArrowEvalPython")
 
 
+def test_statutes_of_one_task_are_parsed_by_many_and_once(spark):
+    pages = spark.range(400).coalesce(1).select("id", F.concat(F.lit('<h2>Head</h2><div class="section-text">(a) long enough '), "id", F.lit("</div>")).alias("html"))
+    good, _ = H.parse_statutes(pages)
+    tasks, calls = _parsed_apart(good)
+    assert tasks > 4 and calls == 1
+    assert sorted(tuple(r) for r in good.select("id", "heading", "text").collect()) == [(i, "Head", f"(a) long enough {i}") for i in range(400)]
+
+
 def test_rules_of_one_task_are_parsed_by_many_and_once(spark):
     pages = spark.range(400).coalesce(1).select("id", F.concat(F.lit('<h1>§5.1 - Head</h1><div class="rule-text"><p>(a) a text that is long enough '), "id", F.lit("</p></div>")).alias("html"))
     good, _ = H.parse_rules(pages)
