@@ -12,11 +12,12 @@ import re
 import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualNullSafe, EqualTo, Filter, In, InputPartition, IsNotNull, StringStartsWith, WriterCommitMessage
 from pyspark.sql.types import StructType
 
@@ -32,6 +33,8 @@ KEYS = {
 }
 #: Bytes of a partition, and of an Arrow batch.
 PARTITION, BATCH = 32 << 20, 4 << 20
+#: Tasks a core that objects are written by.
+SPREAD = 4
 NAME = "quillspan_objects"
 
 
@@ -200,10 +203,15 @@ class Fetcher:
     """Bodies by URL from objects under "{url}" keys: a mirror of sites for crawls without a network. What isn't there is not found."""
 
     def __init__(self, root: str):
-        self.root = root
+        self.root, self._opened = root, None
+
+    def __getstate__(self) -> dict:
+        return {"root": self.root, "_opened": None}
 
     def __call__(self, url: str) -> str:
-        store, root = opened(self.root if "://" in self.root or self.root.startswith("file:") else f"file://{self.root}")
+        if self._opened is None:  # once a task
+            self._opened = opened(self.root if "://" in self.root or self.root.startswith("file:") else f"file://{self.root}")
+        store, root = self._opened
         try:
             with store.open_input_stream(f"{root}/{key_of('{url}', {'url': url})}") as f:
                 return f.read().decode("utf-8", "replace")
@@ -219,9 +227,13 @@ def _ready(spark: SparkSession, root: str) -> str:
 
 def put(rows: DataFrame, root: str, template: str) -> None:
     """Write each row's body under its key. Of rows with one key any one stays: take the last write before. Rows without a body, or with a
-    null or empty value in the key, are left out."""
+    null or empty value in the key, are left out. Rows are dealt to all cores by their keys: an object costs more than its shuffle, and
+    a task holds few large bodies."""
     path = _ready(rows.sparkSession, root)
-    rows.select(*columns(template), "body").write.format(NAME).option("path", path).option("template", template).mode("append").save()
+    names = columns(template)
+    there = reduce(lambda a, b: a & b, (F.col(c).cast("string") != "" for c in names), F.col("body").isNotNull())
+    dealt = rows.select(*names, "body").where(there).repartition(SPREAD * rows.sparkSession.sparkContext.defaultParallelism, *names)
+    dealt.write.format(NAME).option("path", path).option("template", template).mode("append").save()
 
 
 def stored(spark: SparkSession, root: str, template: str, partition_bytes: int = PARTITION) -> DataFrame:

@@ -283,3 +283,21 @@ def test_rules_of_one_task_are_parsed_by_many_and_once(spark):
     tasks, calls = _parsed_apart(good)
     assert tasks > 4 and calls == 1
     assert sorted(tuple(r) for r in good.select("id", "heading", "text").collect()) == [(i, "Head", f"(a) a text that is long enough {i}") for i in range(400)]
+
+
+def test_sections_are_emptied_as_they_are_read():
+    """A part's tree shrinks while its rows are made, and sections come one by one."""
+    body = "".join(f'<DIV8 N="1.{i}" TYPE="SECTION"><HEAD>§ 1.{i} H{i}</HEAD><P>text {i}</P></DIV8>' for i in range(3))
+    title, name, parts = X._parts(f'<DIV5 N="1" TYPE="PART"><HEAD>PART 1—GOODS</HEAD>{body}</DIV5>')
+    rows = X._sections(title, name, parts)
+    assert next(rows)["section"] == "1.0" and next(rows)["heading"] == "H1"
+    assert [len(s) for s in parts[0].findall("DIV8")] == [0, 0, 2]
+    assert [r["text"] for r in rows] == ["text 2"]
+
+
+def test_documents_keep_their_columns_in_both_results(spark):
+    good = "".join(f'<DIV8 N="{i}" TYPE="SECTION"><P>text {i}</P></DIV8>' for i in range(X.ROWS + 10))
+    files = spark.createDataFrame([(1, f'<DIV5 N="1" TYPE="PART"><HEAD>PART 1</HEAD>{good}</DIV5>', "a"), (2, "<x", "b"), (3, "<x/>", None), (4, None, "d")], "n int, xml string, u string")
+    found, bad = X.parse(files)
+    assert found.groupBy("n", "u").count().collect() == [(1, "a", X.ROWS + 10)] and found.select("section").distinct().count() == X.ROWS + 10
+    assert sorted((r["n"], r["u"]) for r in bad.collect()) == [(2, "b"), (3, None), (4, "d")]
