@@ -1,6 +1,7 @@
 """Fetching: URLs are rows, and so are their results and failures.
 
-URLs are spread by host, since a host's spacing must be held in one place; hosts run beside each other. Fetchers are
+URLs are spread by host, since a host's spacing must be held in one place; hosts run beside each other. URLs without spacing
+are spread one by one. Fetchers are
 callables, so that tests and offline runs read files.
 """
 
@@ -22,6 +23,8 @@ from quillspan.functions.text import is_fresh
 
 SCHEMA = "url string, status string, body string, error string"
 FETCH_SPACING = 0.2
+#: Tasks a core that fetch; rows and characters of a batch that a task gives back.
+SPREAD, BATCH_ROWS, BATCH_CHARS = 4, 256, 4 << 20
 
 
 class FileFetcher:
@@ -46,8 +49,12 @@ def fetch(urls: DataFrame, get: Callable[[str], str], url: str = "url", spacing:
     spacing: seconds between calls to one host, or the column that holds them.
     """
 
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(v, pa.string()) for v in zip(*rows, strict=True)], names=["url", "status", "body", "error"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: dict[str, float] = {}
+        held, size = [], 0
         for rb in batches:
             for u, apart in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist(), strict=True):
                 host = urlsplit(u).netloc
@@ -61,11 +68,18 @@ def fetch(urls: DataFrame, get: Callable[[str], str], url: str = "url", spacing:
                     row = (u, "missing", None, "not found")
                 except Exception as e:  # noqa: BLE001
                     row = (u, "failed", None, f"{type(e).__name__}: {e}")
-                yield pa.RecordBatch.from_arrays([pa.array([v], pa.string()) for v in row], names=["url", "status", "body", "error"])
+                held.append(row)
+                size += len(row[2] or "")
+                if len(held) >= BATCH_ROWS or size >= BATCH_CHARS:
+                    yield batch(held)
+                    held, size = [], 0
+        if held:
+            yield batch(held)
 
     apart = F.coalesce(F.max(F.col(spacing).cast("double")), F.lit(FETCH_SPACING)) if isinstance(spacing, str) else F.lit(float(spacing))
     rows = urls.where(F.col(url).isNotNull()).groupBy(F.col(url).alias("url")).agg(apart.alias("apart"))
-    return rows.repartition(F.parse_url("url", F.lit("HOST"))).mapInArrow(run, SCHEMA)
+    place = F.when(F.col("apart") > 0, F.parse_url("url", F.lit("HOST"))).otherwise(F.col("url"))
+    return rows.repartition(SPREAD * urls.sparkSession.sparkContext.defaultParallelism, place).mapInArrow(run, SCHEMA)
 
 
 def read_through(urls: DataFrame, cache: DataFrame | None, get: Callable[[str], str], store: Callable[[DataFrame], DataFrame], now: Column, days: float = 7, **options) -> DataFrame:

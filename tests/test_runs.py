@@ -122,3 +122,14 @@ def test_errors_have_codes(spark):
     index = spark.createDataFrame([], "vec_id int, embedding array<float>, jurisdiction string, source_type string, citation string, title string, text string, last_updated timestamp")
     with pytest.raises(P.ProviderError, match="no text"):
         pipelines.answer_question(spark, index, "q", F.lit(NOW), P.HashEmbedder(8), lambda p: "")
+
+
+def test_urls_without_spacing_are_fetched_by_many_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from quillspan.sources import fetch as N
+
+    urls = spark.range(300).select(F.concat(F.lit("https://one.example/"), "id").alias("url"))
+    tasks = lambda spacing: N.fetch(urls, lambda u: u[::-1], spacing=spacing).select(F.spark_partition_id()).distinct().count()
+    assert tasks(0.0) > 4 and tasks(1e-6) == 1
+    assert sorted(tuple(r) for r in N.fetch(urls, lambda u: u[::-1], spacing=0.0).collect()) == sorted((u, "ok", u[::-1], None) for u in (f"https://one.example/{i}" for i in range(300)))
