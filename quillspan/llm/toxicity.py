@@ -24,6 +24,8 @@ from quillspan.llm.words import LOWER, Rolling, mix
 HEADS = (4, 5, 6)
 #: Examples of each class, features, neighbours and examples of a block at most; least chi-square and least texts of a feature.
 MOST, FEATURES, NEIGHBOURS, BLOCK, CHI_SQUARE, TEXTS = 4000, 4096, 15, 64, 28.0, 5
+#: Blocks that a search opens at once, at most.
+GROUP = 64
 #: Tasks that search for the examples' own neighbours.
 SPREAD = 32
 #: Added to a neighbour's distance before it divides its vote.
@@ -142,26 +144,50 @@ class BlockMax:
         num = lambda n: np.array([r[n] for r in found], np.float64)
         return cls(idf, np.r_[0, np.cumsum(sizes)], f, w, num(6), num(7), [r[3] for r in found], [r[2] for r in found], bounds, block)
 
+    def __post_init__(self):
+        """The lists of the inverted index: examples and weights by feature, and where each block begins in a feature's list."""
+        blocks, n = self.bounds.shape[1], len(self.ids)
+        example = np.repeat(np.arange(n), np.diff(self.start))
+        order = np.argsort(self.features, kind="stable")  # examples ascend within a feature
+        self.listed, self.listed_weights = example[order], self.weights[order]
+        cell = self.features * blocks + example // self.block
+        ends = np.cumsum(np.bincount(cell, minlength=len(self.idf) * blocks)) if blocks else np.zeros(0, np.int64)
+        self.ends = ends.reshape(len(self.idf), blocks)
+        self.begins = np.r_[0, ends[:-1]].reshape(self.ends.shape) if blocks else self.ends
+        self.of_key: dict = {}
+        for e, key in enumerate(self.keys):
+            self.of_key.setdefault(key, []).append(e)
+
     def nearest(self, f: np.ndarray, w: np.ndarray, k: int, skip: object = None) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines) of the k nearest that share a feature; of equal ones the smaller number. skip: a key that is left out."""
+        """(examples, cosines) of the k nearest that share a feature; of equal ones the smaller number. skip: a key that is left out.
+
+        Blocks are opened by descending bound, one first and then four times as many at a time, up to GROUP; of an opened block
+        only the lists of the text's features are read."""
         bound = w @ self.bounds[f]
         order = np.argsort(-bound, kind="stable")
-        query = np.zeros(len(self.idf))
-        query[f] = w
+        order = order[bound[order] > 0]
         best_e, best_c = np.zeros(0, np.int64), np.zeros(0)
-        for b in order:
-            if bound[b] <= 0 or len(best_c) == k and bound[b] < best_c[-1] - 1e-12:
+        at, group = 0, 1
+        while at < len(order):
+            few = order[at : at + group]
+            if len(best_c) == k:
+                few = few[bound[few] >= best_c[-1] - 1e-12]
+            if not len(few):
                 break
-            self.opened += 1
-            lo, hi = int(b) * self.block, min((int(b) + 1) * self.block, len(self.ids))
-            a, z = self.start[lo], self.start[hi]
-            cos = np.add.reduceat(query[self.features[a:z]] * self.weights[a:z], self.start[lo:hi] - a)
-            met = np.flatnonzero(cos > 0)
-            if skip is not None:
-                met = np.array([m for m in met if self.keys[lo + m] != skip], np.int64)
-            e, c = np.r_[best_e, met + lo], np.r_[best_c, np.round(cos[met], 12)]
-            keep = np.lexsort((e, -c))[:k]
-            best_e, best_c = e[keep], c[keep]
+            self.opened += len(few)
+            at, group = at + group, min(4 * group, GROUP)
+            cells = np.ix_(f, few)
+            begin, length = self.begins[cells], self.ends[cells] - self.begins[cells]
+            size = length.ravel()
+            place = np.arange(size.sum()) + np.repeat(begin.ravel() - np.r_[0, np.cumsum(size)[:-1]], size)
+            cos = np.bincount(self.listed[place], self.listed_weights[place] * np.repeat(w, length.sum(axis=1)), len(self.ids))
+            e = np.flatnonzero(cos > 0 if len(best_c) < k else cos >= max(best_c[-1] - 1e-11, 1e-300))
+            if skip is not None and skip in self.of_key:
+                e = e[~np.isin(e, self.of_key[skip])]
+            if len(e):
+                e, c = np.r_[best_e, e], np.r_[best_c, np.round(cos[e], 12)]
+                keep = np.lexsort((e, -c))[:k]
+                best_e, best_c = e[keep], c[keep]
         return best_e, best_c
 
     def vote(self, examples: np.ndarray, cosines: np.ndarray, base: float) -> float | None:

@@ -103,3 +103,22 @@ def test_odd_rows(spark):
     assert {r["score"] for r in T.toxicity(d, lab.where("false")).collect()} == {0.0}
     assert {r["predicted"] for r in T.toxicity(d, lab.where("toxic = 0")).collect()} == {0}
     assert T.toxicity(d.where("false"), lab).collect() == []
+
+
+def test_blocks_are_opened_many_at_a_time(monkeypatch):
+    """A text that is near no example opens all blocks, in a few steps, and finds what a loop over them does."""
+    rng = np.random.default_rng(7)
+    rows = [(i, (i, 0), np.sort(rng.choice(200, 12, replace=False)), rng.integers(1, 4, 12), float(i % 2), 1.0) for i in range(1600)]
+    idf = rng.random(200) + 1
+    index = T.BlockMax.of(rows, idf, block=16)
+    f, w = T.weighted(np.arange(0, 200, 3), np.ones(67), idf)
+    calls, sort = [], np.lexsort
+    monkeypatch.setattr(T.np, "lexsort", lambda keys: calls.append(1) or sort(keys))
+    e, c = index.nearest(f, w, 9)
+    monkeypatch.undo()
+    assert index.opened > 50 and len(calls) <= 6
+    query = np.zeros(200)
+    query[f] = w
+    cos = np.round(np.array([query[index.features[a:z]] @ index.weights[a:z] for a, z in zip(index.start, index.start[1:])]), 12)
+    want = np.lexsort((np.arange(1600), -cos))[:9]
+    assert e.tolist() == want.tolist() and np.allclose(c, cos[want])
