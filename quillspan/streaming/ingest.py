@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from quillspan.operators import chunk as C
 from quillspan.operators.store import changed, last_write
 
+#: Hash buckets that a stream's keys are held in, and rows that are given back at once. How keys are written as texts.
+BUCKETS, ROWS = 1024, 1000
+_EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
-def read_sections(spark: SparkSession, path: str, schema: str, files_per_trigger: int = 1000) -> DataFrame:
+
+def read_sections(spark: SparkSession, path: str, schema: str | T.StructType, files_per_trigger: int = 1000) -> DataFrame:
     """A stream of the files under path, with `arrived`: their time and name and the row's place, which put versions in order."""
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
     return rows.select("*", F.struct("_metadata.file_modification_time", "_metadata.file_name", "_metadata.row_index").alias("arrived"))
@@ -61,32 +65,57 @@ def current(spark: SparkSession, out: str, key: str = "doc_id") -> DataFrame:
     return rows.join(newest, [key, "batch"], "left_semi")
 
 
-def changed_sections(sections: DataFrame, key: str = "doc_id") -> DataFrame:
+def changed_sections(sections: DataFrame, key: str = "doc_id", buckets: int = BUCKETS) -> DataFrame:
     """A stream's sections (key, text, arrived) that are new or whose text has changed, with digest and version (from 1).
 
-    The state store holds a digest and a number for each key and nothing else, so a batch costs what it brings, however
+    The state store holds a digest and a number for each key and nothing else, packed by hash buckets of keys: Python is called once
+    a bucket and batch, not once a key. A batch costs what it brings and the digests of the buckets that it reaches, however
     much came before, and a batch that is repeated finds the state of the batch before it. Of a key's rows in a batch the
-    one that arrived last counts; rows are read one Arrow batch at a time. A null text is a text of its own.
+    one that arrived last counts; rows are read one Arrow batch at a time, and a bucket's last texts are held. A null text is a
+    text of its own. buckets: fixed for a stream's life, as keys would be sought in other ones.
     """
     order = F.concat(F.format_string("%020d", F.unix_micros("arrived.file_modification_time")), F.lit("/"), F.col("arrived.file_name"), F.lit("/"), F.format_string("%020d", "arrived.row_index"))
-    rows = sections.select(key, "text", order.alias("at"))
+    name = F.to_json(F.struct(F.col(key).alias("k")), _EXACT)  # any kind of key as a text, so that none passes pandas as a number
+    digest = F.coalesce(F.sha2("text", 256), F.lit("none"))
+    rows = sections.select(F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket"), name.alias("k"), "text", digest.alias("digest"), order.alias("at"))
 
-    def update(name: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        newest = None
+    def update(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        newest: dict[str, tuple] = {}
         for frame in frames:
-            last = frame.iloc[frame["at"].argmax()]
-            if newest is None or last["at"] > newest[0]:
-                newest = (last["at"], last["text"])
-        if newest is None:
-            return
-        digest = "none" if newest[1] is None else hashlib.sha256(newest[1].encode()).hexdigest()
-        held, version = state.get if state.exists else (None, 0)
-        if digest != held:
-            state.update((digest, version + 1))
-            yield pd.DataFrame({key: [name[0]], "text": [newest[1]], "digest": [digest], "version": [version + 1]})
-
-    kind = sections.schema[key].dataType.simpleString()
-    return rows.groupBy(key).applyInPandasWithState(update, f"{key} {kind}, text string, digest string, version long", "digest string, version long", "append", GroupStateTimeout.NoTimeout)
+            for k, *row in zip(frame["k"], frame["at"], frame["text"], frame["digest"], strict=True):
+                if k not in newest or row[0] > newest[k][0]:
+                    newest[k] = row
+        held = _unpacked(state.get[0]) if state.exists else {}
+        fresh = []
+        for k, (_, text, new) in newest.items():
+            old, version = held.get(k, (None, 0))
+            if new != old:
+                held[k] = new, version + 1
+                fresh.append((k, text, new, version + 1))
+        if fresh:
+            state.update((_packed(held),))
+        for i in range(0, len(fresh), ROWS):
+            yield pd.DataFrame(fresh[i : i + ROWS], columns=["k", "text", "digest", "version"])
+
+    out = rows.groupBy("bucket").applyInPandasWithState(update, "k string, text string, digest string, version long", "held binary", "append", GroupStateTimeout.NoTimeout)
+    of = T.StructType([T.StructField("k", sections.schema[key].dataType)])
+    return out.select(F.from_json("k", of, _EXACT)["k"].alias(key), "text", "digest", "version")
+
+
+def _packed(held: dict[str, tuple[str, int]]) -> bytes:
+    digests, versions = zip(*held.values(), strict=True)
+    digests = [None if d == "none" else bytes.fromhex(d) for d in digests]
+    rows = pa.record_batch([pa.array(list(held), pa.string()), pa.array(digests, pa.binary(32)), pa.array(versions, pa.int64())], names=["k", "digest", "version"])
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, rows.schema) as to:
+        to.write_batch(rows)
+    return out.getvalue().to_pybytes()
+
+
+def _unpacked(raw: bytes) -> dict[str, tuple[str, int]]:
+    rows = pa.ipc.open_stream(raw).read_all()
+    k, digest, version = (rows.column(i).to_pylist() for i in range(3))
+    return {a: ("none" if d is None else d.hex(), v) for a, d, v in zip(k, digest, version, strict=True)}
 
 
 def ingest_keyed(sections: DataFrame, out: str, checkpoint: str, key: str = "doc_id", pattern: str = r"\n+") -> StreamingQuery:

@@ -198,3 +198,26 @@ def test_a_stream_keeps_a_digest_a_key(spark, tmp_path):
     assert run() == second and spark.read.parquet(out).count() == 4
     put([(2, "two")], "c", 1_700_000_200)
     assert run() == [(1, "one", 1), (2, "two", 3), (3, None, 1)]
+
+
+def test_a_stream_holds_its_keys_by_buckets(spark, tmp_path):
+    """Python is called once a bucket and batch, however many keys there are; any kind of key, null among them, comes back as it was."""
+    src, out, ck = (str(tmp_path / n) for n in ("in", "out", "state"))
+    keys = spark.range(2500).selectExpr("cast(if(id = 0, null, 9007199254740993 + id) as long) AS doc_id", "concat('text ', id) AS text", "id")
+    seen = []
+    for rows in (keys, keys.withColumn("text", F.when(F.col("id") % 10 == 0, "new").otherwise(F.col("text"))), keys.limit(0)):
+        rows.drop("id").write.mode("append").parquet(src)
+        query = I.ingest_keyed(I.read_sections(spark, src, "doc_id long, text string"), out, ck)
+        query.awaitTermination()
+        seen += [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert 0 < max(seen) <= I.BUCKETS
+    got = sorted(((r["doc_id"], r["chunk_text"], r["version"]) for r in spark.read.parquet(out).collect()), key=str)
+    name = lambda i: 9007199254740993 + i if i else None
+    assert got == sorted([(name(i), f"text {i}", 1) for i in range(2500)] + [(name(i), "new", 2) for i in range(0, 2500, 10)], key=str)
+
+
+def test_other_kinds_of_keys_come_back_from_a_stream(spark, tmp_path):
+    rows = spark.sql("SELECT named_struct('a', 'x\"\\\\ny', 'b', timestamp'2025-01-01 10:00:00.123456') AS doc_id, 'one' AS text")
+    rows.write.parquet(str(tmp_path / "in"))
+    I.ingest_keyed(I.read_sections(spark, str(tmp_path / "in"), rows.schema), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).select("doc_id").collect() == rows.select("doc_id").collect()
