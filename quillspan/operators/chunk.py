@@ -169,9 +169,10 @@ def chunk(
     rows = rows.withColumn("_parts", F.transform("_of", lambda s: listed(s["text"])))
     runs_of = split_parts(F.col("_parts"), limit, joined=joined)
     rows = rows.withColumn("_chunks", F.flatten(F.zip_with("_of", runs_of, lambda s, r: F.transform(r, lambda c: F.struct(s["id"].alias("subsection"), c["text"].alias("chunk_text"))))))
+    # Of a plain posexplode Spark infers a filter of empty lists, and moves it below with two more copies of all that makes them.
     return rows.select(
-        *[c for c in sections.columns if c not in (text, given)], F.size("_chunks").alias("total_chunks"), F.posexplode("_chunks").alias("chunk_index", "_c")
-    ).select("*", "_c.subsection", "_c.chunk_text").drop("_c")
+        *[c for c in sections.columns if c not in (text, given)], F.size("_chunks").alias("total_chunks"), F.posexplode_outer("_chunks").alias("chunk_index", "_c")
+    ).where(F.col("chunk_index").isNotNull()).select("*", "_c.subsection", "_c.chunk_text").drop("_c")
 
 
 def oversize(chunks: DataFrame, limit: int = T.MAX_CHUNK) -> tuple[DataFrame, DataFrame]:

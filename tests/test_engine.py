@@ -301,3 +301,13 @@ def test_documents_keep_their_columns_in_both_results(spark):
     found, bad = X.parse(files)
     assert found.groupBy("n", "u").count().collect() == [(1, "a", X.ROWS + 10)] and found.select("section").distinct().count() == X.ROWS + 10
     assert sorted((r["n"], r["u"]) for r in bad.collect()) == [(2, "b"), (3, None), (4, "d")]
+
+
+def test_chunks_are_made_once(spark):
+    """No filter of empty lists with copies of what makes them is moved below; a blank section has no chunk."""
+    from quillspan.operators import chunk as C
+
+    d = spark.createDataFrame([(1, "one"), (2, "\n \n" * 5000), (3, None)], "id int, text string")
+    got = C.chunk(d)
+    assert got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("ArrowEvalPython") == 1
+    assert sorted(map(tuple, got.select("id", "chunk_index", "total_chunks", "chunk_text").collect())) == [(1, 0, 1, "one"), (3, 0, 1, None)]
