@@ -54,8 +54,7 @@ class _Tree(HTMLParser):
 def first_texts(html: str | None, *selectors: tuple[str, ...]) -> list[str]:
     """For each list of selectors the text of the first element that its first matching selector with any text finds; one parse."""
     tree = _Tree()
-    tree.feed(html or "")
-    tree.close()
+    dom.feed(tree, html or "")
     return [_first(tree.found, s) for s in selectors]
 
 

@@ -311,3 +311,38 @@ def test_chunks_are_made_once(spark):
     got = C.chunk(d)
     assert got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("ArrowEvalPython") == 1
     assert sorted(map(tuple, got.select("id", "chunk_index", "total_chunks", "chunk_text").collect())) == [(1, 0, 1, "one"), (3, 0, 1, None)]
+
+
+def test_plain_pages_are_read_by_one_pattern(monkeypatch):
+    """Whatever the page, the calls are HTMLParser's own; plain pages don't need it."""
+    import random
+    from html.parser import HTMLParser
+
+    from quillspan.sources import dom
+
+    class Calls(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.seen = []
+
+        def handle_data(self, data):
+            if self.seen and self.seen[-1][0] == "data":
+                data = self.seen.pop()[1] + data
+            self.seen.append(("data", data))
+
+        handle_starttag = lambda self, tag, attrs: self.seen.append(("start", tag, attrs))
+        handle_endtag = lambda self, tag: self.seen.append(("end", tag))
+
+    rng = random.Random(3)
+    plain = ["<p>", '<div class="a b" id="x">', "</p>", "</div>", "<br>", "</br>", "text > more\r\n ", "é ", "<h2>", "</h2>", '<a x="1" x="2">', "</titles>", '<a href="/a?b=1;c">']
+    odd = ["<P>", "<br/>", "&amp;", "&amp", "<!-- c -->", "<script>", "</script>", "<title>", "</title>", "<", "a<b", "</p x='1'>", '</p x="1">', "<p class=a>", '<a x="&lt;">', "<!DOCTYPE html>", "<textarea>", "<style>", "</", "<p", "\x00", "<?x?>", '<p  a="1">', '<p a="1" >', "<a-b>", '<p a="1"b="2">', "<plaintext>", "<svg>", "</style>", '<a-b c="d">']
+    for n in range(4000):
+        html = "".join(rng.choices(plain if n % 3 == 0 else plain + odd, k=rng.randrange(12)))
+        fast, slow = Calls(), Calls()
+        dom.feed(fast, html)
+        slow.feed(html)
+        slow.close()
+        assert fast.seen == slow.seen, html
+    monkeypatch.setattr(HTMLParser, "feed", None)
+    assert H.first_texts('<h2>Head</h2><div class="section-text">(a) x</div>', H.STATUTE_HEADINGS, H.STATUTE_TEXTS) == ["Head", "(a) x"]
+    assert H.rule_of('<h1>§5.1 - Head</h1><div class="rule-text"><p>(a) x</p></div>') == {"heading": "Head", "text": "(a) x"}
